@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimward.catalog import business
+from claimward.catalog import business, metric_queries
 from claimward.sources import star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +17,9 @@ def _over_model(function) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _over_model(function) for name, (function, _) in business.QUERIES.items()}
+    modelled = {**business.QUERIES, **metric_queries.QUERIES}
+    return {name: _over_model(function) for name, (function, _) in modelled.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(business.ORACLES)
+    return {**business.ORACLES, **metric_queries.ORACLES}
