@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimward.catalog import business, metric_queries
+from claimward.catalog import business, intake, metric_queries
 from claimward.sources import star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +18,9 @@ def _over_model(function) -> Query:
 
 def queries() -> dict[str, Query]:
     modelled = {**business.QUERIES, **metric_queries.QUERIES}
-    return {name: _over_model(function) for name, (function, _) in modelled.items()}
+    typed = {name: _over_model(function) for name, (function, _) in modelled.items()}
+    return {**typed, **{name: query for name, (query, _) in intake.QUERIES.items()}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**business.ORACLES, **metric_queries.ORACLES}
+    return {**business.ORACLES, **metric_queries.ORACLES, **intake.ORACLES}

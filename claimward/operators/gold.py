@@ -100,14 +100,15 @@ def unmatched_claims(
     """How many claims the inner joins of the fact leave out, by reason."""
     known_provider = provider.select("provider_id", F.lit(True).alias("has_provider"))
     known_beneficiary = beneficiary.select("beneficiary_id", F.lit(True).alias("has_beneficiary"))
+    no_provider, no_beneficiary = F.col("has_provider").isNull(), F.col("has_beneficiary").isNull()
     return (
         stg_claims.select("provider_id", "beneficiary_id")
         .join(known_provider, "provider_id", "left")
         .join(known_beneficiary, "beneficiary_id", "left")
         .agg(
-            F.count_if("has_provider is null").alias("no_provider"),
-            F.count_if("has_beneficiary is null").alias("no_beneficiary"),
-            F.count_if("has_provider is null or has_beneficiary is null").alias("dropped_claims"),
+            F.count_if(no_provider).alias("no_provider"),
+            F.count_if(no_beneficiary).alias("no_beneficiary"),
+            F.count_if(no_provider | no_beneficiary).alias("dropped_claims"),
         )
     )
 
