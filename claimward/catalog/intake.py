@@ -60,7 +60,14 @@ def csv_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     paths = {}
     for name, df in raw(spark, sf_dir).items():
         paths[name] = f"{root}/{name}"
-        df.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(paths[name])
+        (
+            df.write.option("header", True)
+            .option("escape", '"')
+            .option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(paths[name])
+        )
     return paths
 
 

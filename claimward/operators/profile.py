@@ -37,15 +37,15 @@ def trimmed(name: str) -> Column:
 
 
 def as_date(name: str) -> Column:
-    return trimmed(name).try_cast("date")
+    return F.expr(f"try_cast(trim({name}) as date)")
 
 
 def as_int(name: str) -> Column:
-    return trimmed(name).try_cast("int")
+    return F.expr(f"try_cast(trim({name}) as int)")
 
 
 def as_number(name: str) -> Column:
-    return trimmed(name).try_cast("double")
+    return F.expr(f"try_cast(trim({name}) as double)")
 
 
 def _rows() -> Column:

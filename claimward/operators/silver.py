@@ -23,11 +23,11 @@ def _trimmed(name: str) -> Column:
 
 
 def _date(name: str) -> Column:
-    return _trimmed(name).try_cast("date")
+    return F.expr(f"try_cast(trim({name}) as date)")
 
 
 def _int(name: str) -> Column:
-    return _trimmed(name).try_cast("int")
+    return F.expr(f"try_cast(trim({name}) as int)")
 
 
 def _label(name: str, known: dict[str, object]) -> Column:

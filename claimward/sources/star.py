@@ -5,7 +5,7 @@ Whole-number arithmetic only, so that any SQL engine reproduces the values exact
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from claimward.config import CONDITION_FLAGS
 from claimward.functions.columns import age_tier, date_key
@@ -28,93 +28,96 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, "l_orderkey") if name == "lineitem" else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores when the files give fewer than half as many splits as there are cores.
+
+    A file with a single row group is one task, however many cores are idle. Tables of
+    ordinary size have more splits than cores and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, key)
+
+
+_FLAGS = [
+    f"cast(c_custkey % {divisor} = 0 as int) as {flag}"
+    for divisor, flag in enumerate(CONDITION_FLAGS, 2)
+]
 
 
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = F.col("s_suppkey") % 10 == 0
-    return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("provider_key"),
-        F.col("s_suppkey").alias("provider_id"),
-        flagged.alias("is_potential_fraud"),
-        F.when(flagged, "Fraud").otherwise("Not Fraud").alias("fraud_label"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as provider_key",
+        "s_suppkey as provider_id",
+        "s_suppkey % 10 = 0 as is_potential_fraud",
+        "if(s_suppkey % 10 = 0, 'Fraud', 'Not Fraud') as fraud_label",
     )
 
 
 def beneficiaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    age = (30 + key % 71).cast("int")
-    flags = {
-        flag: (key % divisor == 0).cast("int") for divisor, flag in enumerate(CONDITION_FLAGS, 2)
-    }
-    deceased = key % 97 == 0
-    base = table(spark, sf_dir, "customer").select(
-        key.alias("beneficiary_key"),
-        key.alias("beneficiary_id"),
-        F.make_date(2009 - age, (1 + key % 12).cast("int"), (1 + key % 28).cast("int")).alias(
-            "date_of_birth"
-        ),
-        F.when(deceased, F.date_add(F.lit("1996-01-01").cast("date"), (key % 2000).cast("int"))).alias(
-            "date_of_death"
-        ),
-        F.when(key % 2 == 0, "Male").otherwise("Female").alias("gender"),
-        F.col("c_nationkey").alias("state_code"),
-        age.alias("patient_age"),
-        age_tier(age).alias("age_group"),
-        deceased.alias("is_deceased"),
-        *[expr.alias(flag) for flag, expr in flags.items()],
-        F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0)))
-        .cast("bigint")
-        .alias("ip_annual_reimbursement_amt"),
-        (key % 40 * 100).alias("op_annual_reimbursement_amt"),
+    base = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as beneficiary_key",
+        "c_custkey as beneficiary_id",
+        "cast(30 + c_custkey % 71 as int) as patient_age",
+        "if(c_custkey % 2 = 0, 'Male', 'Female') as gender",
+        "c_nationkey as state_code",
+        "c_custkey % 97 = 0 as is_deceased",
+        "if(c_custkey % 97 = 0, date_add(date '1996-01-01', cast(c_custkey % 2000 as int)), null)"
+        " as date_of_death",
+        "cast(floor(greatest(c_acctbal, 0d)) as bigint) as ip_annual_reimbursement_amt",
+        "c_custkey % 40 * 100 as op_annual_reimbursement_amt",
+        *_FLAGS,
     )
-    total = sum((F.col(flag) for flag in CONDITION_FLAGS[1:]), F.col(CONDITION_FLAGS[0]))
-    return base.withColumn("chronic_condition_count", total)
+    return base.selectExpr(
+        "*",
+        "make_date(2009 - patient_age, cast(1 + beneficiary_key % 12 as int), "
+        "cast(1 + beneficiary_key % 28 as int)) as date_of_birth",
+        " + ".join(CONDITION_FLAGS) + " as chronic_condition_count",
+    ).withColumn("age_group", age_tier("patient_age"))
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("geo_key"),
-        F.col("n_nationkey").alias("state_code"),
-        F.col("n_name").alias("state_name"),
-        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("state_abbr"),
-        F.col("r_name").alias("region"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey as geo_key",
+        "n_nationkey as state_code",
+        "n_name as state_name",
+        "concat('N', n_nationkey) as state_abbr",
+        "r_name as region",
     )
 
 
 def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as claims, still without their order."""
-    part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    inpatient = (F.col("l_returnflag") == "R") & (part % 4 == 0)
-    factor = F.when(supp % 20 == 3, 5).when(supp % 20 == 0, 3).when(supp % 20 == 7, 2).otherwise(1)
-    amount = F.when(part % 27 == 0, F.lit(0).cast("bigint")).otherwise(
-        F.floor(F.col("l_extendedprice") / 10).cast("bigint") * factor
+    base = table(spark, sf_dir, "lineitem").selectExpr(
+        "*",
+        "l_returnflag = 'R' and l_partkey % 4 = 0 as inpatient",
+        "if(l_partkey % 27 = 0, 0L, cast(floor(l_extendedprice / 10) as bigint) * "
+        "case l_suppkey % 20 when 3 then 5 when 0 then 3 when 7 then 2 else 1 end) as amount",
+        "if(l_suppkey % 5 = 1 and l_linenumber = 1, 0, cast(l_quantity as int) % 36) as days",
     )
-    days = F.when((supp % 5 == 1) & (line == 1), 0).otherwise(F.col("l_quantity").cast("int") % 36)
-    codes = F.when(supp % 7 == 0, 9 + part % 2).otherwise(1 + part % 9)
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("visit_key"),
-        F.concat_ws(
-            "-",
-            F.col("l_orderkey"),
-            line,
-            part,
-            supp,
-            F.round(F.col("l_extendedprice") * 100).cast("bigint"),
-        ).alias("claim_id"),
-        supp.alias("line_provider_key"),
-        F.when(inpatient, "Inpatient").otherwise("Outpatient").alias("claim_type"),
-        amount.alias("claim_reimbursement_amt"),
-        F.round(F.col("l_tax") * 100).cast("int").cast("decimal(10,2)").alias("deductible_amt_paid"),
-        F.when(part % 11 != 0, part % 50).alias("attending_physician_id"),
-        days.alias("claim_duration_days"),
-        F.when(inpatient, days).alias("admission_duration_days"),
-        codes.cast("int").alias("diagnosis_code_count"),
-        (part % 4).cast("int").alias("procedure_code_count"),
-        (amount == 0).alias("is_zero_reimbursement"),
-        F.when(inpatient, days == 0).alias("is_same_day_discharge"),
+    return base.selectExpr(
+        "l_orderkey as visit_key",
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        "cast(round(l_extendedprice * 100) as bigint)) as claim_id",
+        "l_suppkey as line_provider_key",
+        "if(inpatient, 'Inpatient', 'Outpatient') as claim_type",
+        "amount as claim_reimbursement_amt",
+        "cast(cast(round(l_tax * 100) as int) as decimal(10,2)) as deductible_amt_paid",
+        "if(l_partkey % 11 <> 0, l_partkey % 50, null) as attending_physician_id",
+        "days as claim_duration_days",
+        "if(inpatient, days, null) as admission_duration_days",
+        "cast(if(l_suppkey % 7 = 0, 9 + l_partkey % 2, 1 + l_partkey % 9) as int)"
+        " as diagnosis_code_count",
+        "cast(l_partkey % 4 as int) as procedure_code_count",
+        "amount = 0 as is_zero_reimbursement",
+        "if(inpatient, days = 0, null) as is_same_day_discharge",
     )
 
 
@@ -125,10 +128,10 @@ def model(spark: SparkSession, sf_dir: str) -> ClaimsModel:
     dim_geography = geography(spark, sf_dir)
     visits = (
         table(spark, sf_dir, "orders")
-        .select(
+        .selectExpr(
             "o_orderkey",
-            F.col("o_custkey").alias("beneficiary_key"),
-            F.col("o_orderdate").cast("date").alias("claim_start_date"),
+            "o_custkey as beneficiary_key",
+            "cast(o_orderdate as date) as claim_start_date",
         )
         .join(dim_beneficiary, "beneficiary_key")
         .join(dim_geography, "state_code", "left")

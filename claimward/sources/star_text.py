@@ -7,7 +7,7 @@ blanks, stray quotes, impossible dates, negative amounts, unknown keys and label
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from claimward.schemas import CHRONIC_COLUMNS, RAW_COLUMNS
 from claimward.sources.star import table
@@ -90,7 +90,7 @@ PROVIDER_RULES = {
 
 
 def _apply(df: DataFrame, rules: dict[str, str], names: list[str]) -> DataFrame:
-    return df.select(*[F.expr(rules[name]).alias(name) for name in names])
+    return df.selectExpr(*[f"{rules[name]} AS {name}" for name in names])
 
 
 def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -98,7 +98,7 @@ def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = table(spark, sf_dir, "lineitem")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    base = joined.select("*", *[F.expr(rule).alias(name) for name, rule in BASE_RULES.items()])
+    base = joined.selectExpr("*", *[f"{rule} AS {name}" for name, rule in BASE_RULES.items()])
     return {
         "provider": _apply(
             table(spark, sf_dir, "supplier"), PROVIDER_RULES, RAW_COLUMNS["provider"]
