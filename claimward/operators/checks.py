@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 
 from claimward.config import CONDITION_FLAGS
 from claimward.functions.columns import INPATIENT, OUTPATIENT, is_blank, mean, percent
-from claimward.operators.profile import NAMES, as_date, as_number, trimmed
+from claimward.operators.profile import NAMES, as_date, as_number, rows_per_key, trimmed
 from claimward.operators.tally import (
     CRITICAL,
     WARNING,
@@ -21,7 +21,7 @@ from claimward.operators.tally import (
     tally,
     union_all,
 )
-from claimward.schemas import DATASETS, PRIMARY_KEYS, RAW_COLUMNS, REQUIRED
+from claimward.schemas import DATASETS, RAW_COLUMNS, REQUIRED
 
 Tables = dict[str, DataFrame]
 # Name parts that mark date and amount columns of the raw files.
@@ -44,13 +44,11 @@ def _marked(dataset: str, marks: tuple[str, ...]) -> list[str]:
 def bronze(df: DataFrame, dataset: str, expected: int | None = None) -> DataFrame:
     """Row count, required columns, duplicate keys (critical); dates, amounts (warning)."""
     table = NAMES[dataset]
-    key = F.struct(*[F.coalesce(F.col(name), F.lit("")) for name in PRIMARY_KEYS[dataset]])
     findings: list[tuple[str, Column, str]] = []
     if expected is not None:
         findings.append((f"{table}: row count", F.abs(_rows() - expected), CRITICAL))
     for name in REQUIRED[dataset]:
         findings.append((f"{table}.{name}: missing", F.count_if(is_blank(name)), CRITICAL))
-    findings.append((f"{table}: duplicate key rows", _rows() - F.count_distinct(key), CRITICAL))
     for name in _marked(dataset, DATE_MARKS):
         bad = (F.coalesce(trimmed(name), F.lit("")) != "NA") & as_date(name).isNull()
         findings.append((f"{table}.{name}: not a date", F.count_if(bad), WARNING))
@@ -59,8 +57,14 @@ def bronze(df: DataFrame, dataset: str, expected: int | None = None) -> DataFram
     counts = measured(
         df, [(name, {"issue_count": count}) for name, count, _ in findings], "check_name"
     )
+    # only the key is shuffled for the duplicates; all other counts need no shuffle
+    surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint"))
+    repeated = rows_per_key(df, dataset).agg(surplus.alias("issue_count"))
+    duplicates = named_count(repeated, f"{table}: duplicate key rows")
     levels = [F.lit(part) for name, _, level in findings for part in (name, level)]
-    return as_checks(counts, "bronze", F.create_map(*levels)[F.col("check_name")])
+    return as_checks(
+        counts, "bronze", F.create_map(*levels)[F.col("check_name")]
+    ).unionByName(as_checks(duplicates, "bronze", CRITICAL))
 
 
 def bronze_all(raw: Tables, expected: dict[str, int]) -> DataFrame:

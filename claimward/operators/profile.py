@@ -84,13 +84,16 @@ def columns_profile(df: DataFrame, dataset: str, top: int = 5) -> DataFrame:
         rows_where(value == "NA").alias("na_count"),
         F.count(value).alias("distinct_count"),
     )
-    # the row_number filter is applied inside each task first, so only a handful of
-    # candidates per column and task are shuffled
-    order = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
+    # The filter on the place is applied inside each task first, so only a handful of
+    # candidates per column and task are shuffled. NULL sorts last and goes afterwards:
+    # both branches then read the same counted values, which are shuffled once.
+    order = Window.partitionBy("column_name").orderBy(
+        value.isNull(), F.desc("n"), F.asc_nulls_last("value")
+    )
     frequent = (
-        long.filter(value.isNotNull())
-        .withColumn("place", F.row_number().over(order))
+        long.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= top)
+        .filter(value.isNotNull())
         .groupBy("column_name")
         .agg(
             F.sort_array(
@@ -109,10 +112,17 @@ def columns_profile(df: DataFrame, dataset: str, top: int = 5) -> DataFrame:
     )
 
 
+def rows_per_key(df: DataFrame, dataset: str) -> DataFrame:
+    """Rows ``n`` of every key; a missing key counts as a blank one."""
+    key = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in PRIMARY_KEYS[dataset]]
+    return df.groupBy(*key).agg(_rows().alias("n"))
+
+
 def dataset_profile(df: DataFrame, dataset: str, expected: int | None) -> DataFrame:
     """Rows against expectation, number of columns, surplus rows of the key."""
-    key = F.struct(*[F.coalesce(F.col(name), F.lit("")) for name in PRIMARY_KEYS[dataset]])
-    counted = df.agg(_rows().alias("row_count"), F.count_distinct(key).alias("keys"))
+    counted = rows_per_key(df, dataset).agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("row_count"), _rows().alias("keys")
+    )
     return counted.select(
         F.lit(dataset).alias("dataset"),
         "row_count",

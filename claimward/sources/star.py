@@ -122,7 +122,11 @@ def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model(spark: SparkSession, sf_dir: str) -> ClaimsModel:
-    """Orders meet the patient first: the long line table is then shuffled only once."""
+    """Orders meet the patient before the lines do.
+
+    The long line table then takes part in one join by order and one by provider, instead
+    of being shuffled once more by patient. Small dimensions are broadcast by their size.
+    """
     dim_provider = providers(spark, sf_dir)
     dim_beneficiary = beneficiaries(spark, sf_dir)
     dim_geography = geography(spark, sf_dir)
@@ -139,8 +143,8 @@ def model(spark: SparkSession, sf_dir: str) -> ClaimsModel:
     )
     lines = claim_lines(spark, sf_dir)
     claims = (
-        lines.join(dim_provider, lines.line_provider_key == dim_provider.provider_key)
-        .join(visits, lines.visit_key == visits.o_orderkey)
+        lines.join(visits, lines.visit_key == visits.o_orderkey)
+        .join(dim_provider, lines.line_provider_key == dim_provider.provider_key)
         .drop("line_provider_key", "visit_key", "o_orderkey")
     )
     return ClaimsModel(claims, dim_provider, dim_beneficiary, dim_geography)
