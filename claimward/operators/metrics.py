@@ -49,7 +49,7 @@ def _providers() -> Column:
 
 
 def _fraud_providers() -> Column:
-    return F.count_distinct(F.when(_flagged(), F.col("provider_key")))
+    return F.expr("count(distinct provider_key) filter (where is_potential_fraud)")
 
 
 METRICS: dict[str, Callable[[], Column]] = {

@@ -186,7 +186,7 @@ def deceased_claims(model: ClaimsModel) -> DataFrame:
             F.max(day).alias("last_claim_date"),
             F.count_distinct("provider_key").alias("unique_providers"),
             F.count_if(day > F.col("date_of_death")).alias("claims_started_after_death"),
-            F.count_distinct(F.when(F.col("is_potential_fraud"), F.col("provider_key"))).alias(
+            F.expr("count(distinct provider_key) filter (where is_potential_fraud)").alias(
                 "fraud_providers_involved"
             ),
         )
