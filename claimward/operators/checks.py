@@ -8,11 +8,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from claimward.config import CONDITION_FLAGS
-from claimward.functions.columns import INPATIENT, OUTPATIENT, is_blank, mean, percent
+from claimward.functions.columns import (
+    INPATIENT,
+    OUTPATIENT,
+    age_tier,
+    is_blank,
+    mean,
+    percent,
+)
 from claimward.operators.profile import NAMES, as_date, as_number, rows_per_key, trimmed
 from claimward.operators.tally import (
     CRITICAL,
     WARNING,
+    Check,
     as_checks,
     enforce,
     measured,
@@ -100,99 +108,86 @@ def _against(counts: DataFrame, expected: dict[str, int]) -> DataFrame:
     )
 
 
+Groups = dict[str, list[Check]]
+
+
+def _run(layer: str, tables: Tables, *groups: Groups) -> DataFrame:
+    """All checks of all groups, one pass per table."""
+    merged: Groups = {}
+    for group in groups:
+        for table, found in group.items():
+            merged.setdefault(table, []).extend(found)
+    return union_all([tally(tables[table], layer, found) for table, found in merged.items()])
+
+
+# Columns that must be filled in the staging tables.
+FILLED = {
+    "stg_provider": ["provider_id", "is_potential_fraud"],
+    "stg_beneficiary": [
+        "beneficiary_id",
+        "date_of_birth",
+        "gender",
+        "patient_age",
+        "age_group",
+        "is_deceased",
+        "chronic_condition_count",
+    ],
+    "stg_claims": [
+        "claim_id",
+        "beneficiary_id",
+        "provider_id",
+        "claim_type",
+        "claim_start_date",
+        "claim_end_date",
+        "claim_reimbursement_amt",
+    ],
+}
+
+
+def _null_checks() -> Groups:
+    """Missing ids are critical, other missing values are reported."""
+    return {
+        table: [
+            (f"{table}.{c}: null", F.col(c).isNull(), CRITICAL if c.endswith("_id") else WARNING)
+            for c in names
+        ]
+        for table, names in FILLED.items()
+    }
+
+
 def silver_nulls(silver: Tables) -> DataFrame:
-    required = {
-        "stg_provider": ["provider_id", "is_potential_fraud"],
-        "stg_beneficiary": [
-            "beneficiary_id",
-            "date_of_birth",
-            "gender",
-            "patient_age",
-            "age_group",
-            "is_deceased",
-            "chronic_condition_count",
-        ],
-        "stg_claims": [
-            "claim_id",
-            "beneficiary_id",
-            "provider_id",
-            "claim_type",
-            "claim_start_date",
-            "claim_end_date",
-            "claim_reimbursement_amt",
-        ],
+    return _run("silver", silver, _null_checks())
+
+
+def _domain_checks() -> Groups:
+    bad_flag = reduce(lambda a, b: a | b, [~F.col(c).isin(0, 1) for c in CONDITION_FLAGS])
+    outside = {
+        "stg_provider": {
+            "fraud flag outside true/false": ~F.col("is_potential_fraud").cast("int").isin(0, 1),
+        },
+        "stg_beneficiary": {
+            "gender outside Male/Female": ~F.col("gender").isin("Male", "Female"),
+            "age group unknown": ~F.col("age_group").isin(*AGE_GROUPS),
+            "renal indicator outside 0/1": ~F.col("renal_disease_indicator").isin(0, 1),
+            "condition flags outside 0/1": bad_flag,
+        },
+        "stg_claims": {
+            "claim type unknown": ~F.col("claim_type").isin(INPATIENT, OUTPATIENT),
+            "zero flag outside true/false": ~F.col("is_zero_reimbursement").cast("int").isin(0, 1),
+        },
+    }
+    return _warnings(outside)
+
+
+def _warnings(named: dict[str, dict[str, Column]]) -> Groups:
+    return {
+        table: [(f"{table}: {name}", bad, WARNING) for name, bad in found.items()]
+        for table, found in named.items()
     }
-    ids = {"provider_id", "beneficiary_id", "claim_id"}
-    return union_all(
-        [
-            tally(
-                silver[table],
-                "silver",
-                [
-                    (f"{table}.{c}: null", F.col(c).isNull(), CRITICAL if c in ids else WARNING)
-                    for c in names
-                ],
-            )
-            for table, names in required.items()
-        ]
-    )
 
 
 def silver_domains(silver: Tables) -> DataFrame:
-    bad_flag = reduce(lambda a, b: a | b, [~F.col(c).isin(0, 1) for c in CONDITION_FLAGS])
-    return union_all(
-        [
-            tally(
-                silver["stg_provider"],
-                "silver",
-                [
-                    (
-                        "stg_provider: fraud flag outside true/false",
-                        ~F.col("is_potential_fraud").cast("int").isin(0, 1),
-                        WARNING,
-                    )
-                ],
-            ),
-            tally(
-                silver["stg_beneficiary"],
-                "silver",
-                [
-                    (
-                        "stg_beneficiary: gender outside Male/Female",
-                        ~F.col("gender").isin("Male", "Female"),
-                        WARNING,
-                    ),
-                    (
-                        "stg_beneficiary: age group unknown",
-                        ~F.col("age_group").isin(*AGE_GROUPS),
-                        WARNING,
-                    ),
-                    (
-                        "stg_beneficiary: renal indicator outside 0/1",
-                        ~F.col("renal_disease_indicator").isin(0, 1),
-                        WARNING,
-                    ),
-                    ("stg_beneficiary: condition flags outside 0/1", bad_flag, WARNING),
-                ],
-            ),
-            tally(
-                silver["stg_claims"],
-                "silver",
-                [
-                    (
-                        "stg_claims: claim type unknown",
-                        ~F.col("claim_type").isin(INPATIENT, OUTPATIENT),
-                        WARNING,
-                    ),
-                    (
-                        "stg_claims: zero flag outside true/false",
-                        ~F.col("is_zero_reimbursement").cast("int").isin(0, 1),
-                        WARNING,
-                    ),
-                ],
-            ),
-        ]
-    )
+    return _run("silver", silver, _domain_checks())
 
 
 def silver_distinct(silver: Tables) -> DataFrame:
@@ -214,70 +209,42 @@ def silver_distinct(silver: Tables) -> DataFrame:
     )
 
 
-def silver_derived(silver: Tables) -> DataFrame:
-    """Derived columns recomputed from the columns they come from."""
+def _derived_checks() -> Groups:
     age, group = F.col("patient_age"), F.col("age_group")
-    wrong_group = (
-        ((age < 45) & (group != "Below 45"))
-        | ((age >= 45) & (age < 55) & (group != "45-54"))
-        | ((age >= 55) & (age < 65) & (group != "55-64"))
-        | ((age >= 65) & (group != "65+"))
-    )
     flag_sum = sum((F.col(c) for c in CONDITION_FLAGS[1:]), F.col(CONDITION_FLAGS[0]))
     inpatient = F.col("claim_type") == INPATIENT
     outpatient = F.col("claim_type") == OUTPATIENT
     stay = F.date_diff("discharge_date", "admission_date")
+    length = F.date_diff("claim_end_date", "claim_start_date")
     amount = F.col("claim_reimbursement_amt")
-    people = [
-        ("stg_beneficiary: age group does not fit age", wrong_group, WARNING),
-        (
-            "stg_beneficiary: death flag does not fit death date",
-            F.col("is_deceased") != F.col("date_of_death").isNotNull(),
-            WARNING,
-        ),
-        (
-            "stg_beneficiary: condition count is not the flag sum",
-            F.col("chronic_condition_count") != flag_sum,
-            WARNING,
-        ),
-    ]
-    claims = [
-        (
-            "stg_claims: duration is not the date difference",
-            F.col("claim_duration_days") != F.date_diff("claim_end_date", "claim_start_date"),
-            WARNING,
-        ),
-        (
-            "stg_claims: stay is not the date difference",
-            inpatient & (F.col("admission_duration_days") != stay),
-            WARNING,
-        ),
-        (
-            "stg_claims: zero flag does not fit amount",
-            F.col("is_zero_reimbursement") != (amount == 0),
-            WARNING,
-        ),
-        (
-            "stg_claims: same-day flag does not fit dates",
-            inpatient & (F.col("is_same_day_discharge") != (stay == 0)),
-            WARNING,
-        ),
-        (
-            "stg_claims: outpatient with admission date",
-            outpatient & F.col("admission_date").isNotNull(),
-            WARNING,
-        ),
-        (
-            "stg_claims: outpatient with same-day flag",
-            outpatient & F.col("is_same_day_discharge").isNotNull(),
-            WARNING,
-        ),
-    ]
-    return tally(silver["stg_beneficiary"], "silver", people).unionByName(
-        tally(silver["stg_claims"], "silver", claims)
+    return _warnings(
+        {
+            "stg_beneficiary": {
+                "age group does not fit age": age.isNotNull() & (group != age_tier(age)),
+                "death flag does not fit death date": F.col("is_deceased")
+                != F.col("date_of_death").isNotNull(),
+                "condition count is not the flag sum": F.col("chronic_condition_count") != flag_sum,
+            },
+            "stg_claims": {
+                "duration is not the date difference": F.col("claim_duration_days") != length,
+                "stay is not the date difference": inpatient
+                & (F.col("admission_duration_days") != stay),
+                "zero flag does not fit amount": F.col("is_zero_reimbursement") != (amount == 0),
+                "same-day flag does not fit dates": inpatient
+                & (F.col("is_same_day_discharge") != (stay == 0)),
+                "outpatient with admission date": outpatient & F.col("admission_date").isNotNull(),
+                "outpatient with same-day flag": outpatient
+                & F.col("is_same_day_discharge").isNotNull(),
+            },
+        }
     )
 
 
+def silver_derived(silver: Tables) -> DataFrame:
+    """Derived columns recomputed from the columns they come from."""
+    return _run("silver", silver, _derived_checks())
+
+
 def silver_references(silver: Tables) -> DataFrame:
     """Claims without a staged patient or provider (they will not reach the fact)."""
     found = [
@@ -293,30 +260,33 @@ def silver_references(silver: Tables) -> DataFrame:
     return as_checks(union_all(found), "silver", WARNING)
 
 
-def silver_placeholders(silver: Tables) -> DataFrame:
-    """No placeholder text may be left anywhere it was replaced."""
-    texts = [
+# Columns in which the placeholder was replaced.
+CLEANED = {
+    "stg_claims": [
         "attending_physician_id",
         "operating_physician_id",
         "other_physician_id",
         "diagnosis_code_1",
         "procedure_code_1",
         "deductible_amt_paid",
-    ]
-    claims = [
-        (f"stg_claims.{c}: placeholder left", F.col(c).cast("string") == "NA", CRITICAL)
-        for c in texts
-    ]
-    people = [
-        (
-            "stg_beneficiary.date_of_death: placeholder left",
-            F.col("date_of_death").cast("string") == "NA",
-            CRITICAL,
-        )
-    ]
-    return tally(silver["stg_claims"], "silver", claims).unionByName(
-        tally(silver["stg_beneficiary"], "silver", people)
-    )
+    ],
+    "stg_beneficiary": ["date_of_death"],
+}
+
+
+def _placeholder_checks() -> Groups:
+    return {
+        table: [
+            (f"{table}.{c}: placeholder left", F.col(c).cast("string") == "NA", CRITICAL)
+            for c in names
+        ]
+        for table, names in CLEANED.items()
+    }
+
+
+def silver_placeholders(silver: Tables) -> DataFrame:
+    """No placeholder text may be left anywhere it was replaced."""
+    return _run("silver", silver, _placeholder_checks())
 
 
 def silver_ranges(silver: Tables) -> DataFrame:
@@ -406,16 +376,9 @@ def silver_business(silver: Tables) -> DataFrame:
 
 
 def silver_gate(silver: Tables) -> DataFrame:
-    """All silver checks with the uniform result."""
-    return union_all(
-        [
-            silver_nulls(silver),
-            silver_domains(silver),
-            silver_derived(silver),
-            silver_references(silver),
-            silver_placeholders(silver),
-        ]
-    )
+    """All silver checks with the uniform result: one pass per table, plus the references."""
+    groups = [_null_checks(), _domain_checks(), _derived_checks(), _placeholder_checks()]
+    return _run("silver", silver, *groups).unionByName(silver_references(silver))
 
 
 # --- gold ----------------------------------------------------------------------------
@@ -436,101 +399,97 @@ FACT_KEYS = {
 }
 
 
-def gold_references(gold: Tables) -> DataFrame:
-    """Fact keys without a dimension row, and missing fact keys.
+# A claim whose start date was no date keeps its place in the fact without a date key.
+KEY_LEVELS = {
+    "provider_key": CRITICAL,
+    "beneficiary_key": CRITICAL,
+    "claim_start_date_key": WARNING,
+}
+
 
-    Only the provider and patient keys are critical: a claim whose start date was no date
-    keeps its place in the fact without a date key.
-    """
+def _missing_key_checks() -> Groups:
+    return {
+        "fact_claims": [
+            (f"fact_claims.{key}: null", F.col(key).isNull(), level)
+            for key, level in KEY_LEVELS.items()
+        ]
+    }
+
+
+def _gold_orphans(gold: Tables) -> DataFrame:
     fact = gold["fact_claims"]
-    levels = {"provider_key": CRITICAL, "beneficiary_key": CRITICAL}
-    found = [
-        as_checks(
-            named_count(
-                orphan_rows(fact.filter(F.col(key).isNotNull()), key, gold[table], parent_key),
-                f"fact_claims.{key}: not in {table}",
-            ),
-            "gold",
-            levels.get(key, WARNING),
-        )
-        for key, (table, parent_key) in FACT_KEYS.items()
-    ]
-    missing = tally(
-        fact,
-        "gold",
+    return union_all(
         [
-            (f"fact_claims.{key}: null", F.col(key).isNull(), levels.get(key, WARNING))
-            for key in FACT_KEYS
-        ],
+            as_checks(
+                named_count(
+                    orphan_rows(fact.filter(F.col(key).isNotNull()), key, gold[table], parent_key),
+                    f"fact_claims.{key}: not in {table}",
+                ),
+                "gold",
+                KEY_LEVELS[key],
+            )
+            for key, (table, parent_key) in FACT_KEYS.items()
+        ]
     )
-    return union_all([*found, missing])
+
+
+def gold_references(gold: Tables) -> DataFrame:
+    """Fact keys without a dimension row, and missing fact keys."""
+    return _gold_orphans(gold).unionByName(_run("gold", gold, _missing_key_checks()))
+
+
+def _fact_checks() -> Groups:
+    def null(name: str, level: str) -> Check:
+        return (f"fact_claims.{name}: null", F.col(name).isNull(), level)
+
+    unknown = ~F.col("claim_type").isin(INPATIENT, OUTPATIENT)
+    return {
+        "fact_claims": [
+            ("fact_claims: claim type unknown", unknown, WARNING),
+            null("claim_type", CRITICAL),
+            null("is_potential_fraud", WARNING),
+            null("claim_reimbursement_amt", WARNING),
+        ]
+    }
 
 
 def gold_fact(gold: Tables) -> DataFrame:
     """Completeness of the fact."""
-    return tally(
-        gold["fact_claims"],
-        "gold",
-        [
+    return _run("gold", gold, _fact_checks())
+
+
+def gold_fact_types(gold: Tables) -> DataFrame:
+    return gold["fact_claims"].groupBy("claim_type").agg(_rows().alias("row_count"))
+
+
+def _dim_checks() -> Groups:
+    def null(table: str, name: str) -> Check:
+        return (f"{table}.{name}: null", F.col(name).isNull(), WARNING)
+
+    return {
+        "dim_provider": [
             (
-                "fact_claims: claim type unknown",
-                ~F.col("claim_type").isin(INPATIENT, OUTPATIENT),
+                "dim_provider: fraud flag outside true/false",
+                ~F.col("is_potential_fraud").cast("int").isin(0, 1),
                 WARNING,
             ),
-            ("fact_claims.claim_type: null", F.col("claim_type").isNull(), CRITICAL),
-            ("fact_claims.is_potential_fraud: null", F.col("is_potential_fraud").isNull(), WARNING),
             (
-                "fact_claims.claim_reimbursement_amt: null",
-                F.col("claim_reimbursement_amt").isNull(),
+                "dim_provider: label unknown",
+                ~F.col("fraud_label").isin("Fraud", "Not Fraud"),
                 WARNING,
             ),
         ],
-    )
-
-
-def gold_fact_types(gold: Tables) -> DataFrame:
-    return gold["fact_claims"].groupBy("claim_type").agg(_rows().alias("row_count"))
+        "dim_beneficiary": [
+            null("dim_beneficiary", "patient_age"),
+            null("dim_beneficiary", "age_group"),
+        ],
+        "dim_geography": [null("dim_geography", "state_name")],
+        "dim_date": [null("dim_date", "year_month")],
+    }
 
 
 def gold_dims(gold: Tables) -> DataFrame:
-    return union_all(
-        [
-            tally(
-                gold["dim_provider"],
-                "gold",
-                [
-                    (
-                        "dim_provider: fraud flag outside true/false",
-                        ~F.col("is_potential_fraud").cast("int").isin(0, 1),
-                        WARNING,
-                    ),
-                    (
-                        "dim_provider: label unknown",
-                        ~F.col("fraud_label").isin("Fraud", "Not Fraud"),
-                        WARNING,
-                    ),
-                ],
-            ),
-            tally(
-                gold["dim_beneficiary"],
-                "gold",
-                [
-                    ("dim_beneficiary.patient_age: null", F.col("patient_age").isNull(), WARNING),
-                    ("dim_beneficiary.age_group: null", F.col("age_group").isNull(), WARNING),
-                ],
-            ),
-            tally(
-                gold["dim_geography"],
-                "gold",
-                [("dim_geography.state_name: null", F.col("state_name").isNull(), WARNING)],
-            ),
-            tally(
-                gold["dim_date"],
-                "gold",
-                [("dim_date.year_month: null", F.col("year_month").isNull(), WARNING)],
-            ),
-        ]
-    )
+    return _run("gold", gold, _dim_checks())
 
 
 def gold_rollup(gold: Tables) -> DataFrame:
@@ -626,8 +585,9 @@ def gold_spots(gold: Tables, limit: int = 5) -> DataFrame:
 
 
 def gold_gate(gold: Tables) -> DataFrame:
-    """All gold checks with the uniform result."""
-    return union_all([gold_references(gold), gold_fact(gold), gold_dims(gold), gold_rollup(gold)])
+    """All gold checks with the uniform result: one pass per table, plus the joins."""
+    rows = _run("gold", gold, _missing_key_checks(), _fact_checks(), _dim_checks())
+    return union_all([rows, _gold_orphans(gold), gold_rollup(gold)])
 
 
 __all__ = [

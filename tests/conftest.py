@@ -18,7 +18,7 @@ def spark():
     session = build_session(
         "claimward-tests",
         "local[4]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
     )
