@@ -166,7 +166,7 @@ def test_rollups_and_shares_agree_with_the_claims(star_model):
 def test_filters_reach_the_scan(star_model):
     plan = reports.sliced(star_model, {"region": ["ASIA"], "claim_type": ["Outpatient"]})
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "r_name" in text and "In(r_name" in text.replace("EqualTo", "In") or "ASIA" in text
+    assert "ASIA" in text and "isnotnull(r_name" in text
     assert "c_name" not in text and "l_shipdate" not in text  # unused columns are not read
 
 
