@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from claimward.llm import mixing, rules, tokens, urlfilter, warc
+from claimward.llm import minhash, mixing, pagetext, rules, tokens, urlfilter, warc
 
 QUERIES = {
+    "op2_circulant_minhash": minhash.op2,
     "op3_warc_index": warc.op3,
     "op4_url_rules": urlfilter.op4,
     "op6_weak_supervision": rules.op6,
+    "op7_text_density": pagetext.op7,
     "op8_seekable_ids": tokens.op8,
     "op10_water_filling": mixing.op10,
 }
 ORACLES = {
+    "op2_circulant_minhash": minhash.OP2_SQL,
     "op3_warc_index": warc.OP3_SQL,
     "op4_url_rules": urlfilter.OP4_SQL,
 }
