@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from claimward.llm import minhash, mixing, pagetext, rules, tokens, urlfilter, warc
+from claimward.llm import decontaminate, minhash, mixing, pagetext, rules, tokens, urlfilter, warc
 
 QUERIES = {
     "op2_circulant_minhash": minhash.op2,
     "op3_warc_index": warc.op3,
     "op4_url_rules": urlfilter.op4,
+    "op5_spaced_seeds": decontaminate.op5,
     "op6_weak_supervision": rules.op6,
     "op7_text_density": pagetext.op7,
     "op8_seekable_ids": tokens.op8,
@@ -17,4 +18,5 @@ ORACLES = {
     "op2_circulant_minhash": minhash.OP2_SQL,
     "op3_warc_index": warc.OP3_SQL,
     "op4_url_rules": urlfilter.OP4_SQL,
+    "op5_spaced_seeds": decontaminate.OP5_SQL,
 }
