@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from claimward.llm import decontaminate, minhash, mixing, pagetext, rules, tokens, urlfilter, warc
+from claimward.llm import decontaminate, langid, minhash, mixing, pagetext, quality, rules, tokens, urlfilter, warc
 
 QUERIES = {
+    "op1_crf_language": langid.op1,
     "op2_circulant_minhash": minhash.op2,
     "op3_warc_index": warc.op3,
     "op4_url_rules": urlfilter.op4,
@@ -12,6 +13,7 @@ QUERIES = {
     "op6_weak_supervision": rules.op6,
     "op7_text_density": pagetext.op7,
     "op8_seekable_ids": tokens.op8,
+    "op9_crf_quality": quality.op9,
     "op10_water_filling": mixing.op10,
 }
 ORACLES = {
