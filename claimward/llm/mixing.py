@@ -129,7 +129,7 @@ def draws(sized: DataFrame, per_source: DataFrame) -> DataFrame:
         .agg(F.sum("size").alias("size"))
         .withColumn("so_far", F.sum("size").over(up_to))
         .withColumn("wanted", F.sum("size").over(slice_of) * F.col("part_epoch"))
-        .withColumn("fits", F.col("so_far") <= F.col("wanted"))
+        .withColumn("fits", (F.col("so_far") <= F.col("wanted")) & (F.col("part_epoch") > 0))
         .withColumn("left", left)
         .groupBy("source", "slice")
         .agg(

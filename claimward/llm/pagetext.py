@@ -221,8 +221,6 @@ class Page:
         """Roots of the content, in page order."""
         density, sums = self.densities()
         best = max(range(len(sums)), key=lambda n: (sums[n], density[n], -n))
-        if not density[best]:
-            return []
         path = [best]
         while path[-1]:
             path.append(self.parent[path[-1]])
@@ -230,7 +228,7 @@ class Page:
         if outer:
             return [outer[0]]
         if sums[best] <= 0:
-            return [0]
+            return [0]  # a few characters at most
         threshold = min(density[n] for n in path)
         # largest sum at or below each node, found bottom-up
         top = list(range(len(sums)))

@@ -228,34 +228,36 @@ def train(documents: DataFrame, labels: DataFrame, each: int = SAMPLE) -> Model
     return learn([(r.text or "").encode() for r in found], [r.quality for r in found])
 
 
-def _with_score(documents: DataFrame, model: Model | None, carried: list[str]) -> DataFrame:
-    """``carried`` columns, as they are, and ``score``."""
+def _with_score(documents: DataFrame, model: Model | None, carried: list[str], name: str) -> DataFrame:
+    """``carried`` columns, as they are, and the score as column ``name``."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    rows = documents.select(*carried, "text") if "text" not in carried else documents.select(*carried)
+    rows = documents.select(*carried) if "text" in carried else documents.select(*carried, "text")
     fields = ", ".join(f"`{n}` {t}" for n, t in documents.select(*carried).dtypes)
 
     def run(batches):
         known = shared.value
         for batch in batches:
-            scores = [predict(known, texts) for _, texts in chunks(batch.column("text"), batch.column("text"))]
-            arrays = [batch.column(n) for n in carried]
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [*arrays, pa.array(np.concatenate(scores), pa.float64())], names=[*carried, "score"]
-                )
+                texts = batch.column("text")
+                scores = np.concatenate([predict(known, group) for _, group in chunks(texts, texts)])
+                arrays = [batch.column(n) for n in carried] + [pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*carried, name])
 
-    return rows.mapInArrow(run, f"{fields}, score double")
+    return rows.mapInArrow(run, f"{fields}, `{name}` double")
 
 
 def scored(documents: DataFrame, model: Model | None) -> DataFrame:
     """doc_id and score of every document."""
-    return _with_score(documents, model, ["doc_id"])
+    return _with_score(documents, model, ["doc_id"], "score")
 
 
 def good_only(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``documents`` with a score of at least ``threshold``."""
-    model = train(documents, labels)
-    return _with_score(documents, model, documents.columns).filter(F.col("score") >= threshold).drop("score")
+    name = "score"
+    while name in documents.columns:
+        name = f"{name}_"
+    rated = _with_score(documents, train(documents, labels), documents.columns, name)
+    return rated.filter(F.col(name) >= threshold).drop(name)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,8 +112,8 @@ class Encoder:
 class FrameWriter:
     """One seekable file."""
 
-    def __init__(self, out, width: str):
-        self.out, self.width = out, width
+    def __init__(self, out, width: str, frame_tokens: int = FRAME_TOKENS):
+        self.out, self.width, self.frame_tokens = out, width, frame_tokens
         self.packer = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True)
         self.frames: list[tuple[int, int, int]] = []
         self.pending: list[bytes] = []
@@ -121,7 +121,7 @@ class FrameWriter:
 
     def add(self, ids: bytes) -> tuple[int, int]:
         """Add one document; returns its frame and its place among the frame's ids."""
-        if self.pending_tokens >= FRAME_TOKENS:
+        if self.pending_tokens >= self.frame_tokens:
             self.flush()
         spot = (len(self.frames), self.pending_tokens)
         self.pending.append(np.frombuffer(ids, "<u4").astype(self.width).tobytes())
@@ -175,7 +175,13 @@ def id_width(path: str) -> str:
     return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def write(documents: DataFrame, base: str, path: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
+def write(
+    documents: DataFrame,
+    base: str,
+    path: str = VOCABULARY,
+    end_id: int = END_ID,
+    frame_tokens: int = FRAME_TOKENS,
+) -> DataFrame:
     """Write the id files under ``base``; returns the stored index, one row per document."""
     width, ending = id_width(path), struct.pack("<I", end_id)
     names = ["doc_id", "frame", "place", "n_tokens", "part_start"]
@@ -187,7 +193,7 @@ def write(documents: DataFrame, base: str, path: str = VOCABULARY, end_id: int =
             for keys, texts in chunks(batch.column("doc_id"), batch.column("text")):
                 if writer is None:
                     file = attempt_name(base, "ids") + ".zst"
-                    writer = FrameWriter(open_for_write(file), width)
+                    writer = FrameWriter(open_for_write(file), width, frame_tokens)
                 rows = {n: [] for n in names}
                 for key, ids in zip(keys, encoder.encode(texts)):
                     frame, place = writer.add(ids + ending)
