@@ -354,7 +354,7 @@ QUERIES = {
     "dec_disease_counts": (decisions.disease_counts, CARE + _list_counts),
     # --- reference rows applied to the claims ------------------------------------
     "src_calendar": (
-        lambda m: lookups.calendar_over(m.claims),
+        lambda m: lookups.calendar_over(m.fact),
         """, span AS (SELECT CAST(unnest(generate_series(min(claim_start_date), max(claim_start_date),
           INTERVAL 1 DAY)) AS DATE) AS d FROM c)
         SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
@@ -366,7 +366,7 @@ QUERIES = {
           dayofweek(d) IN (0, 6) AS is_weekend FROM span""",
     ),
     "src_series": (
-        lambda m: lookups.parameter_series(m.claims.sparkSession, "top_n").join(
+        lambda m: lookups.parameter_series(m.fact.sparkSession, "top_n").join(
             decisions.top_n_providers(m, 50).withColumnRenamed("provider_rank", "top_n"), "top_n"
         ).groupBy("top_n").agg(F.sum("total_reimbursement").alias("total_reimbursement")),
         PROVIDERS
@@ -375,7 +375,7 @@ QUERIES = {
         WHERE top_n BETWEEN 1 AND 50 GROUP BY top_n""",
     ),
     "src_lookup": (
-        lambda m: lookups.conditions(m.claims.sparkSession).join(
+        lambda m: lookups.conditions(m.fact.sparkSession).join(
             decisions.disease_counts(m), "disease_name"
         ),
         CARE

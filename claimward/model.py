@@ -2,60 +2,114 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
 from claimward.functions.columns import date_key
 
+MONTH = ["year_num", "month_num", "month_name", "year_month"]
+MONTH_KEY = ["year_num", "month_num"]
+PROVIDER = ["provider_id", "fraud_label", "is_potential_fraud"]
+STATE = ["state_name", "state_abbr", "region"]
+
 
 @dataclass(frozen=True)
 class ClaimsModel:
-    """Claims with their dimension attributes, and the dimensions themselves.
+    """Claims and their dimensions, kept apart.
 
-    ``claims`` is the inner join of claim, provider and beneficiary with an optional
-    state. It is written once as a lazy plan; column pruning keeps only what a query
-    asks for, so a query never pays for attributes it does not use.
+    Inner joins are never pruned, so a query names the dimensions it reads: ``fact`` alone,
+    ``joined("provider", "state")``, or ``claims_with(names)`` for columns chosen at run
+    time. Every fact row has its provider and beneficiary (the gold gate sees to that), so
+    leaving a join out does not change the rows. ``rollups`` holds stored rollups by name.
     """
 
-    claims: DataFrame
+    fact: DataFrame
     providers: DataFrame
     beneficiaries: DataFrame
     geography: DataFrame
+    rollups: dict[str, DataFrame] = field(default_factory=dict)
+
+    def joined(self, *parts: str) -> DataFrame:
+        """The claims with the named dimensions: provider, beneficiary, state."""
+        unknown = set(parts) - {"provider", "beneficiary", "state"}
+        if unknown:
+            raise ValueError(f"unknown dimensions {sorted(unknown)}")
+        rows = self.fact
+        if "provider" in parts:
+            both = [c for c in self.providers.columns if c in rows.columns and c != "provider_key"]
+            rows = rows.join(self.providers.drop(*both), "provider_key")
+        if "beneficiary" in parts:
+            rows = rows.join(self.beneficiaries, "beneficiary_key")
+        if "state" in parts:
+            if "geo_key" in rows.columns:
+                states = self.geography.drop("state_code") if "state_code" in rows.columns else self.geography
+                return rows.join(states, "geo_key", "left")
+            if "state_code" not in rows.columns:
+                home = self.beneficiaries.select("beneficiary_key", "state_code")
+                rows = rows.join(home, "beneficiary_key")
+            rows = rows.join(self.geography, "state_code", "left")
+        return rows
+
+    def claims_with(self, names: Iterable[str]) -> DataFrame:
+        """The claims with those dimensions that hold any of the named columns."""
+        missing = set(names) - set(self.fact.columns)
+        parts = []
+        if missing & set(self.providers.columns):
+            parts.append("provider")
+        if missing & set(self.beneficiaries.columns):
+            parts.append("beneficiary")
+        if missing & {*STATE, "geo_key"}:
+            parts.append("state")
+        return self.joined(*parts)
+
+    @property
+    def claims(self) -> DataFrame:
+        """The claims with every dimension."""
+        return self.joined("provider", "beneficiary", "state")
 
 
 def with_month(df: DataFrame) -> DataFrame:
-    """Calendar attributes straight from the start date: no calendar join needed."""
-    day = F.col("claim_start_date")
+    """Year and month numbers: from the partition column where the fact is stored by month,
+    so that filters on them skip files, else from the start date."""
+    if "claim_month" in df.columns:
+        year, month = F.expr("claim_month div 100"), F.expr("claim_month % 100")
+    else:
+        year, month = F.year("claim_start_date"), F.month("claim_start_date")
+    return df.withColumns({"year_num": year.cast("int"), "month_num": month.cast("int")})
+
+
+def name_months(df: DataFrame) -> DataFrame:
+    """Month names on rows that are already grouped by year and month."""
+    first = F.make_date("year_num", "month_num", F.lit(1))
     return df.withColumns(
-        {
-            "year_num": F.year(day),
-            "month_num": F.month(day),
-            "month_name": F.date_format(day, "MMMM"),
-            "year_month": F.date_format(day, "yyyy-MM"),
-        }
+        {"month_name": F.date_format(first, "MMMM"), "year_month": F.date_format(first, "yyyy-MM")}
     )
 
 
-MONTH = ["year_num", "month_num", "month_name", "year_month"]
-PROVIDER = ["provider_id", "fraud_label", "is_potential_fraud"]
-STATE = ["state_name", "state_abbr", "region"]
-
-
 def model_from_gold(tables: dict[str, DataFrame]) -> ClaimsModel:
     """The model over stored gold tables, joined by surrogate key."""
-    providers = tables["dim_provider"]
-    beneficiaries = tables["dim_beneficiary"]
-    geography = tables["dim_geography"]
     fact = tables["fact_claims"].withColumn(
         "claim_start_date", F.to_date(F.col("claim_start_date_key").cast("string"), "yyyyMMdd")
     )
-    claims = (
-        fact.join(providers.drop("is_potential_fraud"), "provider_key")
-        .join(beneficiaries, "beneficiary_key")
-        .join(geography.drop("state_code"), "geo_key", "left")
+    return ClaimsModel(
+        fact,
+        tables["dim_provider"],
+        tables["dim_beneficiary"],
+        tables["dim_geography"],
+        {name: df for name, df in tables.items() if name.startswith("agg_")},
     )
-    return ClaimsModel(claims, providers, beneficiaries, geography)
 
 
-__all__ = ["ClaimsModel", "MONTH", "PROVIDER", "STATE", "date_key", "model_from_gold", "with_month"]
+__all__ = [
+    "ClaimsModel",
+    "MONTH",
+    "MONTH_KEY",
+    "PROVIDER",
+    "STATE",
+    "date_key",
+    "model_from_gold",
+    "name_months",
+    "with_month",
+]

@@ -62,7 +62,7 @@ def threshold_series(model: ClaimsModel) -> DataFrame:
         .groupBy("threshold")
         .agg(F.sum("providers").alias("providers"), F.sum("amount").alias("amount"))
     )
-    thresholds = parameter_series(model.claims.sparkSession, "risk_threshold").select(
+    thresholds = parameter_series(model.fact.sparkSession, "risk_threshold").select(
         F.col("risk_threshold").cast("int").alias("threshold")
     )
     zero = F.lit(0).cast("bigint")
@@ -110,7 +110,7 @@ def under_review_amount(model: ClaimsModel, filters: Filters | None = None) -> D
 
 def in_scope(model: ClaimsModel, filters: Filters | None = None) -> DataFrame:
     """Patients with at least one claim under the filters, one row each."""
-    return filtered(with_month(model.claims), filters).select("beneficiary_key").distinct()
+    return filtered(with_month(model.claims_with(filters or ())), filters).select("beneficiary_key").distinct()
 
 
 def annual_cost() -> Column:
@@ -197,7 +197,7 @@ def disease_counts(model: ClaimsModel, filters: Filters | None = None) -> DataFr
         .groupBy("disease_name")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    listed = conditions(model.claims.sparkSession).select("disease_name")
+    listed = conditions(model.fact.sparkSession).select("disease_name")
     return listed.join(counted, "disease_name", "left").select(
         "disease_name", F.coalesce("n", F.lit(0).cast("bigint")).alias("beneficiary_count")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimward.config import CONDITIONS
 from claimward.functions.columns import date_key, is_inpatient, is_outpatient
 from claimward.functions.ranks import with_rank
-from claimward.model import MONTH, PROVIDER, ClaimsModel, with_month
+from claimward.model import MONTH_KEY, PROVIDER, ClaimsModel, name_months, with_month
 
 UNMAPPED_STATE = -1
 
@@ -123,9 +123,28 @@ def _average(name: str, kind: str) -> Column:
     return cents(F.sum(name), F.count(name), kind)
 
 
-def provider_rollup(
-    model: ClaimsModel, stg_claims: DataFrame | None = None, keep_paid: bool = False
-) -> DataFrame:
+#: Columns of the provider rollup besides the labels.
+ROLLUP_MEASURES = [
+    "total_claims",
+    "total_ip_claims",
+    "total_op_claims",
+    "total_reimbursement",
+    "avg_reimbursement_per_claim",
+    "max_reimbursement",
+    "total_deductible",
+    "unique_beneficiaries",
+    "avg_claim_duration_days",
+    "avg_admission_duration_days",
+    "avg_diagnosis_code_count",
+    "avg_procedure_code_count",
+    "zero_reimbursement_claims",
+    "same_day_discharge_claims",
+    "deceased_patient_claims",
+    "unique_attending_physicians",
+]
+
+
+def provider_rollup(model: ClaimsModel, stg_claims: DataFrame | None = None) -> DataFrame:
     """Nineteen measures per provider.
 
     Attending physicians come from all staged claims of the provider when ``stg_claims``
@@ -148,13 +167,21 @@ def provider_rollup(
         F.sum(F.col("is_same_day_discharge").cast("int")).alias("same_day_discharge_claims"),
         F.count_if("is_deceased").alias("deceased_patient_claims"),
     ]
-    if keep_paid:
-        measures.append(F.count("claim_reimbursement_amt").alias("paid_claims"))
     physicians = F.count_distinct("attending_physician_id").alias("unique_attending_physicians")
-    if stg_claims is None:
-        return model.claims.groupBy(*PROVIDER).agg(*measures, physicians)
-    per_provider = stg_claims.groupBy("provider_id").agg(physicians)
-    return model.claims.groupBy(*PROVIDER).agg(*measures).join(per_provider, "provider_id", "left")
+    labels = model.providers.select("provider_key", *PROVIDER)
+    rows = model.joined("beneficiary").groupBy("provider_key")
+    if stg_claims is None and "attending_physician_id" in model.fact.columns:
+        return rows.agg(*measures, physicians).join(labels, "provider_key").drop("provider_key")
+    if stg_claims is not None:
+        per_provider = stg_claims.groupBy("provider_id").agg(physicians)
+    elif "agg_provider_summary" in model.rollups:  # the stored fact has no physicians
+        per_provider = model.rollups["agg_provider_summary"].select(
+            "provider_id", "unique_attending_physicians"
+        )
+    else:
+        raise ValueError("physicians come from staged claims or the stored rollup")
+    totals = rows.agg(*measures).join(labels, "provider_key").drop("provider_key")
+    return totals.join(per_provider, "provider_id", "left")
 
 
 def state_month_rollup(model: ClaimsModel) -> DataFrame:
@@ -165,9 +192,9 @@ def state_month_rollup(model: ClaimsModel) -> DataFrame:
         "state_abbr": F.coalesce("state_abbr", F.lit("--")),
         "region": F.coalesce("region", F.lit("Unmapped")),
     }
-    return (
-        with_month(model.claims.withColumns(state))
-        .groupBy(*state, *MONTH)
+    return name_months(
+        with_month(model.joined("beneficiary", "state").withColumns(state))
+        .groupBy(*state, *MONTH_KEY)
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
             F.count_if(is_inpatient()).alias("total_ip_claims"),
@@ -198,7 +225,7 @@ def disease_rollup(model: ClaimsModel) -> DataFrame:
     Claims are added up per patient before the conditions are unfolded, so the unfolding
     multiplies patients and not claims.
     """
-    per_patient = model.claims.groupBy("beneficiary_key").agg(
+    per_patient = model.fact.groupBy("beneficiary_key").agg(
         F.count(F.lit(1)).alias("claims"), F.sum("claim_reimbursement_amt").alias("amount")
     )
     enrolled = model.beneficiaries.join(per_patient, "beneficiary_key", "left")

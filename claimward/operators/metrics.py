@@ -23,7 +23,7 @@ from claimward.functions.columns import (
     same_day,
     steps,
 )
-from claimward.model import PROVIDER, ClaimsModel, with_month
+from claimward.model import MONTH_KEY, PROVIDER, ClaimsModel, name_months, with_month
 from claimward.operators.gold import cents
 from claimward.plans.risk import FACTORS, tier
 from claimward.session import materialize
@@ -90,6 +90,9 @@ METRICS: dict[str, Callable[[], Column]] = {
     ),
 }
 
+#: Dimension columns that a metric reads besides the fact.
+READS = {"deceased_patient_claims": ("is_deceased",)}
+
 # Names offered by the metric switch, in this order.
 SWITCH = {
     "Total Claims": "total_claims",
@@ -118,8 +121,39 @@ def metrics(
     unknown = [name for name in names if name not in METRICS]
     if unknown:
         raise KeyError(f"unknown metrics {unknown}")
-    rows = filtered(with_month(model.claims), filters)
-    return rows.groupBy(*(by or [])).agg(*[METRICS[name]().alias(name) for name in names])
+    return grouped(model, by or [], [METRICS[name]().alias(name) for name in names], names, filters)
+
+
+def grouped(
+    model: ClaimsModel,
+    by: list[str],
+    measures: list[Column],
+    names: list[str],
+    filters: Filters | None,
+) -> DataFrame:
+    """Measures per combination of ``by``, over claims joined with what is asked for only.
+
+    Provider labels and month names belong to the finished rows: grouping goes by provider
+    key and by month number.
+    """
+    by_provider = "provider_id" in by
+    late = set(PROVIDER if by_provider else ()) | {"month_name", "year_month"} & set(by)
+    keys = [name for name in by if name not in late]
+    if late & {"month_name", "year_month"}:
+        keys += [name for name in MONTH_KEY if name not in keys]
+    if by_provider:
+        keys.append("provider_key")
+    wanted = {*keys, *(filters or {}), *(c for n in names for c in READS.get(n, ()))} - {"provider_key"}
+    rows = with_month(model.claims_with(wanted))
+    if {"month_name", "year_month"} & set(filters or {}):
+        rows = name_months(rows)
+    result = filtered(rows, filters).groupBy(*keys).agg(*measures)
+    made = [name for name in result.columns if name not in keys]
+    if late & {"month_name", "year_month"}:
+        result = name_months(result)
+    if by_provider:
+        result = result.join(model.providers.select("provider_key", *PROVIDER), "provider_key")
+    return result.select(*by, *made)
 
 
 def without_provider_filters(filters: Filters | None) -> Filters:
@@ -181,22 +215,18 @@ def group_scores(
         "same_day_discharge_rate",
         "diagnosis_padding_score",
     ]
-    rows = filtered(with_month(model.claims), filters)
-    grouped = materialize(
-        rows.groupBy(*by).agg(
-            *[METRICS[name]().alias(name) for name in names],
-            F.bool_and("is_potential_fraud").alias("only_flagged"),
-        )
-    )
+    measures = [METRICS[name]().alias(name) for name in names]
+    measures.append(F.bool_and("is_potential_fraud").alias("only_flagged"))
+    groups = materialize(grouped(model, by, measures, names, filters))
     open_filters = without_provider_filters(filters)
     if open_filters == dict(filters or {}):
-        everything = grouped.agg(ratio_or_zero(F.sum("total_reimbursement"), F.sum("total_claims")))
+        everything = groups.agg(ratio_or_zero(F.sum("total_reimbursement"), F.sum("total_claims")))
     else:
         everything = metrics(model, ["avg_reimbursement_per_claim"], filters=open_filters)
     total = sum((F.col(name) for name in FACTORS[1:]), F.col(FACTORS[0]))
     base, own = F.col("global_avg_reimbursement"), F.col("avg_reimbursement_per_claim")
     return (
-        grouped.withColumn("global_avg_reimbursement", everything.scalar())
+        groups.withColumn("global_avg_reimbursement", everything.scalar())
         .withColumn("vs_benchmark", ratio_or_zero(own - base, base))
         .withColumns(_factor_columns(limits))
         .withColumn("risk_score", total)
@@ -274,8 +304,13 @@ def tier_counts(model: ClaimsModel, filters: Filters | None = None) -> DataFrame
 
 def outlier_providers(model: ClaimsModel) -> DataFrame:
     """Providers whose own average (to the cent) exceeds 1.5 times the global average."""
+    stored = model.rollups.get("agg_provider_summary")
+    if stored is not None:
+        base = stored.agg(ratio_or_zero(F.sum("total_reimbursement"), F.sum("total_claims"))).scalar()
+        own = F.col("avg_reimbursement_per_claim").cast("double")
+        return stored.agg(F.count_if(own > base * 1.5).alias("outlier_providers"))
     per_provider = materialize(
-        model.claims.groupBy("provider_key").agg(
+        model.fact.groupBy("provider_key").agg(
             F.sum(AMOUNT).alias("amount"),
             F.count(AMOUNT).alias("paid"),
             F.count(F.lit(1)).alias("claims"),
@@ -354,7 +389,7 @@ def rolling_by_day(model: ClaimsModel, filters: Filters | None = None) -> DataFr
     three months earlier. One row per calendar day, so one task may run the total.
     """
     daily = materialize(
-        filtered(with_month(model.claims), filters)
+        filtered(with_month(model.claims_with(filters or ())), filters)
         .groupBy("claim_start_date")
         .agg(F.count(F.lit(1)).alias("claims"), F.sum(AMOUNT).alias("amount"))
     )

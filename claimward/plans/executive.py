@@ -16,7 +16,7 @@ from claimward.functions.columns import (
     share,
     whole_div,
 )
-from claimward.model import MONTH, STATE, ClaimsModel, with_month
+from claimward.model import MONTH_KEY, STATE, ClaimsModel, name_months, with_month
 
 AMOUNT = "claim_reimbursement_amt"
 
@@ -39,7 +39,7 @@ def portfolio(model: ClaimsModel) -> DataFrame:
     The fraud rate counts each flagged provider once; ``fraud_claims`` is the number of
     their claims.
     """
-    totals = model.claims.agg(
+    totals = model.joined("beneficiary").agg(
         F.count_distinct("provider_key").alias("total_providers"),
         F.count_distinct("beneficiary_key").alias("total_beneficiaries"),
         F.count(F.lit(1)).alias("total_claims"),
@@ -65,9 +65,9 @@ def portfolio(model: ClaimsModel) -> DataFrame:
 
 def monthly_totals(model: ClaimsModel) -> DataFrame:
     """One row per month that has claims."""
-    return (
-        with_month(model.claims)
-        .groupBy(*MONTH)
+    months = (
+        with_month(model.fact)
+        .groupBy(*MONTH_KEY)
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
             F.sum(AMOUNT).alias("total_reimbursement"),
@@ -77,6 +77,7 @@ def monthly_totals(model: ClaimsModel) -> DataFrame:
             F.count_distinct("provider_key").alias("active_providers"),
         )
     )
+    return name_months(months)
 
 
 def by_month() -> WindowSpec:
@@ -106,7 +107,7 @@ def monthly_trend(model: ClaimsModel) -> DataFrame:
 
 def claim_type_split(model: ClaimsModel) -> DataFrame:
     return (
-        model.claims.groupBy("claim_type")
+        model.fact.groupBy("claim_type")
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
             F.sum(AMOUNT).alias("total_reimbursement"),
@@ -123,7 +124,7 @@ def claim_type_split(model: ClaimsModel) -> DataFrame:
 
 def fraud_comparison(model: ClaimsModel) -> DataFrame:
     return (
-        model.claims.groupBy("fraud_label", "is_potential_fraud")
+        model.joined("provider", "beneficiary").groupBy("fraud_label", "is_potential_fraud")
         .agg(
             F.count_distinct("provider_key").alias("provider_count"),
             F.count(F.lit(1)).alias("total_claims"),
@@ -144,7 +145,7 @@ def fraud_comparison(model: ClaimsModel) -> DataFrame:
 def top_states(model: ClaimsModel, limit: int = 10) -> DataFrame:
     """Leading states by amount; ``fraud_providers`` counts each provider once."""
     per_state = (
-        model.claims.filter("geo_key is not null")
+        model.joined("state").filter("geo_key is not null")
         .groupBy(*STATE)
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
@@ -164,7 +165,7 @@ def top_states(model: ClaimsModel, limit: int = 10) -> DataFrame:
 
 def alerts(model: ClaimsModel) -> DataFrame:
     """Rows only for indicators beyond their bound."""
-    facts = model.claims.agg(
+    facts = model.joined("beneficiary").agg(
         percent(distinct_flagged(), F.count_distinct("provider_key")).alias("fraud_rate"),
         F.count_if("is_deceased").alias("deceased"),
         F.coalesce(F.sum(F.col("is_same_day_discharge").cast("int")), F.lit(0)).alias("same_day"),

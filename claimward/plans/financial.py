@@ -164,7 +164,7 @@ def cap_grid(model: ClaimsModel, caps: list[int]) -> DataFrame:
         limited = F.when(amount > cap, F.lit(cap).cast("bigint")).otherwise(amount)
         measures.append(F.coalesce(F.sum(limited), zero).alias(f"capped_{cap}"))
         measures.append(F.count_if(amount > cap).alias(f"above_{cap}"))
-    one = model.claims.agg(*measures)
+    one = model.fact.agg(*measures)
     rows = F.array(
         *[
             F.struct(

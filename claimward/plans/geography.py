@@ -16,7 +16,7 @@ from claimward.functions.columns import (
     relative,
     same_day,
 )
-from claimward.model import STATE, ClaimsModel, with_month
+from claimward.model import MONTH_KEY, STATE, ClaimsModel, name_months, with_month
 from claimward.plans.executive import (
     by_month,
     distinct_flagged,
@@ -40,7 +40,7 @@ def place(value: str | Column) -> Column:
 def states(model: ClaimsModel) -> DataFrame:
     """Volume, finance and signals per state against all claims with a state."""
     per_state = (
-        model.claims.filter("geo_key is not null")
+        model.joined("beneficiary", "state").filter("geo_key is not null")
         .groupBy(*STATE, "state_code")
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
@@ -89,7 +89,7 @@ def regions(model: ClaimsModel) -> DataFrame:
     All claims are grouped by region first and the national totals are taken over those
     few rows, so the claims are read once.
     """
-    per_region = model.claims.groupBy("region").agg(
+    per_region = model.joined("state").groupBy("region").agg(
         F.count_distinct("state_code").alias("state_count"),
         F.count(F.lit(1)).alias("total_claims"),
         F.count_distinct("provider_key").alias("unique_providers"),
@@ -156,7 +156,7 @@ def trend_anomalies(model: ClaimsModel) -> DataFrame:
 def quadrants(model: ClaimsModel) -> DataFrame:
     """States split at the median of claims and the median of amount."""
     per_state = (
-        model.claims.filter("geo_key is not null")
+        model.joined("state").filter("geo_key is not null")
         .groupBy(*STATE)
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
@@ -185,15 +185,15 @@ def quadrants(model: ClaimsModel) -> DataFrame:
 
 def seasons(model: ClaimsModel) -> DataFrame:
     """Month by year: share of the year, and distance from the month's usual average."""
-    monthly = (
-        with_month(model.claims)
-        .groupBy("month_name", "month_num", "year_num")
+    monthly = name_months(
+        with_month(model.fact)
+        .groupBy(*MONTH_KEY)
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
             F.sum(AMOUNT).alias("total_reimbursement"),
             mean(AMOUNT).alias("avg_reimbursement"),
         )
-    )
+    ).drop("year_month")
     year_total = F.sum("total_reimbursement").over(Window.partitionBy("year_num"))
     usual = F.avg("avg_reimbursement").over(Window.partitionBy("month_num"))
     return monthly.withColumn(
@@ -208,7 +208,7 @@ def fraud_density(model: ClaimsModel) -> DataFrame:
     conditional counts instead of three distinct counts.
     """
     pairs = (
-        model.claims.filter("geo_key is not null")
+        model.joined("state").filter("geo_key is not null")
         .groupBy(*STATE, "provider_key", "is_potential_fraud")
         .agg(F.sum(AMOUNT).alias("amount"))
     )

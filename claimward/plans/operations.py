@@ -26,7 +26,7 @@ AMOUNT = "claim_reimbursement_amt"
 
 def kpis(model: ClaimsModel) -> DataFrame:
     stay = F.when(is_inpatient(), F.col("admission_duration_days"))
-    return model.claims.agg(
+    return model.fact.agg(
         mean(stay).alias("avg_length_of_stay"),
         F.max(stay).alias("max_length_of_stay"),
         F.count_if(same_day()).alias("total_same_day_discharges"),
@@ -172,7 +172,7 @@ def code_padding(model: ClaimsModel, min_claims: int = 20) -> DataFrame:
 def state_mix(model: ClaimsModel) -> DataFrame:
     """Inpatient against outpatient per state; the windows run over one row per state."""
     per_state = (
-        model.claims.filter("geo_key is not null")
+        model.joined("state").filter("geo_key is not null")
         .groupBy(*STATE)
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
@@ -237,7 +237,7 @@ def duration_histogram(model: ClaimsModel) -> DataFrame:
     label = choose([(inside(b), name) for b, name in BUCKETS], LAST_BUCKET)
     order = choose([(inside(b), i) for i, (b, _) in enumerate(BUCKETS, 1)], len(BUCKETS) + 1)
     return (
-        model.claims.groupBy(
+        model.fact.groupBy(
             label.alias("duration_bucket"), "claim_type", order.alias("sort_order")
         )
         .agg(

@@ -50,18 +50,20 @@ def kpis(model: ClaimsModel, grain: str = "beneficiary") -> DataFrame:
     traits = ["chronic_condition_count", "patient_age", "is_deceased", "gender"]
     if grain == "claim":
         one = F.lit(1).cast("bigint")
-        return _population(model.claims.withColumn("weight", one), rows_per_patient=False)
+        return _population(model.joined("beneficiary").withColumn("weight", one), rows_per_patient=False)
     if grain != "beneficiary":
         raise ValueError(f"unknown grain {grain!r}")
-    patients = model.claims.groupBy("beneficiary_key", *traits).agg(
-        F.count(F.lit(1)).alias("weight")
+    # claims are counted per key first: a patient with most of them is one row in the join
+    per_key = model.fact.groupBy("beneficiary_key").agg(F.count(F.lit(1)).alias("weight"))
+    patients = per_key.join(
+        model.beneficiaries.select("beneficiary_key", *traits), "beneficiary_key"
     )
     return _population(patients, rows_per_patient=True)
 
 
 def high_utilizers(model: ClaimsModel) -> DataFrame:
     """Count, sum and average of the costliest tenth of patients."""
-    totals = model.claims.groupBy("beneficiary_key").agg(F.sum(AMOUNT).alias("total_reimb"))
+    totals = model.fact.groupBy("beneficiary_key").agg(F.sum(AMOUNT).alias("total_reimb"))
     return first_tile(totals, "total_reimb", 10).select(
         F.col("tile_rows").alias("high_utilizer_count"),
         F.col("tile_sum").alias("high_utilizer_reimbursement"),
@@ -71,7 +73,7 @@ def high_utilizers(model: ClaimsModel) -> DataFrame:
 
 def age_gender(model: ClaimsModel) -> DataFrame:
     return (
-        model.claims.filter("gender is not null and age_group is not null")
+        model.joined("beneficiary").filter("gender is not null and age_group is not null")
         .groupBy("age_group", "gender")
         .agg(
             F.count_distinct("beneficiary_key").alias("beneficiary_count"),
@@ -87,7 +89,7 @@ def age_gender(model: ClaimsModel) -> DataFrame:
 
 
 def disease_burden(model: ClaimsModel) -> DataFrame:
-    """Ranks and scores over the eleven disease rows."""
+    """Ranks and scores over the eleven disease rows, the stored ones where there are."""
     everything = Window.partitionBy()
     per_patient = F.col("avg_reimbursement_per_patient").cast("double")
 
@@ -97,7 +99,8 @@ def disease_burden(model: ClaimsModel) -> DataFrame:
     def half(value: Column) -> Column:
         return ratio(value, F.max(value).over(everything)) * 50
 
-    return disease_rollup(model).withColumns(
+    stored = model.rollups.get("agg_chronic_disease")
+    return (disease_rollup(model) if stored is None else stored).withColumns(
         {
             "cost_rank": place("total_reimbursement"),
             "prevalence_rank": place("total_beneficiaries"),
@@ -115,7 +118,7 @@ def disease_burden(model: ClaimsModel) -> DataFrame:
 def utilizer_profile(model: ClaimsModel) -> DataFrame:
     """Patients at or above mean + 1 sd of patient totals, with their conditions."""
     totals = materialize(
-        model.claims.groupBy("beneficiary_key").agg(
+        model.fact.groupBy("beneficiary_key").agg(
             F.count(F.lit(1)).alias("total_claims"),
             F.sum(AMOUNT).alias("total_reimbursement"),
             F.count_distinct("provider_key").alias("unique_providers"),
@@ -177,7 +180,7 @@ def deceased_claims(model: ClaimsModel) -> DataFrame:
     """Claims of deceased patients: all of them, and those that start after the death."""
     day = F.col("claim_start_date")
     return (
-        model.claims.filter("is_deceased")
+        model.joined("beneficiary").filter("is_deceased")
         .groupBy("beneficiary_key", *PATIENT)
         .agg(
             F.count(F.lit(1)).alias("deceased_patient_claims"),
@@ -209,7 +212,7 @@ def cooccurrence(model: ClaimsModel, min_patients: int = 100) -> DataFrame:
     """Condition combinations of patients with three or more conditions."""
     text = F.concat(*[F.when(F.col(flag) == 1, name).otherwise("") for flag, name in COMBINED])
     return (
-        model.claims.filter("chronic_condition_count >= 3")
+        model.joined("beneficiary").filter("chronic_condition_count >= 3")
         .withColumn("condition_combination", text)
         .groupBy("condition_combination", "chronic_condition_count")
         .agg(

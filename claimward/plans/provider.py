@@ -9,11 +9,12 @@ from claimward.model import PROVIDER, ClaimsModel
 from claimward.session import materialize
 
 
-def profile(model: ClaimsModel, beneficiaries: bool = False) -> DataFrame:
+def profile(model: ClaimsModel, beneficiaries: bool = False, deceased: bool = True) -> DataFrame:
     """Whole-number totals per provider, from which every average can be derived.
 
     Kept as sums and counts so that portfolio benchmarks follow from the provider rows
-    without a second pass over the claims.
+    without a second pass over the claims. Patients are joined for ``deceased`` only;
+    provider labels are joined to the finished rows.
     """
     stay = F.when(is_inpatient(), F.col("admission_duration_days")).cast("bigint")
     codes = F.col("diagnosis_code_count").cast("bigint")
@@ -24,7 +25,6 @@ def profile(model: ClaimsModel, beneficiaries: bool = False) -> DataFrame:
         "total_reimbursement": F.sum("claim_reimbursement_amt"),
         "paid_claims": F.count("claim_reimbursement_amt"),
         "max_single_claim": F.max("claim_reimbursement_amt"),
-        "deceased_patient_claims": F.count_if("is_deceased"),
         "same_day_discharges": F.count_if(same_day()),
         "same_day_reimbursement": F.coalesce(
             F.sum(F.when(same_day(), F.col("claim_reimbursement_amt"))), F.lit(0).cast("bigint")
@@ -42,11 +42,15 @@ def profile(model: ClaimsModel, beneficiaries: bool = False) -> DataFrame:
         "extended_stays": F.count_if(stay > 14),
         "extreme_stays": F.count_if(stay > 30),
     }
+    if deceased:
+        measures["deceased_patient_claims"] = F.count_if("is_deceased")
     if beneficiaries:
         measures["unique_beneficiaries"] = F.count_distinct("beneficiary_key")
+    rows = model.joined("beneficiary") if deceased else model.fact
     return (
-        model.claims.groupBy("provider_key", *PROVIDER)
+        rows.groupBy("provider_key")
         .agg(*[expr.alias(name) for name, expr in measures.items()])
+        .join(model.providers.select("provider_key", *PROVIDER), "provider_key")
         .withColumns(
             {
                 "avg_reimbursement": ratio("total_reimbursement", "paid_claims"),
@@ -60,7 +64,8 @@ def profile(model: ClaimsModel, beneficiaries: bool = False) -> DataFrame:
 
 def stored_profile(model: ClaimsModel, *needed: str, beneficiaries: bool = False) -> DataFrame:
     """The needed columns of the provider table, computed once."""
-    return materialize(profile(model, beneficiaries).select("provider_key", *PROVIDER, *needed))
+    rows = profile(model, beneficiaries, "deceased_patient_claims" in needed)
+    return materialize(rows.select("provider_key", *PROVIDER, *needed))
 
 
 def overall_mean(providers: DataFrame, total: str, rows: str) -> Column:

@@ -49,7 +49,7 @@ def rollups(star: dict[str, DataFrame], stg_claims: DataFrame) -> dict[str, Data
 
 def in_calendar(model: ClaimsModel) -> ClaimsModel:
     """Claims with a start date; only those can belong to a month."""
-    dated = model.claims.filter("claim_start_date is not null")
+    dated = model.fact.filter("claim_start_date is not null")
     return ClaimsModel(dated, model.providers, model.beneficiaries, model.geography)
 
 

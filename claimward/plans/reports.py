@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimward.functions.columns import is_inpatient, share
-from claimward.model import MONTH, PROVIDER, STATE, ClaimsModel, with_month
+from claimward.model import MONTH_KEY, PROVIDER, STATE, ClaimsModel, name_months, with_month
 from claimward.operators.decisions import (
     HIGH_PRIORITY,
     REVIEWED,
@@ -79,7 +79,7 @@ def month_year_pivot(model: ClaimsModel, filters: Filters | None = None) -> Data
 def stay_histogram(model: ClaimsModel, filters: Filters | None = None) -> DataFrame:
     """Inpatient claims by exact length of stay."""
     return (
-        filtered(with_month(model.claims), filters)
+        filtered(with_month(model.claims_with(filters or ())), filters)
         .filter(is_inpatient() & F.col("admission_duration_days").isNotNull())
         .groupBy("admission_duration_days")
         .agg(F.count(F.lit(1)).alias("total_claims"))
@@ -169,7 +169,8 @@ def care_list(model: ClaimsModel, filters: Filters | None = None) -> DataFrame:
 
 def deceased_list(model: ClaimsModel, filters: Filters | None = None) -> DataFrame:
     """Deceased patients with their claims and amount."""
-    rows = filtered(with_month(model.claims), filters).filter("is_deceased")
+    traits = ["is_deceased", "beneficiary_id", "date_of_death"]
+    rows = filtered(with_month(model.claims_with([*traits, *(filters or ())])), filters).filter("is_deceased")
     return rows.groupBy("beneficiary_id", "date_of_death").agg(
         F.count(F.lit(1)).alias("total_claims"), F.sum(AMOUNT).alias("total_reimbursement")
     )
@@ -198,17 +199,18 @@ def provider_profile(model: ClaimsModel, provider_id: object | None = None) -> D
 
 def provider_months(model: ClaimsModel, provider_id: object | None = None) -> DataFrame:
     """Monthly line of the provider page."""
-    return (
-        with_month(model.claims)
+    months = (
+        with_month(model.joined("provider"))
         .filter(_one(provider_id))
-        .groupBy("provider_id", *MONTH)
+        .groupBy("provider_id", *MONTH_KEY)
         .agg(F.count(F.lit(1)).alias("total_claims"), F.sum(AMOUNT).alias("total_reimbursement"))
     )
+    return name_months(months)
 
 
 def provider_claims(model: ClaimsModel, provider_id: object | None = None) -> DataFrame:
     """Claim list of the provider page."""
-    return model.claims.filter(_one(provider_id)).select(
+    return model.joined("provider").filter(_one(provider_id)).select(
         "provider_id",
         "claim_id",
         "claim_start_date",

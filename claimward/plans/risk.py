@@ -8,11 +8,12 @@ from pyspark.sql.window import Window
 from claimward.config import LOWEST_TIER, RISK_TIERS, STANDARD, STRICT, RiskThresholds
 from claimward.functions.columns import mean, relative, same_day, share, steps
 from claimward.functions.ranks import with_rank
-from claimward.model import MONTH, PROVIDER, ClaimsModel, with_month
-from claimward.operators.gold import provider_rollup
+from claimward.model import MONTH_KEY, PROVIDER, ClaimsModel, name_months, with_month
+from claimward.operators.gold import ROLLUP_MEASURES, provider_rollup
 from claimward.plans.provider import overall_mean, stored_profile
 from claimward.session import materialize
 
+ROLLUP = [*PROVIDER, *ROLLUP_MEASURES]
 FACTORS = [
     "reimbursement_signal",
     "deceased_signal",
@@ -174,9 +175,9 @@ def signal_breakdown(model: ClaimsModel, limit: int = 30) -> DataFrame:
 
 def timeline(model: ClaimsModel) -> DataFrame:
     """Provider by month with the change against the provider's previous month."""
-    monthly = (
-        with_month(model.claims)
-        .groupBy("provider_id", "fraud_label", *MONTH)
+    months = (
+        with_month(model.joined("beneficiary"))
+        .groupBy("provider_key", *MONTH_KEY)
         .agg(
             F.count(F.lit(1)).alias("total_claims"),
             F.sum("claim_reimbursement_amt").alias("total_reimbursement"),
@@ -187,6 +188,8 @@ def timeline(model: ClaimsModel) -> DataFrame:
             mean("diagnosis_code_count").alias("avg_diagnosis_codes"),
         )
     )
+    labels = model.providers.select("provider_key", "provider_id", "fraud_label")
+    monthly = name_months(months).join(labels, "provider_key").drop("provider_key")
     # at most twelve rows per provider and year
     own_months = Window.partitionBy("provider_id").orderBy("year_num", "month_num")
     return monthly.withColumn(
@@ -195,9 +198,13 @@ def timeline(model: ClaimsModel) -> DataFrame:
 
 
 def top_profile(model: ClaimsModel, limit: int = 20) -> DataFrame:
-    """Largest providers of the rollup against the average over all claims."""
-    rollup = materialize(provider_rollup(model, keep_paid=True))
-    base = overall_mean(rollup, "total_reimbursement", "paid_claims")
+    """Largest providers of the rollup against the average over all claims.
+
+    The stored rollup is read where the model has it.
+    """
+    stored = model.rollups.get("agg_provider_summary")
+    rollup = materialize(provider_rollup(model)) if stored is None else stored.select(*ROLLUP)
+    base = model.fact.agg(mean("claim_reimbursement_amt")).scalar()
     ranked = with_rank(rollup, [("deceased_patient_claims", "desc")], rank="deceased_rank")
     ranked = with_rank(ranked, [("same_day_discharge_claims", "desc")], rank="same_day_rank")
     leading = ranked.orderBy(F.desc_nulls_last("total_reimbursement"), "provider_id").limit(limit)
@@ -209,5 +216,5 @@ def top_profile(model: ClaimsModel, limit: int = 20) -> DataFrame:
             relative(F.col("avg_reimbursement_per_claim").cast("double"), "global_avg_reimbursement"),
         )
         .withColumn("reimbursement_rank", F.rank().over(by_amount).cast("bigint"))
-        .drop("total_deductible", "paid_claims")
+        .drop("total_deductible")
     )

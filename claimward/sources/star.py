@@ -28,20 +28,7 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, "l_orderkey") if name == "lineitem" else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores when the files give fewer than half as many splits as there are cores.
-
-    A file with a single row group is one task, however many cores are idle. Tables of
-    ordinary size have more splits than cores and pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores, key)
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _FLAGS = [
@@ -106,7 +93,8 @@ def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey as visit_key",
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
         "cast(round(l_extendedprice * 100) as bigint)) as claim_id",
-        "l_suppkey as line_provider_key",
+        "l_suppkey as provider_key",
+        "l_suppkey % 10 = 0 as is_potential_fraud",
         "if(inpatient, 'Inpatient', 'Outpatient') as claim_type",
         "amount as claim_reimbursement_amt",
         "cast(cast(round(l_tax * 100) as int) as decimal(10,2)) as deductible_amt_paid",
@@ -122,29 +110,21 @@ def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model(spark: SparkSession, sf_dir: str) -> ClaimsModel:
-    """Orders meet the patient before the lines do.
-
-    The long line table then takes part in one join by order and one by provider, instead
-    of being shuffled once more by patient. Small dimensions are broadcast by their size.
-    """
-    dim_provider = providers(spark, sf_dir)
-    dim_beneficiary = beneficiaries(spark, sf_dir)
-    dim_geography = geography(spark, sf_dir)
-    visits = (
-        table(spark, sf_dir, "orders")
-        .selectExpr(
-            "o_orderkey",
-            "o_custkey as beneficiary_key",
-            "cast(o_orderdate as date) as claim_start_date",
-        )
-        .join(dim_beneficiary, "beneficiary_key")
-        .join(dim_geography, "state_code", "left")
+    """Lines with their order are the fact; dimensions are joined by the queries."""
+    visits = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as visit_key",
+        "o_custkey as beneficiary_key",
+        "cast(o_orderdate as date) as claim_start_date",
+    )
+    fact = (
+        claim_lines(spark, sf_dir)
+        .join(visits, "visit_key")
+        .drop("visit_key")
         .withColumn("claim_start_date_key", date_key("claim_start_date"))
     )
-    lines = claim_lines(spark, sf_dir)
-    claims = (
-        lines.join(dim_provider, lines.line_provider_key == dim_provider.provider_key)
-        .join(visits, lines.visit_key == visits.o_orderkey)
-        .drop("line_provider_key", "visit_key", "o_orderkey")
+    return ClaimsModel(
+        fact,
+        providers(spark, sf_dir),
+        beneficiaries(spark, sf_dir),
+        geography(spark, sf_dir),
     )
-    return ClaimsModel(claims, dim_provider, dim_beneficiary, dim_geography)

@@ -88,12 +88,10 @@ def make_model(spark):
             "procedure_code_count int, is_zero_reimbursement boolean, is_same_day_discharge boolean, "
             "attending_physician_id string",
         ).selectExpr("*", "cast(deductible as decimal(10,2)) as deductible_amt_paid")
-        wide = (
-            fact.join(dim_provider, "provider_key")
-            .join(dim_beneficiary, "beneficiary_key")
-            .join(dim_geography, "state_code", "left")
+        flags = dim_provider.select("provider_key", "is_potential_fraud")
+        return ClaimsModel(
+            fact.join(flags, "provider_key"), dim_provider, dim_beneficiary, dim_geography
         )
-        return ClaimsModel(wide, dim_provider, dim_beneficiary, dim_geography)
 
     return build
 
