@@ -6,16 +6,19 @@ coordinate, gives each minimum of the signature. Coordinates are banded; documen
 share a band meet.
 
 1. Documents with equal sets form a class; its smallest id stands for it from here on.
-2. In every bucket all members are compared with the smallest one, on their full sets.
-3. Of the rest, members that are still in another component than their bucket's smallest
-   are compared with each other, and with the bucket's other members if their distance to
-   the smallest leaves a link possible (Jaccard distance obeys the triangle inequality).
-   Pairs that are in one component already need no comparison.
-4. Links give connected components.
+2. Every member is compared, on full sets, with one document: the smallest of all its
+   buckets' smallest members. Links give connected components.
+3. Members that are still in another component than some bucket's smallest are compared
+   with that one too.
+4. What is left in a bucket are members outside the component of its smallest. They are
+   compared with all other members that are in another component than their own, in blocks
+   of bounded size: a task gets two blocks, counts common shingles by a matrix product and
+   returns links only. Members inside that component are not compared with each other.
 
 Bands are as many as needed to miss a pair at the threshold with a probability of at most
 ``MISS``. No bucket or number of partners is capped. Bucket contents are joined, never
-gathered; a bucket with a third of all rows is combined before it is shuffled.
+gathered; a bucket with a third of all rows is combined before it is shuffled. A pair that
+shares no band, or whose documents are already connected, is never looked at.
 
 Documents without words have an empty set and no link. A document without an id takes part
 in no group and is kept. Rows with one id are one document. Extra columns are left out.
@@ -38,6 +41,9 @@ SLOTS = 1 << 16
 ROWS = 7
 MISS = 1e-5
 SEED = 20_011
+#: Members of a bucket that a task compares with as many others at once.
+BLOCK = 512
+COLUMNS = 4096
 
 
 @dataclass(frozen=True)
@@ -189,24 +195,93 @@ def _compared(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     )
 
 
-def _rest(members: DataFrame, seen: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of a bucket that step 2 has left open."""
-    slack = F.lit(1.0 - like.percent / 100 + 1e-9)
-    other = members.filter("node <> pivot and component <> pivot_component")
-    joined = members.filter("node <> pivot and component = pivot_component")
-    near = other.filter(F.col("far").isNull() | (F.col("far") <= 2 * slack))
-
-    def meet(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
-        x, y = left.alias("x"), right.alias("y")
-        gap = F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= slack, F.lit(True))
-        apart = F.col("x.component") != F.col("y.component")
-        fit = like.sizes_fit(F.col("x.n"), F.col("y.n"))
-        return x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & condition & apart & fit & gap).select(
-            F.greatest("x.node", "y.node").alias("b"), F.least("x.node", "y.node").alias("a")
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose documents are in different components; alone is a component too."""
+    of_a = found.select(F.col("node").alias("a"), F.col("component").alias("in_a"))
+    of_b = found.select(F.col("node").alias("b"), F.col("component").alias("in_b"))
+    both = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    return both.filter(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """(bucket, one, two, node, component) for every pair of blocks to be compared.
+
+    Members outside the component of their bucket's smallest fill the first blocks, the
+    others the blocks behind them; pairs of the latter are left out.
+    """
+    outside = F.col("component") != F.col("pivot_component")
+    counts = (
+        members.groupBy("bucket")
+        .agg(F.count_if(outside).alias("n_outside"), F.count(F.lit(1)).alias("n_members"))
+        # the only pair of a bucket of two has been compared before
+        .filter("n_outside > 0 and n_members > 2")
+        .select(
+            "bucket",
+            F.ceil(F.col("n_outside") / BLOCK).alias("outer"),
+            F.ceil((F.col("n_members") - F.col("n_outside")) / BLOCK).alias("inner"),
         )
+    )
+    spread = F.xxhash64("node")
+    own = F.when(outside, F.pmod(spread, F.col("outer"))).otherwise(
+        F.col("outer") + F.pmod(spread, F.greatest("inner", F.lit(1)))
+    )
+    last = F.when(outside, F.col("outer") + F.col("inner") - 1).otherwise(F.col("outer") - 1)
+    return (
+        members.join(counts, "bucket")
+        .select("bucket", "node", "component", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("other"))
+        .select("bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "node", "component")
+    )
+
 
-    open_pairs = meet(other, other, F.col("x.node") < F.col("y.node")).union(meet(near, joined, F.lit(True)))
-    return open_pairs.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti")
+def block_links(nodes: np.ndarray, groups: np.ndarray, keys: np.ndarray, edges: np.ndarray, percent: int):
+    """Linked pairs (smaller, larger node) of different groups, by exact counts.
+
+    Shingles that one set has alone cannot be common; the others are columns of a 0/1
+    matrix, taken some thousand at a time.
+    """
+    sizes = np.diff(edges)
+    _, column, often = np.unique(keys, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(nodes)), sizes)
+    useful = often[column] > 1
+    row, column = row[useful], (np.cumsum(often > 1) - 1)[column[useful]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(nodes), len(nodes)), np.float32)
+    low = 0
+    while low < len(column):
+        start = column[low]
+        high = np.searchsorted(column, start + COLUMNS)
+        part = np.zeros((len(nodes), COLUMNS), np.float32)
+        part[row[low:high], column[low:high] - start] = 1
+        common += part @ part.T
+        low = high
+    common = common.astype(np.int64)
+    union = sizes[:, None] + sizes[None, :] - common
+    found = (100 * common >= percent * union) & (groups[:, None] != groups[None, :])
+    one, two = np.nonzero(np.triu(found, 1))
+    return np.minimum(nodes[one], nodes[two]), np.maximum(nodes[one], nodes[two])
+
+
+def _rest(members: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different components so far."""
+    percent = like.percent
+
+    def compare(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        lists = block.column("shingles").combine_chunks()
+        edges = lists.offsets.to_numpy().astype(np.int64)
+        keys = lists.values.to_numpy()[edges[0] : edges[-1]]
+        nodes, groups = (block.column(n).to_numpy() for n in ("node", "component"))
+        one, two = block_links(nodes, groups, keys, edges - edges[0], percent)
+        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
+
+    blocks = _in_blocks(members).join(sets, "node")
+    return (
+        blocks.select("bucket", "one", "two", "node", "component", "shingles")
+        .groupBy("bucket", "one", "two")
+        .applyInArrow(compare, "a bigint, b bigint")
+        .distinct()
+    )
 
 
 def grouped(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
@@ -229,7 +304,7 @@ def grouped(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
         .select("bucket", F.col("least.node").alias("pivot"), F.col("least.n").alias("pivot_n"))
     )
     members = stored(banded.join(buckets, "bucket"), "buckets")
-    first = stored(
+    star = stored(
         members.filter("node <> pivot")
         .filter(like.sizes_fit(F.col("n"), F.col("pivot_n")))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -238,31 +313,34 @@ def grouped(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
     )
     in_buckets = members.select(F.col("node").alias("doc_id")).distinct()
     sets = stored(_sets(documents.join(in_buckets, "doc_id", "left_semi"), like.width), "sets")
-    compared = stored(_compared(first, sets, like), "star-compared")
-    links = compared.filter(like.linked(F.col("common"), F.col("union"))).select("a", "b")
-    found = stored(components(links), "star-components")
 
-    far = compared.select(
-        F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("common") / F.col("union")).alias("far")
-    )
+    def linked(pairs: DataFrame) -> DataFrame:
+        return pairs.filter(like.linked(F.col("common"), F.col("union"))).select("a", "b")
+
+    one_each = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    compared = stored(_compared(one_each, sets, like), "compared")
+    links = linked(compared)
+    found = stored(components(links), "components")
+    apart = stored(_apart(star, found).join(compared, ["a", "b"], "left_anti"), "star-apart")
+    if not apart.isEmpty():
+        compared = stored(compared.union(_compared(apart, sets, like)), "compared")
+        links = linked(compared)
+        found = stored(components(links), "components")
+
     of_pivot = found.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
-    placed = stored(
+    placed = (
         members.join(found, "node", "left")
         .join(of_pivot, "pivot", "left")
-        .join(far, ["pivot", "node"], "left")
         .select(
-            "bucket", "node", "n", "pivot", "far",
+            "bucket",
+            "node",
             F.coalesce("component", "node").alias("component"),
             F.coalesce("pivot_component", "pivot").alias("pivot_component"),
-        ),
-        "placed",
-    )
-    rest = stored(_rest(placed, compared.select("a", "b"), like), "open-pairs")
-    if not rest.isEmpty():
-        more = stored(_compared(rest, sets, like), "open-compared")
-        more = more.filter(like.linked(F.col("common"), F.col("union"))).select("a", "b")
-        if not more.isEmpty():
-            found = stored(components(links.union(more)), "components")
+        )
+    )
+    more = stored(_rest(stored(placed, "placed"), sets, like), "open-links")
+    if not more.isEmpty():
+        found = stored(components(links.union(more)), "components")
 
     ids = sketch.select("doc_id", "n", "digest_a", "digest_b")
     return (

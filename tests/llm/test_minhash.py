@@ -44,15 +44,28 @@ def test_given_table(spark):
     assert found == brute(rows, 3, 85)
 
 
-def test_open_pairs_of_a_bucket_are_found(spark):
-    """Two documents that both differ from the bucket's smallest, but not from each other."""
+@pytest.mark.parametrize("block", [2, 512])
+def test_open_members_of_a_bucket_are_compared(spark, monkeypatch, block):
+    """Members outside the component of the smallest meet each other and all others, once."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = random.Random(4)
+    base = [rng.getrandbits(60) for _ in range(100)]
+    changed = lambda k, by: base[: 100 - k] + [by * 1000 + i for i in range(k)]
+    sets = {1: base, 2: changed(40, 2), 3: changed(40, 2)[:-2] + [7, 8], 4: changed(7, 4), 5: changed(7, 4)[:92] + [9] * 1, 6: changed(60, 6), 7: base[:99] + [5]}
+    sets = {k: sorted(set(v)) for k, v in sets.items()}
+    inside = {1, 4, 7}
     members = spark.createDataFrame(
-        [(1, n, 100, 1, comp, 1, far) for n, comp, far in [(1, 1, None), (2, 2, 0.4), (3, 3, 0.45), (4, 1, 0.1), (5, 5, 0.2)]],
-        "bucket bigint, node bigint, n bigint, pivot bigint, component bigint, pivot_component bigint, far double",
-    )
-    seen = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (1, 5)], "a bigint, b bigint")
-    pairs = {(r.a, r.b) for r in minhash._rest(members, seen, minhash.CONTRACT).collect()}
-    assert pairs == {(2, 3), (4, 5)}
+        [(1, k, 1 if k in inside else k, 1) for k in sets], "bucket bigint, node bigint, component bigint, pivot_component bigint"
+    )
+    table = spark.createDataFrame(list(sets.items()), "node bigint, shingles array<bigint>")
+    found = {(r.a, r.b) for r in minhash._rest(members, table, minhash.CONTRACT).collect()}
+    wanted = set()
+    for a in sets:
+        for b in sets:
+            one, two = set(sets[a]), set(sets[b])
+            if a < b and not {a, b} <= inside and 100 * len(one & two) >= 85 * len(one | two):
+                wanted.add((a, b))
+    assert found == wanted and len(wanted) >= 3
 
 
 def test_deduplicated_keeps_columns_and_rows_without_id(documents):
@@ -86,6 +99,19 @@ def test_signatures_estimate_similarity():
     assert abs((signed[:, 0] == signed[:, 1]).mean() - 450 / 550) < 0.1
 
 
+def test_block_counts_are_exact(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
+    rng = random.Random(9)
+    sets = [sorted(rng.sample(range(60), rng.randrange(30, 60))) for _ in range(25)]
+    edges = np.cumsum([0] + [len(x) for x in sets])
+    one, two = minhash.block_links(np.arange(25), np.arange(25), np.concatenate(sets), edges, 60)
+    wanted = {
+        (i, j) for i in range(25) for j in range(i + 1, 25)
+        if 100 * len(set(sets[i]) & set(sets[j])) >= 60 * len(set(sets[i]) | set(sets[j]))
+    }
+    assert set(zip(one.tolist(), two.tolist())) == wanted and wanted
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 100 + i) for i in range(1, 30)]
