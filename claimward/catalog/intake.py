@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from claimward.catalog import business
 from claimward.catalog.business import doubles
 from claimward.catalog.star_sql import mean
 from claimward.catalog.text_sql import GOLD, RAW, STAGING, day, gap, num, slots
 from claimward.config import CONDITION_FLAGS, PUBLIC_ROW_COUNTS, Expectations
 from claimward.operators import checks, gold, profile, silver
 from claimward.operators.tally import union_all
-from claimward.plans.refresh import gold_from_silver, refresh
+from claimward.plans.refresh import gold_from_silver, published_model, refresh
 from claimward.schemas import (
     DATASETS,
     DIAGNOSIS_COLUMNS,
@@ -54,11 +55,13 @@ def over_gold(function):
     return lambda spark, sf_dir: doubles(function(star(spark, sf_dir)))
 
 
-def csv_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """The raw datasets written as CSV files into the shared folder."""
+def csv_paths(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, str]:
+    """The named raw datasets, or all, written as CSV files into the shared folder."""
     root = scratch_path(spark, "csv")
     paths = {}
     for name, df in raw(spark, sf_dir).items():
+        if names and name not in names:
+            continue
         paths[name] = f"{root}/{name}"
         (
             df.write.option("header", True)
@@ -75,7 +78,7 @@ def csv_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = csv_paths(spark, sf_dir)
+    paths = csv_paths(spark, sf_dir, "inpatient")
     return text.read_text(spark, paths["inpatient"], "inpatient").select(*RAW_COLUMNS["inpatient"])
 
 
@@ -135,15 +138,35 @@ def sink_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.write_report(report, scratch_path(spark, "profile"))
 
 
+_refreshed: dict[tuple[str, str], str] = {}
+
+
 def refreshed_root(spark: SparkSession, sf_dir: str) -> str:
-    root = scratch_path(spark, "refresh")
-    refresh(spark, raw(spark, sf_dir), root, BATCH, Expectations.none(), strict=False)
-    return root
+    """A full refresh of the tables as raw text, once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _refreshed:
+        root = scratch_path(spark, "refresh")
+        refresh(spark, raw(spark, sf_dir), root, BATCH, Expectations.none(), strict=False)
+        _refreshed[key] = root
+    return _refreshed[key]
+
+
+def over_published(function):
+    return lambda spark, sf_dir: function(published_model(spark, refreshed_root(spark, sf_dir)))
+
+
+def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and reject findings as stored with a published batch."""
+    stored = tables.read_published(spark, refreshed_root(spark, sf_dir), "checks")["findings"]
+    return stored.filter(
+        F.col("check_name").endswith("not unique") | F.col("check_name").endswith("unknown label")
+    )
 
 
 def sink_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every published table with its row count after a full refresh."""
-    return tables.current(spark, refreshed_root(spark, sf_dir)).select(
+    published = tables.current(spark, refreshed_root(spark, sf_dir))
+    return published.filter("layer <> 'checks'").select(
         "layer", "table_name", "batch_id", "table_rows"
     )
 
@@ -781,7 +804,7 @@ QUERIES = {
         (SELECT geo_key, count(*) AS claims FROM fact_claims GROUP BY geo_key) USING (geo_key)""",
     ),
     "gld_fact": (
-        over_gold(lambda g: g["fact_claims"].drop("claim_key")),
+        over_gold(lambda g: g["fact_claims"]),
         RAW + STAGING + GOLD + "SELECT * FROM fact_claims",
     ),
     "gld_unmatched": (
@@ -941,4 +964,66 @@ QUERIES = {
     ),
 }
 
+# --- keys, rejects and business questions over a published batch -----------------------
+
+
+def unique_sql(layer: str, table: str, key: str) -> str:
+    return (
+        f"SELECT '{layer}' AS layer, '{table}.{key}: not unique' AS check_name, "
+        f"CAST(count(*) - count(DISTINCT {key}) - CASE WHEN count(*) > count({key}) THEN 1 ELSE 0 END AS BIGINT) "
+        f"AS issue_count FROM {table}"
+    )
+
+
+def as_check_sql(parts: list[str]) -> str:
+    return (
+        "SELECT *, 'critical' AS severity, issue_count = 0 AS passed FROM (" + " UNION ALL ".join(parts) + ")"
+    )
+
+
+SILVER_UNIQUE_SQL = [unique_sql("silver", t, k) for t, names in checks.SILVER_KEYS.items() for k in names]
+GOLD_UNIQUE_SQL = [unique_sql("gold", t, k) for t, names in checks.GOLD_KEYS.items() for k in names]
+REJECT_SQL = (
+    f"SELECT 'bronze' AS layer, '{profile.NAMES['provider']}: unknown label' AS check_name, count(*) AS issue_count "
+    f"FROM {KEY_TABLES['provider']} WHERE coalesce(trim(PotentialFraud), '') NOT IN ('Yes', 'No')"
+)
+PUBLISHED = GOLD + """
+, c AS (SELECT f.*, p.provider_id, p.fraud_label, b.* EXCLUDE (beneficiary_key), g.state_name, g.state_abbr, g.region,
+    CAST(strptime(CAST(claim_start_date_key AS VARCHAR), '%Y%m%d') AS DATE) AS claim_start_date,
+    CAST(claim_start_date_key // 10000 AS INTEGER) AS year_num,
+    CAST(claim_start_date_key // 100 % 100 AS INTEGER) AS month_num,
+    monthname(strptime(CAST(claim_start_date_key AS VARCHAR), '%Y%m%d')) AS month_name,
+    strftime(strptime(CAST(claim_start_date_key AS VARCHAR), '%Y%m%d'), '%Y-%m') AS year_month
+  FROM fact_claims f JOIN dim_provider p USING (provider_key) JOIN dim_beneficiary b USING (beneficiary_key)
+  LEFT JOIN dim_geography g ON g.geo_key = f.geo_key)
+"""
+#: Business questions that are also asked of a published batch.
+ASKED = [
+    "exe_portfolio", "exe_ip_op_split", "exe_fraud_compare", "exe_top_states", "exe_alerts",
+    "fin_cost_drivers", "fin_benchmark", "ops_state_mix", "rsk_watchlist", "rsk_tier_summary",
+    "ops_kpis", "ops_los", "ops_duration_hist", "geo_state", "geo_fraud_density", "pop_high_utilizers",
+]
+
+QUERIES |= {
+    "val_slv_unique": (
+        over_staging(checks.silver_unique),
+        RAW + STAGING + as_check_sql(SILVER_UNIQUE_SQL),
+    ),
+    "val_gld_unique": (
+        over_gold(checks.gold_unique),
+        RAW + STAGING + GOLD + as_check_sql(GOLD_UNIQUE_SQL),
+    ),
+    "val_findings": (
+        findings,
+        RAW + STAGING + GOLD + as_check_sql([*SILVER_UNIQUE_SQL, *GOLD_UNIQUE_SQL, REJECT_SQL]),
+    ),
+    **{
+        f"pub_{name}": (
+            over_published(business.QUERIES[name][0]),
+            RAW + STAGING + PUBLISHED + business.QUERIES[name][1],
+        )
+        for name in ASKED
+    },
+}
+
 ORACLES = {name: sql for name, (_, sql) in QUERIES.items()}

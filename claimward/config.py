@@ -60,6 +60,8 @@ class Expectations:
     raw: dict[str, int] = field(default_factory=lambda: dict(PUBLIC_ROW_COUNTS))
     silver: dict[str, int] = field(default_factory=dict)
     gold: dict[str, int] = field(default_factory=dict)
+    #: First and last day of the calendar; without it the calendar spans the claims.
+    period: tuple[str, str] | None = None
 
     @classmethod
     def public(cls) -> "Expectations":
@@ -67,6 +69,7 @@ class Expectations:
         claims = raw["inpatient"] + raw["outpatient"]
         return cls(
             raw=dict(raw),
+            period=(CALENDAR_START, CALENDAR_END),
             silver={
                 "stg_provider": raw["provider"],
                 "stg_beneficiary": raw["beneficiary"],

@@ -22,7 +22,8 @@ class ClaimsModel:
     Inner joins are never pruned, so a query names the dimensions it reads: ``fact`` alone,
     ``joined("provider", "state")``, or ``claims_with(names)`` for columns chosen at run
     time. Every fact row has its provider and beneficiary (the gold gate sees to that), so
-    leaving a join out does not change the rows. ``rollups`` holds stored rollups by name.
+    leaving a join out does not change the rows. ``rollups`` holds stored rollups by name,
+    ``calendar`` the stored days.
     """
 
     fact: DataFrame
@@ -30,6 +31,7 @@ class ClaimsModel:
     beneficiaries: DataFrame
     geography: DataFrame
     rollups: dict[str, DataFrame] = field(default_factory=dict)
+    calendar: DataFrame | None = None
 
     def joined(self, *parts: str) -> DataFrame:
         """The claims with the named dimensions: provider, beneficiary, state."""
@@ -99,6 +101,7 @@ def model_from_gold(tables: dict[str, DataFrame]) -> ClaimsModel:
         tables["dim_beneficiary"],
         tables["dim_geography"],
         {name: df for name, df in tables.items() if name.startswith("agg_")},
+        tables.get("dim_date"),
     )
 
 

@@ -16,6 +16,7 @@ from claimward.functions.columns import (
     mean,
     percent,
 )
+from claimward.operators.gold import unmatched_claims
 from claimward.operators.profile import NAMES, as_date, as_number, rows_per_key, trimmed
 from claimward.operators.tally import (
     CRITICAL,
@@ -375,10 +376,78 @@ def silver_business(silver: Tables) -> DataFrame:
     )
 
 
+#: Keys that must be unique once text is trimmed and unquoted, per layer.
+SILVER_KEYS = {
+    "stg_provider": ["provider_id"],
+    "stg_beneficiary": ["beneficiary_id"],
+    "stg_claims": ["claim_id"],
+}
+GOLD_KEYS = {
+    "dim_provider": ["provider_id", "provider_key"],
+    "dim_beneficiary": ["beneficiary_id", "beneficiary_key"],
+    "dim_geography": ["geo_key"],
+    "dim_date": ["date_key"],
+    "fact_claims": ["claim_id"],
+}
+
+
+def _unique(layer: str, tables: Tables, keys: dict[str, list[str]]) -> DataFrame:
+    """Surplus rows of every key; keys are counted inside the tasks first."""
+    surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint"))
+    counts = [
+        named_count(
+            tables[table].groupBy(key).agg(_rows().alias("n")).agg(surplus.alias("issue_count")),
+            f"{table}.{key}: not unique",
+        )
+        for table, names in keys.items()
+        for key in names
+    ]
+    return as_checks(union_all(counts), layer, CRITICAL)
+
+
+def silver_unique(silver: Tables) -> DataFrame:
+    """Cleaned keys that occur more than once; claim ids over both claim files."""
+    return _unique("silver", silver, SILVER_KEYS)
+
+
+def gold_unique(gold: Tables) -> DataFrame:
+    return _unique("gold", gold, GOLD_KEYS)
+
+
+def rejected(rejects: DataFrame) -> DataFrame:
+    """Rejected records per dataset and reason, each kind critical."""
+    kinds = [(dataset, "malformed record") for dataset in DATASETS] + [("provider", "unknown label")]
+    rows = [
+        (
+            f"{NAMES[dataset]}: {reason}",
+            {"issue_count": F.count_if((F.col("dataset") == dataset) & (F.col("reason") == reason))},
+        )
+        for dataset, reason in kinds
+    ]
+    return as_checks(measured(rejects, rows, "check_name"), "bronze", CRITICAL)
+
+
+def left_out(silver: Tables) -> DataFrame:
+    """Claims that the joins of the fact will leave out."""
+    lost = unmatched_claims(silver["stg_claims"], silver["stg_provider"], silver["stg_beneficiary"])
+    counts = lost.select(
+        F.lit("stg_claims: left out of the fact").alias("check_name"),
+        F.col("dropped_claims").alias("issue_count"),
+    )
+    return as_checks(counts, "silver", WARNING)
+
+
 def silver_gate(silver: Tables) -> DataFrame:
-    """All silver checks with the uniform result: one pass per table, plus the references."""
+    """All silver checks with the uniform result: one pass per table, plus keys and references."""
     groups = [_null_checks(), _domain_checks(), _derived_checks(), _placeholder_checks()]
-    return _run("silver", silver, *groups).unionByName(silver_references(silver))
+    return union_all(
+        [
+            _run("silver", silver, *groups),
+            silver_references(silver),
+            silver_unique(silver),
+            left_out(silver),
+        ]
+    )
 
 
 # --- gold ----------------------------------------------------------------------------
@@ -587,7 +656,7 @@ def gold_spots(gold: Tables, limit: int = 5) -> DataFrame:
 def gold_gate(gold: Tables) -> DataFrame:
     """All gold checks with the uniform result: one pass per table, plus the joins."""
     rows = _run("gold", gold, _missing_key_checks(), _fact_checks(), _dim_checks())
-    return union_all([rows, _gold_orphans(gold), gold_rollup(gold)])
+    return union_all([rows, _gold_orphans(gold), gold_rollup(gold), gold_unique(gold)])
 
 
 __all__ = [
@@ -603,6 +672,9 @@ __all__ = [
     "gold_references",
     "gold_rollup",
     "gold_spots",
+    "gold_unique",
+    "left_out",
+    "rejected",
     "silver_business",
     "silver_counts",
     "silver_derived",
@@ -613,5 +685,6 @@ __all__ = [
     "silver_placeholders",
     "silver_ranges",
     "silver_references",
+    "silver_unique",
     "tier_shares",
 ]

@@ -84,14 +84,14 @@ FACT_COLUMNS = [
 def fact_claims(
     stg_claims: DataFrame, provider: DataFrame, beneficiary: DataFrame, geography: DataFrame
 ) -> DataFrame:
-    """The fact. ``claim_key`` is a hash of the claim id: it is only ever counted."""
+    """The fact, keyed by ``claim_id``."""
     wide = joined_claims(
         stg_claims,
         provider.select("provider_id", "provider_key", "is_potential_fraud"),
         beneficiary.select("beneficiary_id", "beneficiary_key", "state_code"),
         geography.select("state_code", "geo_key"),
     ).withColumn("claim_start_date_key", date_key("claim_start_date"))
-    return wide.select(F.xxhash64("claim_id").alias("claim_key"), *FACT_COLUMNS)
+    return wide.select(*FACT_COLUMNS)
 
 
 def unmatched_claims(

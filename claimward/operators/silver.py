@@ -15,7 +15,8 @@ from claimward.functions.columns import (
     text_or_null,
     year_gap,
 )
-from claimward.schemas import CHRONIC_COLUMNS, DIAGNOSIS_COLUMNS, PROCEDURE_COLUMNS
+from claimward.operators.tally import union_all
+from claimward.schemas import CHRONIC_COLUMNS, CORRUPT, DIAGNOSIS_COLUMNS, PROCEDURE_COLUMNS
 
 
 def _trimmed(name: str) -> Column:
@@ -53,6 +54,34 @@ def provider_rejects(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejects(raw: dict[str, DataFrame]) -> DataFrame:
+    """Records that never reach staging: lines the reader could not split, and providers
+    with an unknown label."""
+    frames = []
+    for dataset, df in raw.items():
+        kept = df if CORRUPT in df.columns else df.withColumn(CORRUPT, F.lit(None).cast("string"))
+        source = F.col("source_file_name") if "source_file_name" in df.columns else F.lit(None).cast("string")
+        labels = [(F.col(CORRUPT).isNotNull(), "malformed record", F.col(CORRUPT))]
+        if dataset == "provider":
+            text = F.concat_ws(",", "Provider", "PotentialFraud")
+            labels.append((F.col(CORRUPT).isNull() & fraud_flag().isNull(), "unknown label", text))
+        for bad, reason, text in labels:
+            frames.append(
+                kept.filter(bad).select(
+                    F.lit(dataset).alias("dataset"),
+                    F.lit(reason).alias("reason"),
+                    source.alias("source_file_name"),
+                    text.alias("record"),
+                )
+            )
+    return union_all(frames)
+
+
+def well_formed(raw: DataFrame) -> DataFrame:
+    """Records the reader could split."""
+    return raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
+
+
 def patient_age(birth: str | Column, reference: str = AGE_REFERENCE_DATE) -> Column:
     return year_gap(birth, F.lit(reference).cast("date"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 CRITICAL, WARNING = "critical", "warning"
 Check = tuple[str, Column, str]  # name, condition of a bad row, severity
@@ -71,10 +71,15 @@ def named_count(counts: DataFrame, name: str) -> DataFrame:
     return counts.select(F.lit(name).alias("check_name"), "issue_count")
 
 
-def enforce(checks: DataFrame) -> DataFrame:
-    """Raise when a critical check failed (the result has one row per check)."""
-    failed = checks.filter((F.col("severity") == CRITICAL) & ~F.col("passed")).collect()
+def require(rows: list[Row]) -> None:
+    """Raise when a critical check among the rows failed."""
+    failed = [row for row in rows if row.severity == CRITICAL and not row.passed]
     if failed:
         lines = [f"{row.layer}: {row.check_name} ({row.issue_count})" for row in failed]
         raise ValidationError("critical checks failed:\n" + "\n".join(lines))
+
+
+def enforce(checks: DataFrame) -> DataFrame:
+    """Raise when a critical check failed (the result has one row per check)."""
+    require(checks.collect())
     return checks

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from claimward.config import Expectations
 from claimward.model import ClaimsModel, model_from_gold
 from claimward.operators import checks, gold, silver
-from claimward.operators.tally import ValidationError, enforce
-from claimward.schemas import CORRUPT, DATASETS
+from claimward.operators.tally import ValidationError, require
+from claimward.schemas import DATASETS
 from claimward.sources import lookups, tables
 from claimward.sources.text import new_batch_id, read_all, source_sizes, strip_quotes
 
 MONTH_PARTITION = "claim_month"
+FINDINGS = "layer string, check_name string, issue_count bigint, severity string, passed boolean"
 
 
 @dataclass(frozen=True)
@@ -24,32 +26,72 @@ class RefreshResult:
     findings: DataFrame
 
 
-def gold_from_silver(spark: SparkSession, stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The eight gold tables as lazy frames over staging tables."""
-    dims = {
-        "dim_provider": gold.dim_provider(stg["stg_provider"]),
-        "dim_beneficiary": gold.dim_beneficiary(stg["stg_beneficiary"]),
-        "dim_date": lookups.calendar_over(stg["stg_claims"]),
-        "dim_geography": lookups.states(spark),
-    }
-    fact = gold.fact_claims(
-        stg["stg_claims"], dims["dim_provider"], dims["dim_beneficiary"], dims["dim_geography"]
+class OnDemand(Mapping):
+    """Tables built when first asked for; a builder gets the mapping itself."""
+
+    def __init__(self, builders: dict[str, Callable[[Mapping], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name](self)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+STAR = ("dim_provider", "dim_beneficiary", "dim_date", "dim_geography", "fact_claims")
+
+
+def gold_from_silver(
+    spark: SparkSession, stg: dict[str, DataFrame], period: tuple[str, str] | None = None
+) -> Mapping[str, DataFrame]:
+    """The eight gold tables over staging tables, each built only if it is read.
+
+    Building a dimension numbers its keys, which starts jobs.
+    """
+
+    def fact(t: Mapping) -> DataFrame:
+        return gold.fact_claims(
+            stg["stg_claims"], t["dim_provider"], t["dim_beneficiary"], t["dim_geography"]
+        )
+
+    def rollup(name: str) -> Callable[[Mapping], DataFrame]:
+        return lambda t: ROLLUPS[name]({k: t[k] for k in STAR}, stg["stg_claims"])
+
+    return OnDemand(
+        {
+            "dim_provider": lambda t: gold.dim_provider(stg["stg_provider"]),
+            "dim_beneficiary": lambda t: gold.dim_beneficiary(stg["stg_beneficiary"]),
+            "dim_date": lambda t: calendar(spark, stg["stg_claims"], period),
+            "dim_geography": lambda t: lookups.states(spark),
+            "fact_claims": fact,
+            **{name: rollup(name) for name in ROLLUPS},
+        }
     )
-    return {**dims, "fact_claims": fact, **rollups({**dims, "fact_claims": fact}, stg["stg_claims"])}
 
 
-def rollups(star: dict[str, DataFrame], stg_claims: DataFrame) -> dict[str, DataFrame]:
-    model = model_from_gold(star)
-    return {
-        "agg_provider_summary": gold.provider_rollup(model, stg_claims),
-        "agg_state_monthly": gold.state_month_rollup(in_calendar(model)),
-        "agg_chronic_disease": gold.disease_rollup(model),
-    }
+def calendar(spark: SparkSession, stg_claims: DataFrame, period: tuple[str, str] | None) -> DataFrame:
+    """The declared days; without a declaration the days that the claims span."""
+    return lookups.calendar(spark, *period) if period else lookups.calendar_over(stg_claims)
+
+
+ROLLUPS: dict[str, Callable[[Mapping, DataFrame], DataFrame]] = {
+    "agg_provider_summary": lambda star, stg: gold.provider_rollup(model_from_gold(star), stg),
+    "agg_state_monthly": lambda star, stg: gold.state_month_rollup(in_calendar(star)),
+    "agg_chronic_disease": lambda star, stg: gold.disease_rollup(model_from_gold(star)),
+}
 
 
-def in_calendar(model: ClaimsModel) -> ClaimsModel:
-    """Claims with a start date; only those can belong to a month."""
-    dated = model.fact.filter("claim_start_date is not null")
+def in_calendar(star: Mapping[str, DataFrame]) -> ClaimsModel:
+    """Claims whose start date is a day of the calendar; only those belong to a month."""
+    model = model_from_gold(star)
+    days = star["dim_date"].select(F.col("date_key").alias("claim_start_date_key"))
+    dated = model.fact.join(days, "claim_start_date_key", "left_semi")
     return ClaimsModel(dated, model.providers, model.beneficiaries, model.geography)
 
 
@@ -71,8 +113,10 @@ def refresh(
     """Stage bronze, silver and gold, check each, and publish all of it at the end.
 
     Every layer is read back from its staged files, so a lost executor costs one task and
-    not the run. Readers see the new batch only after the last gate. ``strict=False``
-    reports critical findings of the raw data without stopping.
+    not the run. Readers see the new batch only after the last gate. Malformed records,
+    unknown labels, keys that are not unique and claims that match no dimension are
+    findings, stored with the batch; rejected records are stored as they came.
+    ``strict=False`` reports critical findings without stopping.
     """
     batch = batch_id or new_batch_id()
     wanted = expectations or Expectations.none()
@@ -87,16 +131,24 @@ def refresh(
             stored[name] = tables.staged_frame(spark, done)
         return stored
 
-    def gate(findings: DataFrame, must_pass: bool = True) -> DataFrame:
-        return enforce(findings) if must_pass else findings
+    found: list = []
+
+    def gate(checked: DataFrame) -> None:
+        """Run the checks once; their rows (one per check) are kept with the batch."""
+        rows = checked.collect()
+        found.extend(rows)
+        if strict:
+            require(rows)
 
-    bronze = keep("bronze", {name: raw[name].drop(CORRUPT) for name in DATASETS})
-    found = [gate(checks.bronze_all(bronze, wanted.raw), strict)]
+    bronze = keep("bronze", {name: raw[name] for name in DATASETS})
+    rejects = keep("checks", {"rejects": silver.rejects(bronze)})["rejects"]
+    bronze = {name: silver.well_formed(df) for name, df in bronze.items()}
+    gate(checks.bronze_all(bronze, wanted.raw).unionByName(checks.rejected(rejects)))
     _require_match(tables.reconcile(spark, staged, wanted.raw))
 
     cleaned = {**bronze, "beneficiary": strip_quotes(bronze["beneficiary"])}
     stg = keep("silver", silver.silver(cleaned))
-    found.append(gate(checks.silver_gate(stg)))
+    gate(checks.silver_gate(stg))
     _require_match(
         tables.reconcile(spark, staged, {k: v for k, v in wanted.silver.items() if k in stg})
     )
@@ -106,7 +158,7 @@ def refresh(
         {
             "dim_provider": gold.dim_provider(stg["stg_provider"]),
             "dim_beneficiary": gold.dim_beneficiary(stg["stg_beneficiary"]),
-            "dim_date": lookups.calendar_over(stg["stg_claims"]),
+            "dim_date": calendar(spark, stg["stg_claims"], wanted.period),
             "dim_geography": lookups.states(spark),
         },
     )
@@ -114,12 +166,12 @@ def refresh(
         stg["stg_claims"], dims["dim_provider"], dims["dim_beneficiary"], dims["dim_geography"]
     ).withColumn(MONTH_PARTITION, F.floor(F.col("claim_start_date_key") / 100).cast("int"))
     star = {**dims, **keep("gold", {"fact_claims": fact})}
-    star.update(keep("gold", rollups(star, stg["stg_claims"])))
-    found.append(gate(checks.gold_gate(star)))
+    star.update(keep("gold", {name: make(star, stg["stg_claims"]) for name, make in ROLLUPS.items()}))
+    gate(checks.gold_gate(star))
     _require_match(tables.reconcile(spark, staged, wanted.gold))
 
+    findings = keep("checks", {"findings": spark.createDataFrame(found, FINDINGS)})["findings"]
     tables.publish(spark, root, staged)
-    findings = found[0].unionByName(found[1]).unionByName(found[2])
     return RefreshResult(batch, tables.staged_counts(spark, staged), findings)
 
 

@@ -50,16 +50,18 @@ def label_type_mix(model: ClaimsModel, filters: Filters | None = None) -> DataFr
 def month_year_pivot(model: ClaimsModel, filters: Filters | None = None) -> DataFrame:
     """Months against years with totals in both directions.
 
-    The month table (twelve rows a year) is stored first, so finding the years does not
-    read the claims again.
+    Years are those of the stored calendar, else of the month table (twelve rows a year),
+    which is stored first, so finding them does not read the claims again. Claims without a
+    date or outside the calendar have no place in the table.
     """
     months = materialize(
         metrics(
             model, ["total_reimbursement"], ["month_num", "month_name", "year_num"], filters
         )
     )
-    years = [row[0] for row in months.select("year_num").distinct().orderBy("year_num").collect()]
-    body = months.groupBy("month_num", "month_name").pivot("year_num", years).agg(
+    dated = model.calendar if model.calendar is not None else months.filter("year_num is not null")
+    years = [row[0] for row in dated.select("year_num").distinct().orderBy("year_num").collect()]
+    body = months.filter(F.col("year_num").isin(years)).groupBy("month_num", "month_name").pivot("year_num", years).agg(
         F.sum("total_reimbursement")
     )
     named = body.select(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,18 +39,14 @@ def build_session(app_name: str = "claimward", master: str | None = None, **conf
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 
-    Only a local session without the setting gets a temporary folder of its own;
-    on a cluster a machine-local folder would be lost with its machine.
+    Without the setting it is a folder in the warehouse, which is shared as well; no
+    machine-local folder is ever used.
     """
-    configured = spark.conf.get(CHECKPOINT_SETTING, None)
-    if configured:
-        folder = configured
-    elif spark.sparkContext.getCheckpointDir():
-        folder = spark.sparkContext.getCheckpointDir()
-    elif spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="claimward-")
-    else:
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+    folder = (
+        spark.conf.get(CHECKPOINT_SETTING, None)
+        or spark.sparkContext.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_claimward_scratch"
+    )
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -14,13 +14,14 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "claimward-tests",
         "local[4]",
         spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

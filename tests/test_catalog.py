@@ -8,6 +8,7 @@ from check_oracles import compare, connect
 from conftest import SF_DIR
 
 import __spark_entry__ as catalog
+from claimward.catalog import registry
 
 SAMPLE = [
     "exe_alerts",
@@ -23,6 +24,8 @@ SAMPLE = [
     "prf_columns",
     "slv_claims_ip",
     "val_gld_kpi",
+    "val_findings",
+    "pub_geo_state",
     "met_briefing",
     "dec_disease_counts",
     "vis_topn_sets",
@@ -34,8 +37,9 @@ def duck():
     return connect(SF_DIR)
 
 
-def test_every_query_has_its_twin():
-    assert set(catalog.queries()) == set(catalog.oracle_sql())
+def test_every_query_of_the_library_has_its_twin():
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(catalog.queries())
 
 
 @pytest.mark.parametrize("name", SAMPLE)

@@ -90,3 +90,85 @@ def test_second_refresh_replaces_the_first(spark, files, tmp_path):  # noqa: F81
     now = {(r.layer, r.table_name): r for r in tables.current(spark, root).collect()}
     assert {r.batch_id for r in now.values()} == {"20240102_000000"}
     assert now[("bronze", "inpatient")].table_rows == 1
+
+
+def findings(spark, root):
+    return {r.check_name: r.issue_count for r in tables.read_published(spark, root, "checks")["findings"].collect()}
+
+
+def test_nothing_is_lost_in_silence(spark, files, tmp_path):  # noqa: F811
+    """A line with surplus fields, a cut line, an unknown label, an id in both claim files,
+    a key that collides after trimming and a date outside the period: all are findings."""
+    from claimward.sources.text import read_all
+
+    given = sources(files)
+    providers = [{"Provider": p, "PotentialFraud": f} for p, f in (("P1", "Yes"), ("P2", "No"), ("P3", "Maybe"))]
+    people = [BENE | {"BeneID": b} for b in ("B1", " B1", "B2")]
+    ip = [IP | {"ClaimID": "C1"}, IP | {"ClaimID": "C2", "ClaimStartDt": "2031-01-05"}]
+    op = [OP | {"ClaimID": "C1"}, OP | {"ClaimID": "C3"}]
+    last = lines("inpatient", *ip).splitlines()[-1]
+    cut = ",".join(last.split(",")[:6])
+    broken = lines("inpatient", *ip) + f"{last},surplus,fields\n{cut}\n"
+    given |= files(
+        provider=lines("provider", *providers),
+        inpatient=broken,
+        outpatient=lines("outpatient", *op),
+        beneficiary=lines("beneficiary", *people),
+    )
+    root = str(tmp_path / "warehouse")
+    period = Expectations(raw={}, period=("2008-11-01", "2009-12-31"))
+    with pytest.raises(ValidationError, match="malformed record"):
+        refresh.refresh_from_files(spark, given, root, period)
+    raw = read_all(spark, given, "20240101_000000")
+    refresh.refresh(spark, raw, root, "20240101_000000", period, strict=False)
+    found = findings(spark, root)
+    named = {name: n for name, n in found.items() if n}
+    assert sum(n for name, n in named.items() if name.endswith("malformed record")) == 2
+    assert sum(n for name, n in named.items() if name.endswith("unknown label")) == 1
+    assert named["stg_claims.claim_id: not unique"] == 1
+    assert named["stg_beneficiary.beneficiary_id: not unique"] == 1
+    assert named["fact_claims.claim_start_date_key: not in dim_date"] >= 1
+    rejects = tables.read_published(spark, root, "checks")["rejects"].collect()
+    assert sorted(r.reason for r in rejects) == ["malformed record", "malformed record", "unknown label"]
+    star = tables.read_published(spark, root, "gold")
+    assert star["dim_date"].count() == 426
+    assert {r.year_num for r in star["agg_state_monthly"].collect()} == {2009}
+
+
+@pytest.fixture(scope="module")
+def published(spark):
+    from claimward.catalog import intake
+
+    return refresh.published_model(spark, intake.refreshed_root(spark, "/root/testdata/sf0.001"))
+
+
+def test_every_question_runs_on_published_tables(published):
+    from claimward.catalog import business, metric_queries
+
+    for name, (function, _) in {**business.QUERIES, **metric_queries.QUERIES}.items():
+        function(published).schema  # noqa: B018
+    for name in ("rsk_top_profile", "pop_disease_burden", "gld_agg_provider"):
+        assert business.QUERIES[name][0](published).count() > 0, name
+    assert metric_queries.QUERIES["met_outlier_providers"][0](published).count() == 1
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "name", ["fin_cap_scenarios", "ops_kpis", "ops_duration_hist", "exe_ip_op_split", "geo_season"]
+)
+def test_queries_read_the_fact_alone(published, name):
+    from claimward.catalog import business
+
+    assert "Join" not in plan_of(business.QUERIES[name][0](published))
+
+
+def test_month_filters_skip_files(published):
+    from claimward.operators.metrics import metrics
+
+    df = metrics(published, ["total_claims"], filters={"year_num": [1996], "month_num": [1]})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert plan.count("claim_month") > 1
