@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
 from claimward.session import scratch_path
 
@@ -48,6 +49,23 @@ def bucket(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % F.lit(modulus)
 
 
+def sample_ids(ids: DataFrame, each: int) -> DataFrame:
+    """At most ``each`` rows of (doc_id, label) per label, in the order of a hash of the id.
+
+    Labels are counted first; a hash bound then leaves about twice as many rows as wanted,
+    and only those are ordered. Labels must be few: their counts reach the driver.
+    """
+    counts = {r.label: r.n for r in ids.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return ids
+    rates = [x for label, n in counts.items() for x in (F.lit(label), F.lit(min(1.0, 2.0 * each / n)))]
+    place = F.xxhash64("doc_id", F.lit("sample"))
+    part = F.shiftrightunsigned(place, 1).cast("double") / float(1 << 63)
+    few = ids.filter(part <= F.element_at(F.create_map(*rates), F.col("label")))
+    nth = Window.partitionBy("label").orderBy(place, "doc_id")
+    return few.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= each).drop("nth")
+
+
 def local_path(uri: str) -> str | None:
     """The plain path of a local or mounted file, None for other stores."""
     if uri.startswith("file:"):

@@ -24,9 +24,8 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window
 
-from claimward.llm.common import bucket, table
+from claimward.llm.common import bucket, sample_ids, table
 from claimward.llm.crf import Chain, fit, kind_scores
 from claimward.llm.texts import chunks, mixed, per_text
 
@@ -189,13 +188,9 @@ def sampled(documents: DataFrame, label: Column, each: int, rows: int) -> DataFr
 
     Ids are picked first, without texts; their number is bounded by the parameters.
     """
-    order = F.xxhash64("doc_id", label)
-    ids = documents.select("doc_id", label.alias("label"), order.alias("place")).filter(
-        F.col("label").isNotNull() & F.col("doc_id").isNotNull()
-    )
-    nth = Window.partitionBy("label").orderBy("place", "doc_id")
-    picked = ids.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= each)
-    bounded = picked.orderBy("place", "doc_id").limit(rows).select("doc_id").distinct()
+    ids = documents.select("doc_id", label.alias("label")).filter("label is not null and doc_id is not null")
+    picked = sample_ids(ids, each).select("doc_id").distinct()
+    bounded = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return (
         documents.select("doc_id", label.alias("label"), "text")
         .join(F.broadcast(bounded), "doc_id")

@@ -23,9 +23,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window
 
-from claimward.llm.common import bucket, table
+from claimward.llm.common import bucket, sample_ids, table
 from claimward.llm.crf import Chain, fit, kind_scores
 from claimward.llm.texts import chunks, mixed, per_text, windows, word_hashes
 
@@ -212,20 +211,14 @@ def train(documents: DataFrame, labels: DataFrame, each: int = SAMPLE) -> Model
         .agg(F.min("quality").alias("quality"))
         .join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
     )
-    nth = Window.partitionBy("quality").orderBy("place", "doc_id")
-    picked = (
-        usable.withColumn("place", F.xxhash64("doc_id", F.lit("quality")))
-        .withColumn("nth", F.row_number().over(nth))
-        .filter(F.col("nth") <= each)
-        .select("doc_id", "quality")
-    )
+    picked = sample_ids(usable.withColumnRenamed("quality", "label"), each)
     found = (
         documents.select("doc_id", "text")
         .join(F.broadcast(picked), "doc_id")  # at most two times ``each`` rows
         .orderBy("doc_id", "text")
         .collect()
     )
-    return learn([(r.text or "").encode() for r in found], [r.quality for r in found])
+    return learn([(r.text or "").encode() for r in found], [r.label for r in found])
 
 
 def _with_score(documents: DataFrame, model: Model | None, carried: list[str], name: str) -> DataFrame:
