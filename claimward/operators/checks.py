@@ -30,12 +30,9 @@ from claimward.operators.tally import (
     tally,
     union_all,
 )
-from claimward.schemas import DATASETS, RAW_COLUMNS, REQUIRED
+from claimward.schemas import AMOUNT_COLUMNS, DATASETS, DATE_COLUMNS, REQUIRED
 
 Tables = dict[str, DataFrame]
-# Name parts that mark date and amount columns of the raw files.
-DATE_MARKS = ("dt", "date", "dob", "dod")
-AMOUNT_MARKS = ("amt", "reimbursed", "deductible")
 AGE_GROUPS = ["Below 45", "45-54", "55-64", "65+"]
 
 
@@ -43,10 +40,6 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _marked(dataset: str, marks: tuple[str, ...]) -> list[str]:
-    return [c for c in RAW_COLUMNS[dataset] if any(mark in c.lower() for mark in marks)]
-
-
 # --- bronze --------------------------------------------------------------------------
 
 
@@ -58,10 +51,10 @@ def bronze(df: DataFrame, dataset: str, expected: int | None = None) -> DataFram
         findings.append((f"{table}: row count", F.abs(_rows() - expected), CRITICAL))
     for name in REQUIRED[dataset]:
         findings.append((f"{table}.{name}: missing", F.count_if(is_blank(name)), CRITICAL))
-    for name in _marked(dataset, DATE_MARKS):
+    for name in DATE_COLUMNS[dataset]:
         bad = (F.coalesce(trimmed(name), F.lit("")) != "NA") & as_date(name).isNull()
         findings.append((f"{table}.{name}: not a date", F.count_if(bad), WARNING))
-    for name in _marked(dataset, AMOUNT_MARKS):
+    for name in AMOUNT_COLUMNS[dataset]:
         findings.append((f"{table}.{name}: negative", F.count_if(as_number(name) < 0), WARNING))
     counts = measured(
         df, [(name, {"issue_count": count}) for name, count, _ in findings], "check_name"

@@ -85,6 +85,24 @@ PRIMARY_KEYS = {
     "outpatient": ["ClaimID"],
     "beneficiary": ["BeneID"],
 }
+# Roles of columns: dates and amounts of each raw dataset.
+DATE_COLUMNS = {
+    "provider": [],
+    "inpatient": ["ClaimStartDt", "ClaimEndDt", "AdmissionDt", "DischargeDt"],
+    "outpatient": ["ClaimStartDt", "ClaimEndDt"],
+    "beneficiary": ["DOB", "DOD"],
+}
+AMOUNT_COLUMNS = {
+    "provider": [],
+    "inpatient": ["InscClaimAmtReimbursed", "DeductibleAmtPaid"],
+    "outpatient": ["InscClaimAmtReimbursed", "DeductibleAmtPaid"],
+    "beneficiary": [
+        "IPAnnualReimbursementAmt",
+        "IPAnnualDeductibleAmt",
+        "OPAnnualReimbursementAmt",
+        "OPAnnualDeductibleAmt",
+    ],
+}
 REQUIRED = {
     "provider": ["Provider", "PotentialFraud"],
     "inpatient": ["BeneID", "ClaimID", "Provider"],
