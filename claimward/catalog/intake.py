@@ -1004,7 +1004,24 @@ ASKED = [
     "ops_kpis", "ops_los", "ops_duration_hist", "geo_state", "geo_fraud_density", "pop_high_utilizers",
 ]
 
+def latest_of(dataset: str):
+    return lambda spark, sf_dir: profile.latest(
+        raw(spark, sf_dir)[dataset].withColumn("ingestion_timestamp", F.current_timestamp()), dataset
+    ).drop("ingestion_timestamp")
+
+
+def latest_sql(dataset: str) -> str:
+    (key,) = PRIMARY_KEYS[dataset]
+    others = [c for c in RAW_COLUMNS[dataset] if c != key]
+    order = ", ".join([key, *(f"{c} NULLS LAST" for c in others)])
+    return f"SELECT {', '.join(RAW_COLUMNS[dataset])} FROM {KEY_TABLES[dataset]} ORDER BY {order} LIMIT 5"
+
+
 QUERIES |= {
+    **{
+        f"prf_latest_{dataset}": (latest_of(dataset), RAW + latest_sql(dataset))
+        for dataset in ("provider", "inpatient", "outpatient")
+    },
     "val_slv_unique": (
         over_staging(checks.silver_unique),
         RAW + STAGING + as_check_sql(SILVER_UNIQUE_SQL),
