@@ -34,7 +34,7 @@ ROWS = 6_000
 BUCKETS = 1 << 17
 ROUNDS = 20
 #: Words whose scores a task keeps before it starts anew.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 300_000
 LEXICON_MIN = 3
 HOLD_OUT = 3
 HELD = 1

@@ -28,7 +28,7 @@ from claimward.llm.common import bucket, sample_ids, table
 from claimward.llm.crf import Chain, fit, kind_scores
 from claimward.llm.texts import chunks, mixed, per_text, windows, word_hashes
 
-SAMPLE = 1_500
+SAMPLE = 1_000
 THRESHOLD = 0.3
 HOLD_OUT = 5
 HELD = 0

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 
 #: Bytes of text worked on at once; a longer text is worked on alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def chunks(keys: pa.Array, texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[list, list[bytes]]]:

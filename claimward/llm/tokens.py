@@ -34,7 +34,7 @@ END_ID = 1
 FRAME_TOKENS = 1 << 16
 LEVEL = 3
 #: Words whose ids a Python worker keeps before it starts anew.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 300_000
 
 # Fixed values of the seekable zstandard format
 SKIPPABLE_MAGIC = 0x184D2A5E

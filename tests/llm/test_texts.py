@@ -157,3 +157,14 @@ def test_quality_odd_rows(spark, documents):
     assert quality.good_only(docs.filter("false"), labels).count() == 0
     scores = {r.score for r in quality.scored(docs, quality.train(docs, labels.filter("false"))).collect()}
     assert scores == {0.5}
+
+
+def test_sample_is_bounded_per_label(spark):
+    from claimward.llm.common import sample_ids
+
+    ids = spark.range(5_000).selectExpr("id AS doc_id", "if(id % 50 = 0, 'rare', 'often') AS label")
+    found = sample_ids(ids, 120).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in found} == {"rare": 100, "often": 120}
+    again = sample_ids(ids.repartition(7), 120).collect()
+    assert sorted(again) == sorted(sample_ids(ids, 120).collect())
+    assert sample_ids(ids.filter("false"), 5).count() == 0
