@@ -359,7 +359,7 @@ def deduplicated(documents: DataFrame, like: Likeness = STANDARD) -> DataFrame:
     """``documents`` with one document of each group, and all without an id."""
     keep = grouped(documents, like).filter("kept and doc_id is not null").select("doc_id").distinct()
     named = documents.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.union(documents.filter("doc_id is null")).select(*documents.columns)
+    return named.select(*documents.columns).union(documents.filter("doc_id is null"))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

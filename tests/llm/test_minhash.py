@@ -74,6 +74,10 @@ def test_deduplicated_keeps_columns_and_rows_without_id(documents):
     kept = minhash.deduplicated(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 7, 8]
+    turned = docs.select(*reversed(docs.columns))
+    kept = minhash.deduplicated(turned)
+    assert kept.columns == turned.columns
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 7, 8]
 
 
 def test_empty_table(documents, spark):
