@@ -13,6 +13,7 @@ ordered by text. A null id sorts first. Extra columns are left out.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,9 @@ END_ID = 1
 FRAME_TOKENS = 1 << 16
 LEVEL = 3
 #: Words whose ids a Python worker keeps before it starts anew.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 400_000
+#: Bytes of text encoded at once.
+PIECE_BYTES = 4 << 20
 
 # Fixed values of the seekable zstandard format
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -46,6 +49,8 @@ INDEX = (
 )
 READ = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids_crc32 bigint"
 
+#: Words in one call of the tokenizer.
+AT_ONCE = 500
 #: Closing marks that a word may be cut before: no rule of the tokenizer joins them to a letter.
 CLOSING = b".,!?|$%&*#;:"
 _PLAIN_END = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
@@ -57,7 +62,8 @@ class Encoder:
 
     The tokenizer cuts at white space and lowers case before anything else, so the ids of
     a text are those of its words in order, and ASCII capitals do not matter. Unknown words
-    go to the tokenizer library, many in one call; offsets tell which ids belong to which.
+    go to the tokenizer library, many in one call; end-of-word ids (for words of letters only)
+    or offsets tell which ids belong to which.
     Special tokens are matched before case is lowered, so texts with ``<|`` keep theirs.
     """
 
@@ -65,6 +71,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        model = json.loads(self.tokenizer.to_str())["model"]
+        self.suffix = model.get("end_of_word_suffix")
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends_word[number] = bool(self.suffix) and token.endswith(self.suffix)
         self.known: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
@@ -96,10 +107,35 @@ class Encoder:
         for word, parts in cut.items():
             self.known[word] = b"".join(self.stems[p] for p in parts)
 
-    def _ask(self, words: list[bytes], at_once: int = 500) -> None:
-        for low in range(0, len(words), at_once):
-            group = words[low : low + at_once]
-            texts = [w.decode("utf-8") for w in group]
+    def _ask(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for word in words:
+            text = word.decode("utf-8")
+            (plain if self.suffix and text.isalpha() else other).append((word, text))
+        for low in range(0, len(plain), AT_ONCE):
+            other += self._ask_plain(plain[low : low + AT_ONCE])
+        for low in range(0, len(other), AT_ONCE):
+            self._ask_any(other[low : low + AT_ONCE])
+
+    def _ask_plain(self, pairs: list[tuple[bytes, str]]) -> list[tuple[bytes, str]]:
+        """Words of letters only are one piece each, so each has one end-of-word id.
+
+        Returns the words if the count does not come out, for the slower way.
+        """
+        joined = " ".join(text for _, text in pairs)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        bounds = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(bounds) != len(pairs):
+            return pairs
+        raw, low = ids.tobytes(), 0
+        for (word, _), high in zip(pairs, (bounds * 4).tolist()):
+            self.stems[word] = raw[low:high]
+            low = high
+        return []
+
+    def _ask_any(self, pairs: list[tuple[bytes, str]]) -> None:
+        if pairs:
+            group, texts = [w for w, _ in pairs], [t for _, t in pairs]
             found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
             starts = np.cumsum([0] + [len(t) + 1 for t in texts])
@@ -190,7 +226,7 @@ def write(
         part = TaskContext.get().partitionId()
         encoder, file, writer, total = Encoder.of(path), None, None, 0
         for batch in batches:
-            for keys, texts in chunks(batch.column("doc_id"), batch.column("text")):
+            for keys, texts in chunks(batch.column("doc_id"), batch.column("text"), PIECE_BYTES):
                 if writer is None:
                     file = attempt_name(base, "ids") + ".zst"
                     writer = FrameWriter(open_for_write(file), width, frame_tokens)
