@@ -7,8 +7,10 @@ an alignment of an item with a document. The aligned tokens are then compared on
 and a document is contaminated if an alignment agrees in at least ``share`` of the item's
 tokens, or in ``run_share`` of any ``run`` tokens in a row.
 
-Items shorter than the masks get an unmasked seed of their own length, items under
-``SHORTEST`` tokens cannot be told from ordinary phrases and are left out. Null and empty
+The seeds are complete: ``TRIPLES`` are all ways to pick three of at most five tokens in a
+row, and every alignment that passes the thresholds has such triples. ``least_triples`` counts how
+many it has at least; alignments with fewer are not compared. Items under ``SHORTEST``
+tokens cannot be told from ordinary phrases and are left out. Null and empty
 texts match nothing. Items with equal tokens count once. A document is known by its id and
 a hash of its text, so null and repeated ids are judged row by row. Extra columns are left
 out. The seeds of the benchmark are broadcast only if their counted number is at most
@@ -17,10 +19,14 @@ out. The seeds of the benchmark are broadcast only if their counted number is at
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimward.llm.common import stored, table
 
+TRIPLES = ("111", "1101", "1011", "11001", "10101", "10011")
+#: The longer masks of the SQL twin, which loses alignments with many substitutions.
 MASKS = ("110100110111", "111011001011", "101101110011")
 SPAN = len(MASKS[0])
 SHORTEST = 8
@@ -34,33 +40,52 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def seeds(hashed: Column, masks: tuple[str, ...]) -> Column:
-    """Array, by position, of arrays of one seed per mask; masks have one length."""
-    span = len(masks[0])
+def least_triples(size: int, matched: int) -> int:
+    """Fewest triples of ``TRIPLES`` among ``matched`` of ``size`` places, however they lie."""
+    fewest = {(0, 0): 0}  # by (which of the last four places match, matches so far)
+    for _ in range(size):
+        after: dict[tuple[int, int], int] = {}
+        for (last, so_far), triples in fewest.items():
+            near = last.bit_count()
+            for bit, more in ((0, 0), (1, near * (near - 1) // 2)):
+                key = (last << 1 & 15 | bit, so_far + bit)
+                after[key] = min(after.get(key, triples + more), triples + more)
+        fewest = after
+    return min(n for (_, so_far), n in fewest.items() if so_far == matched)
+
+
+def _least_by_size() -> list[int]:
+    """Triples that a contaminating alignment has at least, by item size; the last entry is for
+    longer items: cut into parts of 30 to 60 tokens, one part agrees as much as the whole."""
+    run = least_triples(RUN, math.ceil(RUN_SHARE * RUN))
+    least = [1] * SHORTEST
+    for size in range(SHORTEST, 61):
+        of_share = least_triples(size, math.ceil(round(SHARE * size, 6)))
+        least.append(min(of_share, run) if size >= RUN else of_share)
+    return [*least, min(least[30:])]
+
+
+def seeds(hashed: Column) -> Column:
+    """Array, by position, of arrays of one seed per mask. Masks that reach past the end hash
+    fewer tokens and meet no seed of an item."""
 
     def at(i: Column) -> Column:
         return F.array(
             *[
-                F.xxhash64(F.lit(mask), *[F.get(hashed, i + k) for k, bit in enumerate(mask) if bit == "1"])
-                for mask in masks
+                F.xxhash64(F.lit(n), *[F.get(hashed, i + k) for k, bit in enumerate(mask) if bit == "1"])
+                for n, mask in enumerate(TRIPLES)
             ]
         )
 
     return F.when(
-        F.size(hashed) >= span, F.transform(F.sequence(F.lit(0), F.size(hashed) - span), at)
+        F.size(hashed) > 0, F.transform(F.sequence(F.lit(0), F.size(hashed) - 1), at)
     ).otherwise(F.array().cast("array<array<bigint>>"))
 
 
-def seeded(rows: DataFrame, keep: list[str], mask_sets: list[tuple[str, ...]]) -> DataFrame:
+def seeded(rows: DataFrame, keep: list[str]) -> DataFrame:
     """One row per (row, position, seed); ``rows`` has an array of hashed tokens."""
-    parts = []
-    for masks in mask_sets:
-        by_place = rows.select(*keep, F.posexplode(seeds(F.col("hashed"), masks)).alias("place", "at_place"))
-        parts.append(by_place.select(*keep, "place", F.explode("at_place").alias("seed")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    by_place = rows.select(*keep, F.posexplode(seeds(F.col("hashed"))).alias("place", "at_place"))
+    return by_place.select(*keep, "place", F.posexplode("at_place").alias("mask", "seed"))
 
 
 def _hashed(column: str) -> Column:
@@ -84,26 +109,28 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 
 def alignments(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct (doc_id, text_key, item_id, shift) that a seed suggests; shift is where in
+    """Distinct (doc_id, text_key, item_id, shift) that enough seeds suggest; shift is where in
     the document the item would begin."""
     sized = items.select("item_id", _hashed("item_tokens").alias("hashed"), F.size("item_tokens").alias("item_size"))
-    short = [r.item_size for r in sized.filter(F.col("item_size") < SPAN).select("item_size").distinct().collect()]
-    mask_sets = [MASKS] + [("1" * n,) for n in sorted(short)]
-    # an item shorter than the masks is searched by its own length only
+    spans = F.array(*[F.lit(len(mask)) for mask in TRIPLES])
     of_items = stored(
-        seeded(sized, ["item_id", "item_size"], mask_sets)
-        .select("item_id", F.col("place").alias("item_place"), "seed", "item_size")
-        .distinct(),
+        seeded(sized, ["item_id", "item_size"])
+        .filter(F.col("place") + F.get(spans, F.col("mask")) <= F.col("item_size"))
+        .select("item_id", F.col("place").alias("item_place"), "seed", "item_size"),
         "item-seeds",
     )
     if of_items.count() <= BROADCAST_SEEDS:
         of_items = F.broadcast(of_items)
     hashed = documents.select("doc_id", "text_key", _hashed("tokens").alias("hashed"))
+    by_size = _least_by_size()
+    least = F.get(F.array(*[F.lit(n) for n in by_size]), F.least(F.col("item_size"), F.lit(len(by_size) - 1)))
     return (
-        seeded(hashed, ["doc_id", "text_key"], mask_sets)
+        seeded(hashed, ["doc_id", "text_key"])
         .join(of_items, "seed")
-        .select("doc_id", "text_key", "item_id", "item_size", (F.col("place") - F.col("item_place")).alias("shift"))
-        .distinct()
+        .groupBy("doc_id", "text_key", "item_id", "item_size", (F.col("place") - F.col("item_place")).alias("shift"))
+        .agg(F.count(F.lit(1)).alias("triples"))
+        .filter(F.col("triples") >= least)
+        .drop("triples")
     )
 
 

@@ -1,6 +1,7 @@
 """Planted passages, whole and with substitutions, against a plain comparison."""
 
 import random
+from itertools import combinations
 
 from claimward.llm import decontaminate
 from llm_tables import SF_DIR, documents  # noqa: F401
@@ -68,3 +69,50 @@ def test_main_path_has_no_python(spark, documents):
     df = decontaminate.contaminated(documents([(1, "a")]), benchmark(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_hits(documents, items):
+    """(document, item) pairs by comparing all alignments one by one."""
+    found = []
+    for d, text in documents:
+        doc = text.split()
+        for i, item in items:
+            words = item.split()
+            n = len(words)
+            for shift in range(1 - n, len(doc)):
+                agree = [0 <= shift + k < len(doc) and doc[shift + k] == words[k] for k in range(n)]
+                if 10 * sum(agree) >= 6 * n or any(sum(agree[s : s + 20]) >= 16 for s in range(n - 19)):
+                    found.append((d, i))
+                    break
+    return found
+
+
+def test_every_allowed_alignment_is_found(spark, documents):
+    rng = random.Random(5)
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in (8, 9, 11, 12, 16, 20, 23, 40, 59, 64, 130)]
+    docs = []
+    for n, item in items:
+        words = item.split()
+        for trial in range(30):
+            keep = set(rng.sample(range(n), -(-6 * n // 10) - trial % 2))
+            if trial == 2:
+                keep = {k for k in range(n) if k % 5 in (0, 1, 3)}
+            if trial == 3 and n > 20:
+                keep = {k for k in range(3, 23) if k % 5}
+            body = [w if k in keep else f"other{k}" for k, w in enumerate(words)]
+            ends = [[f"f{rng.randrange(50)}" for _ in range(rng.choice((0, 1, 9)))] for _ in range(2)]
+            docs.append((len(docs), " ".join(ends[0] + body + ends[1])))
+        docs.append((len(docs), " ".join(words[n - -(-6 * n // 10) :])))
+    hits = decontaminate.contaminated(documents(docs), benchmark(spark, items)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in hits) == sorted(brute_hits(docs, items))
+
+
+def test_least_triples_equals_enumeration():
+    for size in range(5, 13):
+        for matched in range(size + 1):
+            fewest = min(
+                sum(c - a <= 4 for a, _, c in combinations(places, 3))
+                for places in combinations(range(size), matched)
+            )
+            assert decontaminate.least_triples(size, matched) == fewest
+    assert min(decontaminate._least_by_size()) >= 1
