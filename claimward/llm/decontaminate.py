@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced-seed hashing, in Spark SQL functions only.
 
-Texts are cut into lower-case tokens of letters and digits. Fixed masks pick some token
+Texts are cut into lower-case tokens of letters and digits; in scripts written without
+spaces every letter is a token. Fixed masks pick some token
 positions of a window and ignore the others, so that a substituted token leaves seeds
 intact. Seeds of documents meet seeds of benchmark items in an equi-join; every hit names
 an alignment of an item with a document. The aligned tokens are then compared one by one,
@@ -10,7 +11,9 @@ tokens, or in ``run_share`` of any ``run`` tokens in a row.
 The seeds are complete: ``TRIPLES`` are all ways to pick three of at most five tokens in a
 row, and every alignment that passes the thresholds has such triples. ``least_triples`` counts how
 many it has at least; alignments with fewer are not compared. Items under ``SHORTEST``
-tokens cannot be told from ordinary phrases and are left out. Null and empty
+tokens must agree in all tokens, in a row anywhere in a text; those under ``PHRASE`` tokens are
+ordinary phrases inside a text and must be the whole text. Items under ``LEAST`` tokens are
+left out. Null and empty
 texts match nothing. Items with equal tokens count once. A document is known by its id and
 a hash of its text, so null and repeated ids are judged row by row. Extra columns are left
 out. The seeds of the benchmark are broadcast only if their counted number is at most
@@ -26,18 +29,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from claimward.llm.common import stored, table
 
 TRIPLES = ("111", "1101", "1011", "11001", "10101", "10011")
+WHOLE = -1  # stands for a mask in the seed of a whole short text
 #: The longer masks of the SQL twin, which loses alignments with many substitutions.
 MASKS = ("110100110111", "111011001011", "101101110011")
 SPAN = len(MASKS[0])
+#: Fewest tokens for which a share is enough.
 SHORTEST = 8
+#: Fewest tokens that count inside a longer text, and fewest that count at all.
+PHRASE = 5
+LEAST = 3
 SHARE = 0.6
 RUN = 20
 RUN_SHARE = 0.8
 BROADCAST_SEEDS = 500_000
 
 
+#: Thai to Tibetan, Myanmar, Khmer, Tai, Balinese, Javanese, kana and Han
+UNSPACED = (
+    r"\u0E00-\u109F\u1780-\u17FF\u1950-\u19FF\u1A20-\u1AAF\u1B00-\u1B7F\u3005-\u3007\u3021-\u3029\u3031-\u312F"
+    r"\u31A0-\u31BF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uA980-\uA9FF\uAA60-\uAADF\uF900-\uFAFF\uFF66-\uFF9F"
+    r"\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}"
+)
+TOKEN = rf"[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+|[\p{{L}}\p{{N}}]"
+
+
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
 def least_triples(size: int, matched: int) -> int:
@@ -58,7 +75,7 @@ def _least_by_size() -> list[int]:
     """Triples that a contaminating alignment has at least, by item size; the last entry is for
     longer items: cut into parts of 30 to 60 tokens, one part agrees as much as the whole."""
     run = least_triples(RUN, math.ceil(RUN_SHARE * RUN))
-    least = [1] * SHORTEST
+    least = [1] * PHRASE + [least_triples(size, size) for size in range(PHRASE, SHORTEST)]
     for size in range(SHORTEST, 61):
         of_share = least_triples(size, math.ceil(round(SHARE * size, 6)))
         least.append(min(of_share, run) if size >= RUN else of_share)
@@ -67,7 +84,8 @@ def _least_by_size() -> list[int]:
 
 def seeds(hashed: Column) -> Column:
     """Array, by position, of arrays of one seed per mask. Masks that reach past the end hash
-    fewer tokens and meet no seed of an item."""
+    fewer tokens and meet no seed of an item. A text under ``PHRASE`` tokens has one more
+    seed, of all its tokens."""
 
     def at(i: Column) -> Column:
         return F.array(
@@ -77,9 +95,13 @@ def seeds(hashed: Column) -> Column:
             ]
         )
 
-    return F.when(
-        F.size(hashed) > 0, F.transform(F.sequence(F.lit(0), F.size(hashed) - 1), at)
-    ).otherwise(F.array().cast("array<array<bigint>>"))
+    places = F.transform(F.sequence(F.lit(0), F.size(hashed) - 1), at)
+    whole = F.array(F.array(F.xxhash64(F.lit(WHOLE), hashed)))
+    return (
+        F.when(F.size(hashed) >= PHRASE, places)
+        .when(F.size(hashed) > 0, F.concat(places, whole))
+        .otherwise(F.array().cast("array<array<bigint>>"))
+    )
 
 
 def seeded(rows: DataFrame, keep: list[str]) -> DataFrame:
@@ -96,7 +118,7 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """item_id and item_tokens of all items that are long enough, equal ones once."""
     cut = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), tokens(F.col("text")).alias("item_tokens"))
     return (
-        cut.filter(F.size("item_tokens") >= SHORTEST)
+        cut.filter(F.size("item_tokens") >= LEAST)
         .groupBy("item_tokens")
         .agg(F.min("item_id").alias("item_id"))
     )
@@ -115,7 +137,11 @@ def alignments(documents: DataFrame, items: DataFrame) -> DataFrame:
     spans = F.array(*[F.lit(len(mask)) for mask in TRIPLES])
     of_items = stored(
         seeded(sized, ["item_id", "item_size"])
-        .filter(F.col("place") + F.get(spans, F.col("mask")) <= F.col("item_size"))
+        .filter(
+            F.when(F.col("item_size") < PHRASE, F.col("place") == F.col("item_size")).otherwise(
+                F.col("place") + F.get(spans, F.col("mask")) <= F.col("item_size")
+            )
+        )
         .select("item_id", F.col("place").alias("item_place"), "seed", "item_size"),
         "item-seeds",
     )
@@ -172,8 +198,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.aggregate("agree", F.lit(0), lambda a, x: a + x).alias("matched"),
         runs.alias("best_run"),
     )
+    share = F.when(F.col("item_size") < SHORTEST, 1.0).otherwise(SHARE)
     return (
-        checked.filter((F.col("matched") >= SHARE * F.col("item_size")) | (F.col("best_run") >= RUN_SHARE * RUN))
+        checked.filter((F.col("matched") >= share * F.col("item_size")) | (F.col("best_run") >= RUN_SHARE * RUN))
         .groupBy("doc_id", "text_key", "item_id")
         .agg(F.max(F.struct("matched", (-F.col("shift")).alias("back"), "item_size")).alias("best"))
         .select(
