@@ -5,8 +5,8 @@ blocks whose class or id names an advert, notice, sidebar or comment list) are c
 remaining node gets its composite text density: characters per tag, weighted by how much of
 it is link text. The density sum of a node adds the densities of its children, and the node
 with the largest sum holds the article. The smallest density on its path to the body is the
-threshold: further nodes at or above it are content too. An enclosing ``article`` or
-``main`` element takes the place of the chosen node.
+threshold: further nodes at or above it are content too. The nearest enclosing ``article``
+or ``main`` element takes the place of a chosen node; nodes outside it stay chosen.
 
 Null or empty html and pages without text give an empty text. Unclosed, stray and cut-off
 tags are tolerated. Repeated rows give repeated results; extra columns are left out.
@@ -224,11 +224,8 @@ class Page:
         path = [best]
         while path[-1]:
             path.append(self.parent[path[-1]])
-        outer = [n for n in path if self.tag[n] in ("article", "main")]
-        if outer:
-            return [outer[0]]
-        if sums[best] <= 0:
-            return [0]  # a few characters at most
+        if sums[best] <= 0:  # a few characters at most
+            return [next((n for n in path if self.tag[n] in ("article", "main")), 0)]
         threshold = min(density[n] for n in path)
         # largest sum at or below each node, found bottom-up
         top = list(range(len(sums)))
@@ -237,6 +234,10 @@ class Page:
             if (sums[top[node]], -top[node]) > (sums[top[up]], -top[up]):
                 top[up] = top[node]
         chosen = {best} | {top[n] for n in range(len(sums)) if density[n] >= threshold and density[n] > 0}
+        whole = [-1] * len(sums)  # nearest article or main element
+        for node in range(1, len(sums)):
+            whole[node] = node if self.tag[node] in ("article", "main") else whole[self.parent[node]]
+        chosen = {n if whole[n] < 0 else whole[n] for n in chosen}
         roots = []
         for node in sorted(chosen):
             up = node

@@ -136,6 +136,22 @@ def test_density_without_article_element():
     assert text.count("paragraph") == 6 and "link" not in text
 
 
+def passage(name, count):
+    return "".join(f"<p>The {name} paragraph {i} has enough plain words to count as text.</p>" for i in range(count))
+
+
+def test_content_outside_the_best_article_is_kept():
+    links = "".join(f'<a href="/{i}">link {i}</a> ' for i in range(30))
+    for page in (
+        f"<main><article>{passage('one', 4)}</article><article>{passage('two', 7)}</article></main>",
+        f"<article>{passage('one', 4)}</article><div>{passage('two', 7)}</div>",
+        f"<div>{passage('one', 4)}</div><main>{passage('two', 7)}</main>",
+        f"<section>{passage('one', 4)}</section><section>{passage('two', 7)}</section>",
+    ):
+        text = pagetext.main_text(f"<body><div>{links}</div>{page}<div>{links}</div></body>")
+        assert (text.count("The one"), text.count("The two"), text.count("link")) == (4, 7, 0)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(
     ["<p>", "</p>", "<div class='ad'>", "<div>", "</div>", "<nav>", "</nav>", "<b>", "text ", "<!--", "-->", "<script>",
