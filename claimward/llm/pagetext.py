@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree. Parts that are never article text (scripts, forms, navigation,
-blocks whose class or id names an advert, notice, sidebar or comment list) are cut. Every
+A page becomes a tree. Parts that are never article text (scripts, controls, hidden parts) are
+cut. Parts whose element, role, class or id names navigation, a form, an advert, notice, sidebar
+or comment list are cut unless they hold the page's content: all its article and main elements,
+all its top headings, or most of its text outside links. Every
 remaining node gets its composite text density: characters per tag, weighted by how much of
 it is link text. The density sum of a node adds the densities of its children, and the node
 with the largest sum holds the article. The smallest density on its path to the body is the
@@ -51,11 +53,13 @@ ENDS = {
 SCOPE = frozenset("article aside body dl footer header html main nav ol section table ul".split())
 
 CUT_TAGS = frozenset(
-    "script style noscript template head title nav aside footer form button select option textarea input "
-    "label iframe object embed svg canvas audio video dialog menu map noframes noembed xmp".split()
+    "script style noscript template head title button select option textarea input "
+    "label iframe object embed svg canvas audio video map noframes noembed xmp".split()
 )
+#: Elements that are cut unless they hold the content.
+DOUBTED_TAGS = frozenset("nav aside footer form dialog menu".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar alertdialog".split())
-#: Words in a class or id that mark a part as no article text.
+#: Last words of a class or id that mark a part as no article text.
 CUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
     "sidebar rail menu nav navbar navigation breadcrumb breadcrumbs masthead topbar toolbar footer cookie "
@@ -65,29 +69,51 @@ CUT_WORDS = frozenset(
 )
 #: Class words that count outside an article only, where they are the site's.
 CUT_OUTSIDE = frozenset("header".split())
-KEEP_TAGS = frozenset("html body article main".split())
+#: Parts of a name that say nothing of what is inside, and those that turn its meaning.
+FILLERS = frozenset(
+    "container wrapper wrap inner outer box block area section list items item links link buttons button bar left right "
+    "top bottom primary secondary main posts widgets unit slot x".split()
+)
+MODIFIERS = frozenset("with without no not non has have is hide hides show shows".split())
+KEEP_TAGS = frozenset("html body main".split())
+CONTENT_TAGS = frozenset(("article", "main"))
 _WORDS = re.compile(r"[a-z]+")
+#: What articles have outside a part in them, or outside a form, as a share of the part, for the
+#: part to be no content; for other parts any text in an article elsewhere is enough.
+OUTSIDE_SHARE = 0.25
+
+
+def _named(value: str, in_article: bool) -> bool:
+    """Whether a class or id names a part that is no article text by its last word."""
+    for name in value.split():
+        words = _WORDS.findall(name)
+        if MODIFIERS.intersection(words):
+            continue
+        while len(words) > 1 and words[-1] in FILLERS:
+            words.pop()
+        if words and (words[-1] in CUT_WORDS or (not in_article and words[-1] in CUT_OUTSIDE)):
+            return True
+    return False
 
 
-def _cut(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether a part is cut with all it holds."""
-    if tag in CUT_TAGS or (tag == "header" and not in_article):
-        return True
-    if tag in KEEP_TAGS and tag != "article" or not attributes or not attributes.strip():
-        return False
+def _cut(tag: str, attributes: str, in_article: bool) -> str:
+    """"always" if a part is cut with all it holds, "doubted" if only where it holds no content."""
+    if tag in CUT_TAGS:
+        return "always"
+    doubted = tag in DOUBTED_TAGS or (tag == "header" and not in_article)
+    if tag in KEEP_TAGS or not attributes or not attributes.strip():
+        return "doubted" if doubted else ""
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "always"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return "always"
         if name == "role" and value in CUT_ROLES:
-            return True
-        if name in ("class", "id"):
-            words = set(_WORDS.findall(value))
-            if words & CUT_WORDS or (not in_article and words & CUT_OUTSIDE):
-                return True
-    return False
+            doubted = True
+        if name in ("class", "id") and not doubted:
+            doubted = _named(value, in_article)
+    return "doubted" if doubted else ""
 
 
 class Page:
@@ -95,7 +121,10 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.children, self.article = ["html"], [-1], [[]], [False]
+        self.doubted: set[int] = set()
         self._parse(source)
+        if self.doubted:
+            self._cut_doubted()
 
     def _open(self, tag: str, parent: int) -> int:
         node = len(self.tag)
@@ -140,13 +169,16 @@ class Page:
                     self._open(tag, stack[-1])
             else:
                 self._imply(stack, tag)
-                if _cut(tag, attributes, self.article[stack[-1]]):
+                verdict = _cut(tag, attributes, self.article[stack[-1]])
+                if verdict == "always":
                     if not attributes.endswith("/"):
                         cut.append(tag)
                     self._open("cut", stack[-1])
                 elif tag not in ("html", "body") or len(stack) == 1:
                     if tag != "html":
                         stack.append(self._open(tag, stack[-1]))
+                        if verdict:
+                            self.doubted.add(stack[-1])
 
     def _inside_cut(self, cut: list[str], closing: str, tag: str, attributes: str) -> None:
         """Follow the elements inside a part that is cut, until it ends."""
@@ -164,6 +196,38 @@ class Page:
                     return
             cut.append(tag)
 
+    def _cut_doubted(self) -> None:
+        """Empty the doubted parts that do not hold the content, outermost first."""
+        count = len(self.tag)
+        plain, in_content, contents, heads = ([0] * count for _ in range(4))
+        linked = [False] * count
+        for node in range(1, count):
+            linked[node] = linked[self.parent[node]] or self.tag[node] == "a"
+        for node in range(count - 1, -1, -1):
+            if not linked[node]:
+                own = sum(len("".join(c.split())) for c in self.children[node] if isinstance(c, str))
+                plain[node] += own
+                in_content[node] += own * self.article[node]
+            contents[node] += self.tag[node] in CONTENT_TAGS
+            heads[node] += self.tag[node] == "h1"
+            if node:
+                for of in (plain, in_content, contents, heads):
+                    of[self.parent[node]] += of[node]
+        gone = [False] * count
+        for node in range(1, count):
+            gone[node] = gone[self.parent[node]]
+            if node in self.doubted and not gone[node]:
+                outside = in_content[0] - in_content[node]
+                within = self.article[self.parent[node]] or self.tag[node] == "form"
+                little = OUTSIDE_SHARE * plain[node] if within else 1
+                gone[node] = not (
+                    contents[node] == contents[0] > 0
+                    or heads[node] == heads[0] > 0
+                    or (2 * plain[node] > plain[0] and outside < little)
+                )
+            if gone[node]:
+                self.tag[node], self.children[node] = "cut", []
+
     def _close(self, stack: list[int], tag: str) -> None:
         for k in range(len(stack) - 1, 0, -1):
             name = self.tag[stack[k]]

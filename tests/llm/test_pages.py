@@ -152,6 +152,34 @@ def test_content_outside_the_best_article_is_kept():
         assert (text.count("The one"), text.count("The two"), text.count("link")) == (4, 7, 0)
 
 
+def test_names_do_not_cut_the_content():
+    links = "".join(f'<a href="/{i}">link {i}</a> ' for i in range(30))
+    for start, end in (
+        ('<div class="content with-sidebar">', "</div>"),
+        ('<div id="main" class="no-comments">', "</div>"),
+        ('<article class="post comments-open">', "</article>"),
+        ('<article class="post related">', "</article>"),
+        ('<div class="page header-fixed">', "</div>"),
+        ('<div class="search">', "</div>"),
+        ("<form action=x>", "</form>"),
+        ('<form><div class="sidebar-wrapper"><h1>The head</h1>', "</div></form>"),
+        ("<main><aside></aside><form>", "</form></main>"),
+    ):
+        page = (
+            f"<body><nav>{links}</nav>{start}{passage('one', 6)}<div class='sidebar-left'>{passage('side', 1)}</div>"
+            f"<ul class='ad-container'><li>Buy</ul>{end}<footer>Foot</footer></body>"
+        )
+        text = pagetext.main_text(page)
+        assert text.count("The one") == 6, start
+        assert not any(w in text for w in ("link", "side", "Buy", "Foot")), start
+
+
+def test_a_long_comment_list_is_cut():
+    page = f"<article><h1>Head</h1>{passage('one', 4)}<div id='comments'>{passage('said', 9)}</div></article>"
+    text = pagetext.main_text(page)
+    assert (text.count("The one"), text.count("said")) == (4, 0)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(
     ["<p>", "</p>", "<div class='ad'>", "<div>", "</div>", "<nav>", "</nav>", "<b>", "text ", "<!--", "-->", "<script>",
