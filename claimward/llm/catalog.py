@@ -13,6 +13,7 @@ from claimward.llm import (
     rules,
     tokens,
     urlfilter,
+    variants,
     warc,
     whitening,
 )
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_crf_quality": quality.op9,
     "op10_water_filling": mixing.op10,
     "op11_jacobi_whitening": whitening.op11,
+    "op12_trie_frontier": variants.op12,
     "op13_kd_tree_top_k": kdsearch.op13,
 }
 ORACLES = {
