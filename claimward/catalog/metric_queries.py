@@ -58,6 +58,16 @@ b2 AS (SELECT *, ip_annual_reimbursement_amt + op_annual_reimbursement_amt AS an
   beneficiary_key IN (SELECT beneficiary_key FROM scope) AS has_claims FROM beneficiary),
 pool AS (SELECT * FROM b2 WHERE has_claims AND chronic_condition_count >= 6 AND annual_cost >= 10000)
 """
+CAPACITIES = """, placed AS (SELECT annual_cost, row_number() OVER (ORDER BY annual_cost DESC) AS place FROM pool),
+n AS (SELECT CAST(unnest(range({first}, {last} + 1, {step})) AS BIGINT) AS care_manager_capacity),
+size AS (SELECT count(*) AS pool_size FROM pool)
+SELECT care_manager_capacity, any_value(pool_size) AS pool_size,
+  least(care_manager_capacity, any_value(pool_size)) AS recommended_enrollment,
+  CAST(coalesce(sum(annual_cost), 0) AS BIGINT) AS enrolled_cost,
+  CAST(coalesce(sum(annual_cost), 0) AS BIGINT) * CAST(0.12 AS DOUBLE) AS projected_savings,
+  min(annual_cost) AS lowest_enrolled_cost
+FROM n CROSS JOIN size LEFT JOIN placed ON place <= care_manager_capacity GROUP BY care_manager_capacity
+"""
 _list_counts = " UNION ALL ".join(
     f"SELECT '{name.replace(chr(39), chr(39) * 2)}' AS disease_name, "
     f"count(*) FILTER (WHERE {flag} = 1 AND has_claims) AS beneficiary_count FROM b2"
@@ -305,6 +315,14 @@ QUERIES = {
         CARE
         + "SELECT count(*) AS pool_size, least(5000, count(*)) AS recommended_enrollment FROM pool",
     ),
+    "wif_care_capacity_series": (
+        decisions.care_capacity_series,
+        CARE + CAPACITIES.format(first=500, last=20000, step=500),
+    ),
+    "wif_care_capacity_fine_series": (
+        lambda m: decisions.care_capacity_series(m, series=(1, 400, 3)),
+        CARE + CAPACITIES.format(first=1, last=400, step=3),
+    ),
     # --- decision lists ----------------------------------------------------------
     "dec_top_n_providers": (
         lambda m: decisions.top_n_providers(m, 10),
@@ -345,6 +363,15 @@ QUERIES = {
         + """SELECT beneficiary_id, chronic_condition_count, annual_cost FROM pool
         ORDER BY annual_cost DESC, beneficiary_id LIMIT 5000""",
     ),
+    "dec_care_list_series": (
+        decisions.care_list_series,
+        CARE
+        + """, placed AS (SELECT beneficiary_id, chronic_condition_count, annual_cost,
+          row_number() OVER o AS enrollment_place, CAST(sum(annual_cost) OVER o AS BIGINT) AS running_cost
+          FROM pool WINDOW o AS (ORDER BY annual_cost DESC, beneficiary_id))
+        SELECT *, (SELECT min(r.range) FROM range(500, 20001, 500) r WHERE r.range >= enrollment_place)
+          AS enrolled_from_capacity FROM placed""",
+    ),
     "dec_care_savings": (
         decisions.care_savings,
         CARE
@@ -388,6 +415,19 @@ QUERIES = {
         )
         + ") SELECT * FROM l JOIN o USING (disease_name)",
     ),
+    "src_metric_switch": (
+        lambda m: metrics.switch_values(m, ["provider_id"]),
+        SCORES
+        + f""", v AS (SELECT provider_id, CAST(count(*) AS DOUBLE) AS a, CAST({total(AMT)} AS DOUBLE) AS b,
+          {zero(f'sum({AMT})', 'count(*)')} AS d, {zero(FRAUD_PROVIDERS, 'count(DISTINCT provider_key)')} AS e,
+          CAST({rows_if('is_deceased')} AS DOUBLE) AS f FROM c GROUP BY provider_id)
+        SELECT provider_id, sort_order, metric_name, CAST(CASE sort_order WHEN 1 THEN a WHEN 2 THEN b WHEN 3 THEN d
+          WHEN 4 THEN e WHEN 5 THEN risk_score ELSE f END AS DOUBLE) AS selected_metric
+        FROM v JOIN (SELECT provider_id, risk_score FROM q) USING (provider_id)
+        CROSS JOIN (VALUES """
+        + ", ".join(f"({i}, '{label}')" for i, label in enumerate(metrics.SWITCH, 1))
+        + ") AS names(sort_order, metric_name)",
+    ),
     # --- report data sets --------------------------------------------------------
     "vis_drill": (
         reports.drill,

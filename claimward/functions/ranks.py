@@ -8,6 +8,7 @@ place. A key shared by a third of all rows is one row after the counting step.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,11 +24,16 @@ def _ordering(keys: list[Key]) -> list[Column]:
     return [F.desc_nulls_last(c) if way == "desc" else F.asc_nulls_first(c) for c, way in keys]
 
 
-def key_positions(df: DataFrame, keys: list[Key]) -> DataFrame:
-    """One row per distinct key: ``key_rows``, ``rows_before`` and ``keys_before``."""
+def key_positions(df: DataFrame, keys: list[Key], totals: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct key: ``key_rows``, ``rows_before`` and ``keys_before``.
+
+    For every column named in ``totals`` also its sum over the key's rows (``<name>_here``)
+    and over all rows of earlier keys (``<name>_before``); a missing value adds nothing.
+    """
     names = [name for name, _ in keys]
     order = _ordering(keys)
-    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("key_rows"))
+    here = [F.coalesce(F.sum(t), F.lit(0)).alias(f"{t}_here") for t in totals]
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("key_rows"), *here)
     sliced = materialize(
         counted.repartitionByRange(*order).withColumn("slice_no", F.spark_partition_id())
     )
@@ -35,11 +41,19 @@ def key_positions(df: DataFrame, keys: list[Key]) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     offsets = (
         sliced.groupBy("slice_no")
-        .agg(F.sum("key_rows").alias("slice_rows"), F.count(F.lit(1)).alias("slice_keys"))
+        .agg(
+            F.sum("key_rows").alias("slice_rows"),
+            F.count(F.lit(1)).alias("slice_keys"),
+            *[F.sum(f"{t}_here").alias(f"{t}_slice") for t in totals],
+        )
         .select(
             "slice_no",
             F.coalesce(F.sum("slice_rows").over(earlier_slices), zero).alias("rows_offset"),
             F.coalesce(F.sum("slice_keys").over(earlier_slices), zero).alias("keys_offset"),
+            *[
+                F.coalesce(F.sum(f"{t}_slice").over(earlier_slices), F.lit(0)).alias(f"{t}_offset")
+                for t in totals
+            ],
         )
     )
     in_slice = Window.partitionBy("slice_no").orderBy(*order)
@@ -55,10 +69,69 @@ def key_positions(df: DataFrame, keys: list[Key]) -> DataFrame:
             (F.col("keys_offset") + F.row_number().over(in_slice) - 1)
             .cast("bigint")
             .alias("keys_before"),
+            *[f"{t}_here" for t in totals],
+            *[
+                (
+                    F.col(f"{t}_offset")
+                    + F.coalesce(F.sum(f"{t}_here").over(earlier_keys), F.lit(0))
+                ).alias(f"{t}_before")
+                for t in totals
+            ],
         )
     )
 
 
+def running_totals(df: DataFrame, keys: list[Key], totals: Sequence[str]) -> DataFrame:
+    """``df`` with ``rows_up_to`` and ``<name>_up_to`` of every row.
+
+    These are the rows and sums of all rows up to and with the row's own key, so rows with
+    equal keys share them; name enough keys to tell rows apart.
+    """
+    positions = key_positions(df, keys, totals).select(
+        *[F.col(name).alias(f"key_{i}") for i, (name, _) in enumerate(keys)],
+        (F.col("rows_before") + F.col("key_rows")).alias("rows_up_to"),
+        *[(F.col(f"{t}_before") + F.col(f"{t}_here")).alias(f"{t}_up_to") for t in totals],
+    )
+    return _joined_by_key(df, positions, keys)
+
+
+def stepped_totals(
+    df: DataFrame, key: Key, value: str, first: int, last: int, step: int
+) -> DataFrame:
+    """What the first ``n`` rows add up to, for every n = first, first + step, ... up to last.
+
+    One row per n that the table reaches: ``n``, ``value_total`` and ``at_key``, the key of
+    the nth row. ``value`` is a whole number, the same for all rows of a key (or the key).
+    Every key finds the steps that fall on its own rows, so nothing is joined by range, and
+    a key shared by many rows is one row.
+    """
+    positions = key_positions(df, [key], [value])
+    start, end = F.lit(first).cast("bigint"), F.lit(last).cast("bigint")
+    up_to = F.least(end, F.col("rows_before") + F.col("key_rows"))
+    skipped = F.greatest(F.lit(0), F.ceil((F.col("rows_before") + 1 - start) / step)).cast("bigint")
+    at = start + skipped * step
+    each = F.expr(f"{value}_here div key_rows")
+    return (
+        positions.withColumn("from_n", at)
+        .filter(F.col("from_n") <= up_to)
+        .withColumn("n", F.explode(F.sequence(F.col("from_n"), up_to, F.lit(step).cast("bigint"))))
+        .select(
+            "n",
+            (F.col(f"{value}_before") + (F.col("n") - F.col("rows_before")) * each).alias("value_total"),
+            F.col(key[0]).alias("at_key"),
+        )
+    )
+
+
+def _joined_by_key(df: DataFrame, by_key: DataFrame, keys: list[Key]) -> DataFrame:
+    """Join rows with the columns of their key; ``by_key`` has the keys as key_0, key_1, ..."""
+    same_key = reduce(
+        lambda a, b: a & b,
+        [df[name].eqNullSafe(by_key[f"key_{i}"]) for i, (name, _) in enumerate(keys)],
+    )
+    return df.join(by_key, same_key).drop(*[f"key_{i}" for i in range(len(keys))])
+
+
 def with_rank(
     df: DataFrame,
     keys: list[Key],
@@ -83,11 +156,7 @@ def with_rank(
         *[F.col(name).alias(f"key_{i}") for i, (name, _) in enumerate(keys)],
         *[expr.alias(name) for name, expr in added.items()],
     )
-    same_key = reduce(
-        lambda a, b: a & b,
-        [df[name].eqNullSafe(renamed[f"key_{i}"]) for i, (name, _) in enumerate(keys)],
-    )
-    return df.join(renamed, same_key).drop(*[f"key_{i}" for i in range(len(keys))])
+    return _joined_by_key(df, renamed, keys)
 
 
 def first_tile(df: DataFrame, value: str, tiles: int) -> DataFrame:

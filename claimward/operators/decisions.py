@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 from claimward.functions.columns import choose
-from claimward.functions.ranks import with_rank
+from claimward.functions.ranks import running_totals, stepped_totals, with_rank
 from claimward.model import PROVIDER, ClaimsModel, with_month
 from claimward.operators.gold import unfold_conditions
 from claimward.operators.metrics import Filters, filtered, metrics, provider_scores
 from claimward.plans.financial import cap_grid
-from claimward.sources.lookups import conditions, parameter_series
+from claimward.session import materialize
+from claimward.sources.lookups import SERIES, conditions, parameter_series
 
 REVIEWED = ["Payment Hold", "Pre-Payment Review"]
 AVOIDABLE_SHARE = 0.12  # fixed value: part of the annual cost that care management saves
@@ -178,6 +179,66 @@ def care_capacity(
     )
 
 
+def care_capacity_series(
+    model: ClaimsModel,
+    filters: Filters | None = None,
+    series: tuple[int, int, int] = SERIES["care_manager_capacity"],
+) -> DataFrame:
+    """Enrolment, cost and saving at every staffing of the series, costliest patients first.
+
+    One pass over the pool: its costs are added up in falling order, and each capacity reads
+    its total where it falls. A capacity beyond the pool enrols all of it.
+    """
+    first, last, step = series
+    pool = materialize(high_priority(model, filters).select("annual_cost"))
+    reached = stepped_totals(
+        pool.withColumn("cost", F.col("annual_cost")), ("annual_cost", "desc"), "cost", first, last, step
+    )
+    whole = pool.agg(
+        F.count(F.lit(1)).alias("pool_size"),
+        F.coalesce(F.sum("annual_cost"), F.lit(0).cast("bigint")).alias("pool_cost"),
+        F.min("annual_cost").alias("least_cost"),
+    )
+    size, cost, least = (whole.select(c).scalar() for c in whole.columns)
+    capacities = model.fact.sparkSession.range(first, last + 1, step).withColumnRenamed("id", "n")
+    total = F.coalesce("value_total", cost)
+    return capacities.join(reached, "n", "left").select(
+        F.col("n").alias("care_manager_capacity"),
+        size.alias("pool_size"),
+        F.least("n", size).alias("recommended_enrollment"),
+        total.alias("enrolled_cost"),
+        (total * AVOIDABLE_SHARE).alias("projected_savings"),
+        F.when(F.least("n", size) > 0, F.coalesce("at_key", least)).alias("lowest_enrolled_cost"),
+    )
+
+
+def care_list_series(
+    model: ClaimsModel,
+    filters: Filters | None = None,
+    series: tuple[int, int, int] = SERIES["care_manager_capacity"],
+) -> DataFrame:
+    """Every patient of the pool with place, running cost and the least capacity that enrols them.
+
+    The list for one capacity is a filter on ``enrolled_from_capacity``; beyond the series
+    it is NULL.
+    """
+    first, last, step = series
+    pool = materialize(high_priority(model, filters))
+    order = [("annual_cost", "desc"), ("beneficiary_id", "asc")]
+    placed = running_totals(pool, order, ["annual_cost"])
+    place = F.col("rows_up_to")
+    steps = F.greatest(F.lit(0), F.ceil((place - first) / step))
+    capacity = (F.lit(first) + steps * step).cast("bigint")
+    return placed.select(
+        "beneficiary_id",
+        "chronic_condition_count",
+        "annual_cost",
+        place.alias("enrollment_place"),
+        F.col("annual_cost_up_to").alias("running_cost"),
+        F.when(capacity <= last, capacity).alias("enrolled_from_capacity"),
+    )
+
+
 def care_list(
     model: ClaimsModel, capacity: int = 5000, filters: Filters | None = None
 ) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -179,6 +181,35 @@ def by_name(
     )
 
 
+def switch_values(
+    model: ClaimsModel, by: list[str] | None = None, filters: Filters | None = None
+) -> DataFrame:
+    """All metrics of the switch side by side: one row per group and metric name.
+
+    The plain metrics share one pass over the claims; each finished group row then becomes
+    a row per name.
+    """
+    by = by or []
+    plain = [name for name in SWITCH.values() if name != "provider_risk_score"]
+    values = metrics(model, plain, by, filters)
+    scores = group_scores(model, by, filters).select(*by, F.col("risk_score").alias("provider_risk_score"))
+    if by:
+        values, scores = values.alias("v"), scores.alias("s")
+        same = [F.col(f"v.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by]
+        both = values.join(scores, reduce(lambda a, b: a & b, same)).select("v.*", "s.provider_risk_score")
+    else:
+        both = values.withColumn("provider_risk_score", scores.scalar())
+    rows = [
+        F.struct(
+            F.lit(place).alias("sort_order"),
+            F.lit(label).alias("metric_name"),
+            F.col(name).cast("double").alias("selected_metric"),
+        )
+        for place, (label, name) in enumerate(SWITCH.items(), 1)
+    ]
+    return both.select(*by, F.inline(F.array(*rows)))
+
+
 def _factor_columns(limits: RiskThresholds) -> dict[str, Column]:
     """Factors over report ratios: distance from the average, zero where undefined."""
     distance = [(bound - 1, points) for bound, points in zip(limits.reimbursement, (3, 2, 1))]

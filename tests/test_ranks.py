@@ -2,7 +2,13 @@ import random
 
 import pytest
 
-from claimward.functions.ranks import first_tile, with_rank
+from claimward.functions.ranks import (
+    first_tile,
+    key_positions,
+    running_totals,
+    stepped_totals,
+    with_rank,
+)
 
 
 def brute_force(values):
@@ -56,3 +62,35 @@ def test_first_tile_is_the_first_ntile(spark, n):
     assert row.tile_rows == size
     assert row.tile_sum == sum(values[:size])
     assert row.tile_mean == pytest.approx(sum(values[:size]) / size)
+
+
+@pytest.mark.parametrize("merge", ["true", "false"])
+def test_running_totals_match_brute_force(spark, merge):
+    rng = random.Random(7)
+    rows = [(i, rng.choice([None, 5, 5, rng.randrange(40)]), rng.choice([None, rng.randrange(9)])) for i in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
+    try:
+        df = spark.createDataFrame(rows, "id int, v int, w bigint").repartition(4)
+        found = {r.id: r for r in running_totals(df, [("v", "desc"), ("id", "asc")], ["w"]).collect()}
+        by_v = key_positions(df, [("v", "desc")], ["w"]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    so_far = 0
+    ordered = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    for place, (key, _, w) in enumerate(ordered, 1):
+        so_far += w or 0
+        assert (found[key].rows_up_to, found[key].w_up_to) == (place, so_far)
+    for r in by_v:
+        earlier = [w or 0 for _, v, w in rows if r.v is None and v is not None or r.v is not None and v is not None and v > r.v]
+        assert r.w_before == sum(earlier) and r.rows_before == len(earlier)
+
+
+@pytest.mark.parametrize("series", [(1, 30, 1), (5, 60, 5), (7, 7, 3), (50, 500, 100), (2, 301, 299)])
+def test_stepped_totals_match_brute_force(spark, series):
+    rng = random.Random(11)
+    values = [8] * 100 + [rng.randrange(50) for _ in range(200)]
+    df = spark.createDataFrame([(v, v) for v in values], "k bigint, v bigint").repartition(4)
+    found = {r.n: (r.value_total, r.at_key) for r in stepped_totals(df, ("k", "desc"), "v", *series).collect()}
+    ordered = sorted(values, reverse=True)
+    first, last, step = series
+    assert found == {n: (sum(ordered[:n]), ordered[n - 1]) for n in range(first, last + 1, step) if n <= 300}
