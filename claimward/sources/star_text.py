@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimward.schemas import CHRONIC_COLUMNS, RAW_COLUMNS
-from claimward.sources.star import table
+from claimward.sources.star import order_lines, table
 
 BASE_RULES = {
     "started": "CAST(o_orderdate AS DATE)",
@@ -95,10 +95,8 @@ def _apply(df: DataFrame, rules: dict[str, str], names: list[str]) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw datasets, all columns text, stray quotes still in place."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = table(spark, sf_dir, "lineitem")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    base = joined.selectExpr("*", *[f"{rule} AS {name}" for name, rule in BASE_RULES.items()])
+    lines = order_lines(spark, sf_dir)
+    base = lines.selectExpr("*", *[f"{rule} AS {name}" for name, rule in BASE_RULES.items()])
     return {
         "provider": _apply(
             table(spark, sf_dir, "supplier"), PROVIDER_RULES, RAW_COLUMNS["provider"]
