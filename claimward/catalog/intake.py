@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimward.catalog import business
+from claimward.catalog.metric_queries import RANGE_COLUMNS
 from claimward.catalog.business import doubles
 from claimward.catalog.star_sql import mean
 from claimward.catalog.text_sql import GOLD, RAW, STAGING, day, gap, num, slots
 from claimward.config import CONDITION_FLAGS, PUBLIC_ROW_COUNTS, Expectations
-from claimward.operators import checks, gold, profile, silver
+from claimward.operators import checks, distinct, gold, profile, silver
 from claimward.operators.tally import union_all
 from claimward.plans.refresh import gold_from_silver, published_model, refresh
 from claimward.schemas import (
@@ -164,9 +165,9 @@ def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every published table with its row count after a full refresh."""
+    """Every published table of the three layers with its row count after a full refresh."""
     published = tables.current(spark, refreshed_root(spark, sf_dir))
-    return published.filter("layer <> 'checks'").select(
+    return published.filter("layer in ('bronze', 'silver', 'gold')").select(
         "layer", "table_name", "batch_id", "table_rows"
     )
 
@@ -1030,6 +1031,14 @@ QUERIES |= {
         over_gold(checks.gold_unique),
         RAW + STAGING + GOLD + as_check_sql(GOLD_UNIQUE_SQL),
     ),
+    "pub_distinct_range": (
+        over_published(lambda m: distinct.range_metrics(m, ["state_name"], months=(199502, 199704))),
+        RAW
+        + STAGING
+        + PUBLISHED
+        + f"""SELECT coalesce(state_name, 'Unmapped') AS state_name, {RANGE_COLUMNS} FROM c
+        WHERE year_num * 100 + month_num BETWEEN 199502 AND 199704 GROUP BY 1""",
+    ),
     "val_findings": (
         findings,
         RAW + STAGING + GOLD + as_check_sql([*SILVER_UNIQUE_SQL, *GOLD_UNIQUE_SQL, REJECT_SQL]),

@@ -15,7 +15,7 @@ from claimward.catalog.business import (
 )
 from claimward.catalog.star_sql import STAR, mean, rows_if, total, total_if
 from claimward.config import CONDITIONS
-from claimward.operators import decisions, metrics
+from claimward.operators import decisions, distinct, metrics
 from claimward.plans import reports
 from claimward.plans.risk import FACTORS
 from claimward.sources import lookups
@@ -58,6 +58,11 @@ b2 AS (SELECT *, ip_annual_reimbursement_amt + op_annual_reimbursement_amt AS an
   beneficiary_key IN (SELECT beneficiary_key FROM scope) AS has_claims FROM beneficiary),
 pool AS (SELECT * FROM b2 WHERE has_claims AND chronic_condition_count >= 6 AND annual_cost >= 10000)
 """
+RANGE_COLUMNS = f"""count(*) AS total_claims, {total(AMT)} AS total_reimbursement,
+  count(DISTINCT provider_key) AS unique_providers, {FRAUD_PROVIDERS} AS fraud_providers,
+  count(DISTINCT beneficiary_key) AS unique_beneficiaries,
+  {zero(FRAUD_PROVIDERS, 'count(DISTINCT provider_key)')} AS fraud_rate,
+  {zero(f'sum({AMT})', 'count(DISTINCT beneficiary_key)')} AS avg_reimbursement_per_beneficiary"""
 CAPACITIES = """, placed AS (SELECT annual_cost, row_number() OVER (ORDER BY annual_cost DESC) AS place FROM pool),
 n AS (SELECT CAST(unnest(range({first}, {last} + 1, {step})) AS BIGINT) AS care_manager_capacity),
 size AS (SELECT count(*) AS pool_size FROM pool)
@@ -286,6 +291,25 @@ QUERIES = {
         metrics.reconciliation,
         SCORES + "SELECT count(*) AS providers, CAST(0 AS BIGINT) AS mismatches FROM q",
     ),
+    # --- distinct counts that add up ---------------------------------------------
+    "met_distinct_range": (
+        lambda m: distinct.range_metrics(m, ["region"], months=(199502, 199704)),
+        f"SELECT region, {RANGE_COLUMNS} FROM c WHERE year_num * 100 + month_num BETWEEN 199502 AND 199704 "
+        "GROUP BY region",
+    ),
+    "met_distinct_total": (
+        lambda m: distinct.range_metrics(m, filters={"region": ["ASIA", "EUROPE"]}),
+        f"SELECT {RANGE_COLUMNS} FROM c WHERE region IN ('ASIA', 'EUROPE')",
+    ),
+    "met_distinct_rolling": (
+        lambda m: distinct.rolling_distinct(m, 3, ["region"]),
+        """, ends AS (SELECT DISTINCT year_num, month_num, month_name, year_month FROM c)
+        SELECT region, e.*, count(DISTINCT provider_key) AS unique_providers,
+          count(DISTINCT provider_key) FILTER (WHERE is_potential_fraud) AS fraud_providers,
+          count(DISTINCT beneficiary_key) AS unique_beneficiaries
+        FROM ends e JOIN c ON e.year_num * 12 + e.month_num - (c.year_num * 12 + c.month_num) BETWEEN 0 AND 2
+        GROUP BY ALL""",
+    ),
     # --- what-if -----------------------------------------------------------------
     "wif_cap": (
         decisions.cap_effect,

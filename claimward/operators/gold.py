@@ -184,14 +184,19 @@ def provider_rollup(model: ClaimsModel, stg_claims: DataFrame | None = None) ->
     return totals.join(per_provider, "provider_id", "left")
 
 
-def state_month_rollup(model: ClaimsModel) -> DataFrame:
-    """Eight measures per state and month; claims without a mapped state get their own row."""
-    state = {
+def mapped_state() -> dict[str, Column]:
+    """State columns of a claim; a claim without a mapped state gets a state of its own."""
+    return {
         "state_code": F.when(F.col("geo_key").isNull(), UNMAPPED_STATE).otherwise(F.col("state_code")),
         "state_name": F.coalesce("state_name", F.lit("Unmapped")),
         "state_abbr": F.coalesce("state_abbr", F.lit("--")),
         "region": F.coalesce("region", F.lit("Unmapped")),
     }
+
+
+def state_month_rollup(model: ClaimsModel) -> DataFrame:
+    """Eight measures per state and month; claims without a mapped state get their own row."""
+    state = mapped_state()
     return name_months(
         with_month(model.joined("beneficiary", "state").withColumns(state))
         .groupBy(*state, *MONTH_KEY)

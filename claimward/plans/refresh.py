@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimward.config import Expectations
 from claimward.model import ClaimsModel, model_from_gold
-from claimward.operators import checks, gold, silver
+from claimward.operators import checks, distinct, gold, silver
 from claimward.operators.tally import ValidationError, require
 from claimward.schemas import DATASETS
 from claimward.sources import lookups, tables
@@ -167,6 +167,8 @@ def refresh(
     ).withColumn(MONTH_PARTITION, F.floor(F.col("claim_start_date_key") / 100).cast("int"))
     star = {**dims, **keep("gold", {"fact_claims": fact})}
     star.update(keep("gold", {name: make(star, stg["stg_claims"]) for name, make in ROLLUPS.items()}))
+    sets = {distinct.KEY_ROLLUP: distinct.state_month_keys(in_calendar(star))}
+    keep("keys", sets)
     gate(checks.gold_gate(star))
     _require_match(tables.reconcile(spark, staged, wanted.gold))
 
@@ -189,5 +191,6 @@ def refresh_from_files(
 
 
 def published_model(spark: SparkSession, root: str) -> ClaimsModel:
-    """The model over the current gold tables, ready for every business query."""
-    return model_from_gold(tables.read_published(spark, root, "gold"))
+    """The model over the current gold tables and key sets, ready for every business query."""
+    stored = {**tables.read_published(spark, root, "gold"), **tables.read_published(spark, root, "keys")}
+    return model_from_gold(stored)
