@@ -1,17 +1,21 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree. Parts that are never article text (scripts, controls, hidden parts) are
-cut. Parts whose element, role, class or id names navigation, a form, an advert, notice, sidebar
-or comment list are cut unless they hold the page's content: all its article and main elements,
-all its top headings, or most of its text outside links. Every
-remaining node gets its composite text density: characters per tag, weighted by how much of
-it is link text. The density sum of a node adds the densities of its children, and the node
-with the largest sum holds the article. The smallest density on its path to the body is the
-threshold: further nodes at or above it are content too. The nearest enclosing ``article``
-or ``main`` element takes the place of a chosen node; nodes outside it stay chosen.
+A page becomes a tree without scripts, controls and hidden parts. Every node gets its composite
+text density: characters per tag, weighted by how much of it is link text. The density sum
+of a node adds the densities of its children, and the subtree with the largest sum is the
+article. The smallest density on its path to the body is the threshold for what else is
+content: a branch off that path joins if its density reaches the threshold and its largest
+sum a quarter of the article's. Densities are those of the whole tree; no element name,
+not ``article`` either, overrides the choice.
+
+Names are evidence, not the method: a part whose element, role, class or id names navigation,
+a form, an advert, notice, sidebar or comment list is neither chosen nor printed inside the
+chosen part, unless it holds the page's content: all its article and main elements, all
+its top headings, or most of its text outside links.
 
 Null or empty html and pages without text give an empty text. Unclosed, stray and cut-off
-tags are tolerated. Repeated rows give repeated results; extra columns are left out.
+tags are tolerated; work grows with the length of a page, however deep its tree is. Repeated
+rows give repeated results; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -81,6 +85,8 @@ _WORDS = re.compile(r"[a-z]+")
 #: What articles have outside a part in them, or outside a form, as a share of the part, for the
 #: part to be no content; for other parts any text in an article elsewhere is enough.
 OUTSIDE_SHARE = 0.25
+#: Least part of the largest density sum that a branch off the body path needs to join.
+BRANCH_SHARE = 0.25
 
 
 def _named(value: str, in_article: bool) -> bool:
@@ -116,15 +122,71 @@ def _cut(tag: str, attributes: str, in_article: bool) -> str:
     return "doubted" if doubted else ""
 
 
+class OpenElements:
+    """The open elements of a page; finding the one that a tag closes takes constant time."""
+
+    def __init__(self):
+        self.nodes, self.tags = [0], ["html"]
+        self.at: dict[str, list[int]] = {}  # places of the open elements by tag
+        self.scopes: list[int] = []  # places of elements that stop a search
+        self.blocks: list[int] = []
+
+    def __len__(self) -> int:
+        return len(self.nodes)
+
+    def push(self, node: int, tag: str) -> None:
+        place = len(self.nodes)
+        self.nodes.append(node)
+        self.tags.append(tag)
+        self.at.setdefault(tag, []).append(place)
+        if tag in SCOPE:
+            self.scopes.append(place)
+        if tag in BLOCK or tag in ("td", "th"):
+            self.blocks.append(place)
+
+    def cut_back(self, place: int) -> None:
+        """End the element at ``place`` and all in it."""
+        while len(self.nodes) > place:
+            self.nodes.pop()
+            self.at[self.tags.pop()].pop()
+        for places in (self.scopes, self.blocks):
+            while places and places[-1] >= place:
+                places.pop()
+
+    def nearest(self, *tags: str) -> int:
+        """Place of the innermost open element of these tags; 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def behind_scope(self, place: int) -> bool:
+        return bool(self.scopes) and self.scopes[-1] > place
+
+    def close(self, tag: str) -> None:
+        """What an end tag does; one without an open element does nothing."""
+        place = self.nearest(tag)
+        if place and (tag in SCOPE or not self.behind_scope(place)):
+            self.cut_back(place)
+
+    def imply(self, tag: str) -> None:
+        """End elements that the start of ``tag`` closes."""
+        if tag in BLOCK and self.blocks and self.tags[self.blocks[-1]] == "p":
+            self.cut_back(self.blocks[-1])
+        place = self.nearest(*ENDS.get(tag, ()))
+        if place and not self.behind_scope(place):
+            self.cut_back(place)
+
+
 class Page:
-    """The tree of a page; nodes are numbers in page order, children may be texts."""
+    """The tree of a page; nodes are numbers in page order, children may be texts.
+
+    Without ``names`` no element is doubted because of its name.
+    """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, names: bool = True):
         self.tag, self.parent, self.children, self.article = ["html"], [-1], [[]], [False]
+        self.names = names
         self.doubted: set[int] = set()
         self._parse(source)
-        if self.doubted:
-            self._cut_doubted()
+        self.rejected = self._rejected() if self.doubted else [False] * len(self.tag)
 
     def _open(self, tag: str, parent: int) -> int:
         node = len(self.tag)
@@ -136,14 +198,13 @@ class Page:
         return node
 
     def _parse(self, source: str) -> None:
-        stack, at, size = [0], 0, len(source)
-        cut_depth = 0  # open elements inside a part that is cut, the part itself included
-        cut: list[str] = []
+        stack, at, size = OpenElements(), 0, len(source)
+        cut: OpenElements | None = None  # open elements inside a part that is cut
         while at < size:
             found = _TAG.search(source, at)
             text = source[at : found.start()] if found else source[at:]
             if text and not cut:
-                self.children[stack[-1]].append(text)
+                self.children[stack.nodes[-1]].append(text)
             if not found:
                 break
             at = found.end()
@@ -158,46 +219,48 @@ class Page:
                 at = end.end() if end else size
                 continue
             if cut:
-                self._inside_cut(cut, closing, tag, attributes)
-                if not cut and closing and tag in SCOPE and tag != self._last_cut:
-                    self._close(stack, tag)
+                first = cut.tags[1]
+                if self._ends_cut(cut, closing, tag, attributes):
+                    cut = None
+                    if closing and tag in SCOPE and tag != first:
+                        stack.close(tag)
                 continue
             if closing:
-                self._close(stack, tag)
+                stack.close(tag)
             elif tag in VOID:
                 if tag in ("br", "wbr", "hr"):
-                    self._open(tag, stack[-1])
+                    self._open(tag, stack.nodes[-1])
             else:
-                self._imply(stack, tag)
-                verdict = _cut(tag, attributes, self.article[stack[-1]])
+                stack.imply(tag)
+                verdict = _cut(tag, attributes, self.article[stack.nodes[-1]])
                 if verdict == "always":
+                    self._open("cut", stack.nodes[-1])
                     if not attributes.endswith("/"):
-                        cut.append(tag)
-                    self._open("cut", stack[-1])
+                        cut = OpenElements()
+                        cut.push(0, tag)
                 elif tag not in ("html", "body") or len(stack) == 1:
                     if tag != "html":
-                        stack.append(self._open(tag, stack[-1]))
-                        if verdict:
-                            self.doubted.add(stack[-1])
+                        stack.push(self._open(tag, stack.nodes[-1]), tag)
+                        if verdict and self.names:
+                            self.doubted.add(stack.nodes[-1])
 
-    def _inside_cut(self, cut: list[str], closing: str, tag: str, attributes: str) -> None:
-        """Follow the elements inside a part that is cut, until it ends."""
-        self._last_cut = cut[0]
+    def _ends_cut(self, cut: OpenElements, closing: str, tag: str, attributes: str) -> bool:
+        """Follow the elements inside a part that is cut; whether it ends here."""
         if closing:
-            if tag in cut:
-                while cut.pop() != tag:
-                    pass
+            if cut.nearest(tag):
+                cut.cut_back(cut.nearest(tag))
             elif tag in ("body", "html", "article", "main"):
-                cut.clear()  # the part was never closed
+                return True  # the part was never closed
         elif tag not in VOID and not attributes.endswith("/"):
-            if tag == cut[-1] and tag in ("p", "li", "option", "dt", "dd", "tr", "td", "th"):
-                cut.pop()
-                if not cut:
-                    return
-            cut.append(tag)
-
-    def _cut_doubted(self) -> None:
-        """Empty the doubted parts that do not hold the content, outermost first."""
+            if tag == cut.tags[-1] and tag in ("p", "li", "option", "dt", "dd", "tr", "td", "th"):
+                cut.cut_back(len(cut) - 1)
+                if len(cut) == 1:
+                    return True
+            cut.push(0, tag)
+        return len(cut) == 1
+
+    def _rejected(self) -> list[bool]:
+        """Nodes in doubted parts that do not hold the content, judged from the outermost in."""
         count = len(self.tag)
         plain, in_content, contents, heads = ([0] * count for _ in range(4))
         linked = [False] * count
@@ -225,38 +288,13 @@ class Page:
                     or heads[node] == heads[0] > 0
                     or (2 * plain[node] > plain[0] and outside < little)
                 )
-            if gone[node]:
-                self.tag[node], self.children[node] = "cut", []
-
-    def _close(self, stack: list[int], tag: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            name = self.tag[stack[k]]
-            if name == tag:
-                del stack[k:]
-                return
-            if name in SCOPE and tag not in SCOPE:
-                return
-
-    def _imply(self, stack: list[int], tag: str) -> None:
-        """End elements that the start of ``tag`` closes."""
-        if tag in BLOCK:
-            for k in range(len(stack) - 1, 0, -1):
-                name = self.tag[stack[k]]
-                if name == "p":
-                    del stack[k:]
-                    break
-                if name in BLOCK or name in ("td", "th"):
-                    break
-        for k in range(len(stack) - 1, 0, -1):
-            name = self.tag[stack[k]]
-            if name in ENDS.get(tag, ()):
-                del stack[k:]
-                break
-            if name in SCOPE:
-                break
+        return gone
 
     def densities(self) -> tuple[list[float], list[float]]:
-        """Composite text density of every node, and the sum over its children."""
+        """Composite text density of every node, and the sum over its children.
+
+        Densities are those of the whole tree; rejected children add nothing to a sum.
+        """
         count = len(self.tag)
         chars, tags, link_chars, link_tags = ([0] * count for _ in range(4))
         for node in range(count - 1, -1, -1):
@@ -271,49 +309,65 @@ class Page:
                 tags[up] += tags[node] + (self.tag[node] not in ("cut", "br", "wbr"))
                 link_tags[up] += link_tags[node]
         ratio = link_chars[0] / max(chars[0], 1)
+        self.linked = [2 * lc > c for lc, c in zip(link_chars, chars)]
         density, sums = [0.0] * count, [0.0] * count
         for node in range(count - 1, -1, -1):
             c, t, lc, lt = chars[node], max(tags[node], 1), link_chars[node], max(link_tags[node], 1)
             if c:
                 base = math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
                 density[node] = c / t * max(math.log(max(c / max(lc, 1) * t / lt, 1.0)), 0.0) / base
-            if node:
+            if node and not self.rejected[node]:
                 sums[self.parent[node]] += density[node]
         return density, sums
 
     def content(self) -> list[int]:
         """Roots of the content, in page order."""
         density, sums = self.densities()
-        best = max(range(len(sums)), key=lambda n: (sums[n], density[n], -n))
+        self.density = density
+        open_ = [n for n in range(len(sums)) if not self.rejected[n]]
+        best = max(open_, key=lambda n: (sums[n], density[n], -n))
+        self.threshold = 0.0
+        if sums[best] <= 0:  # a few characters at most
+            return [0]
         path = [best]
         while path[-1]:
             path.append(self.parent[path[-1]])
-        if sums[best] <= 0:  # a few characters at most
-            return [next((n for n in path if self.tag[n] in ("article", "main")), 0)]
-        threshold = min(density[n] for n in path)
+        self.threshold = threshold = min(density[n] for n in path)
+        on_path = set(path)
         # largest sum at or below each node, found bottom-up
         top = list(range(len(sums)))
-        for node in range(len(sums) - 1, 0, -1):
+        for node in reversed(open_[1:]):
             up = self.parent[node]
             if (sums[top[node]], -top[node]) > (sums[top[up]], -top[up]):
                 top[up] = top[node]
-        chosen = {best} | {top[n] for n in range(len(sums)) if density[n] >= threshold and density[n] > 0}
-        whole = [-1] * len(sums)  # nearest article or main element
-        for node in range(1, len(sums)):
-            whole[node] = node if self.tag[node] in ("article", "main") else whole[self.parent[node]]
-        chosen = {n if whole[n] < 0 else whole[n] for n in chosen}
-        roots = []
-        for node in sorted(chosen):
-            up = node
-            while up and self.parent[up] not in chosen:
-                up = self.parent[up]
-            if not up:
-                roots.append(node)
-        return roots
+        roots = {best}
+        for node in path[1:]:
+            for child in self.children[node]:
+                if isinstance(child, str) or self.rejected[child] or child in on_path:
+                    continue
+                dense = density[child] >= threshold and density[child] > 0
+                if dense and sums[top[child]] >= BRANCH_SHARE * sums[best]:
+                    roots.add(top[child])
+        return sorted(roots | self._heading(roots))
+
+    def _heading(self, roots: set[int]) -> set[int]:
+        """The page's only top heading, if it stands outside the content."""
+        heads = [n for n in range(len(self.tag)) if self.tag[n] == "h1" and not self.rejected[n]]
+        if len(heads) != 1:
+            return set()
+        node = heads[0]
+        while node and node not in roots:
+            node = self.parent[node]
+        return set() if node in roots else {heads[0]}
 
     def blocks(self, root: int) -> list[str]:
-        """Texts of the blocks below ``root``, white space made single spaces."""
+        """Texts of the blocks below ``root``, white space made single spaces.
+
+        Rejected parts are left out. Where no narrower part than the body was chosen, so are
+        menus: blocks directly in it of mostly link text below the threshold.
+        """
         done, parts = [], []
+        wide = self.tag[root] in ("html", "body")
 
         def flush():
             text = " ".join(entities.unescape("".join(parts)).split())
@@ -328,8 +382,13 @@ class Page:
                 parts.append(item)
             elif item is None:
                 flush()
+            elif self.rejected[item]:
+                flush()
             else:
                 tag = self.tag[item]
+                menu = tag in BLOCK and self.linked[item] and self.density[item] < self.threshold
+                if wide and menu and self.tag[self.parent[item]] in ("html", "body"):
+                    continue
                 if tag in ("br", "td", "th", "cut"):
                     parts.append(" ")
                 if tag in BLOCK:
@@ -340,11 +399,11 @@ class Page:
         return done
 
 
-def main_text(source: str) -> str:
+def main_text(source: str, names: bool = True) -> str:
     """The article of a page, blocks joined by an empty line."""
     if not source:
         return ""
-    page = Page(source)
+    page = Page(source, names)
     return "\n\n".join(b for root in page.content() for b in page.blocks(root))
 
 

@@ -2,6 +2,8 @@
 
 import gzip
 import hashlib
+import math
+import time
 
 import pytest
 from llm_tables import SF_DIR
@@ -180,6 +182,78 @@ def test_a_long_comment_list_is_cut():
     assert (text.count("The one"), text.count("said")) == (4, 0)
 
 
+def plain_density(page):
+    """Densities, sums and the chosen node by the definition, one recursion per node."""
+    def walk(node, test):
+        found = int(test(node))
+        return found + sum(walk(c, test) for c in page.children[node] if not isinstance(c, str))
+
+    def chars(node):
+        return sum(len("".join(c.split())) if isinstance(c, str) else chars(c) for c in page.children[node])
+
+    def link_chars(node):
+        if page.tag[node] == "a":
+            return chars(node)
+        return sum(link_chars(c) for c in page.children[node] if not isinstance(c, str))
+
+    def density(node):
+        c, lc = chars(node), link_chars(node)
+        t = max(walk(node, lambda n: n != node and page.tag[n] not in ("cut", "br", "wbr")), 1)
+        lt = max(walk(node, lambda n: page.tag[n] == "a"), 1)
+        if not c:
+            return 0.0
+        base = math.log(c / max(c - lc, 1) * lc + link_chars(0) / max(chars(0), 1) * c + math.e)
+        return c / t * max(math.log(max(c / max(lc, 1) * t / lt, 1.0)), 0.0) / base
+
+    nodes = range(len(page.tag))
+    densities = [density(n) for n in nodes]
+    sums = [sum(densities[c] for c in page.children[n] if not isinstance(c, str) and not page.rejected[c]) for n in nodes]
+    free = [n for n in nodes if not page.rejected[n]]
+    return densities, sums, max(free, key=lambda n: (sums[n], densities[n], -n))
+
+
+@pytest.mark.parametrize("names", [True, False])
+def test_densities_sums_and_chosen_root_equal_the_definition(spark, names):
+    sources = [r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").limit(20).collect()]
+    links = "".join(f'<a href="/{i}">link {i}</a> ' for i in range(30))
+    sources += [PAGE, f"<div>{links}</div><div>{passage('one', 4)}<aside>{passage('side', 2)}</aside></div><p>{links}"]
+    for source in sources:
+        page = pagetext.Page(source, names)
+        densities, sums, best = plain_density(page)
+        found = page.densities()
+        assert found[0] == pytest.approx(densities) and found[1] == pytest.approx(sums)
+        assert best in page.content()
+        assert page.threshold <= found[0][best]
+
+
+def test_density_finds_the_article_without_names(spark):
+    sources = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    same = sum(pagetext.main_text(s) == pagetext.main_text(s, names=False) for s in sources)
+    assert same >= 0.95 * len(sources)
+
+
+def test_article_element_does_not_override_density():
+    page = f"<body><article><p>Short teaser.</p></article><div>{passage('real', 8)}</div></body>"
+    assert pagetext.main_text(page).count("The real") == 8
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<p>x" + "<b>" * 30_000 + "</i></td></li>" * 60_000,
+        "<div>" * 50_000 + "deep" + "</div>" * 50_000,
+        "<select>" + "<b>" * 30_000 + "</i>" * 60_000 + "</select>z",
+        "<table>" + "<tr><td><b>x" * 40_000,
+        "<ul>" + "<li>" * 100_000 + "<p>" * 50_000,
+    ],
+    ids=["stray", "deep", "cut", "cells", "items"],
+)
+def test_work_grows_with_the_length_of_a_page(source):
+    start = time.process_time()
+    pagetext.main_text(source)
+    assert time.process_time() - start < 20
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(
     ["<p>", "</p>", "<div class='ad'>", "<div>", "</div>", "<nav>", "</nav>", "<b>", "text ", "<!--", "-->", "<script>",
