@@ -1,14 +1,16 @@
 """URL rules by host-suffix and path-prefix expressions.
 
 Each distinct URL is expanded into every combination of a host suffix (cut at dots) and a
-path prefix (cut after slashes). Expressions and rules meet in an equi-join on the first
+path prefix (cut after slashes), as deep as the deepest rule: no rule can fit a longer one, and
+work grows with the length of a URL and not with its steps. Expressions and rules meet in an equi-join on the first
 four bytes of their SHA-256; the full digest and the text then confirm a hit, and the
 longest rule decides. Expansion works on distinct URLs, so a URL that a third of all rows
 share is judged once.
 
 Null or empty URLs and URLs without ``://`` have an empty host and path and match no rule.
 Repeated page ids are judged row by row. Columns of ``pages`` other than the URL are kept
-out of the work and carried through unchanged.
+out of the work and carried through unchanged; one that is named like a result (host, path,
+rule, verdict) is carried as ``given_<name>``.
 """
 
 from __future__ import annotations
@@ -64,23 +66,22 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def _expressions(host: Column, path: Column) -> Column:
-    """Every host suffix joined with every path prefix that ends in a slash."""
-    labels = F.split(host, r"\.")
-    steps = F.split(path, "/")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
-    prefixes = F.when(
-        F.size(steps) > 1,
-        F.transform(
-            F.sequence(F.lit(1), F.size(steps) - 1),
-            lambda i: F.concat(F.array_join(F.slice(steps, F.lit(1), i), "/"), F.lit("/")),
-        ),
-    ).otherwise(F.array())
-    pairs = F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))
-    return F.array_distinct(F.flatten(pairs))
+def _expressions(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
+    """Every host suffix joined with every path prefix that ends in a slash, as long as rules are."""
+    most_labels = max((r.host.count(".") + 1 for r in rules), default=0)
+    most_slashes = max((r.path.count("/") for r in rules), default=0)
+    dots = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit("")))
+    slashes = F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
+    suffixes = [
+        F.when(dots >= n - 1, F.substring_index(host, ".", -n)) for n in range(1, most_labels + 1)
+    ]
+    prefixes = [
+        F.when(slashes >= n, F.concat(F.substring_index(path, "/", n), F.lit("/")))
+        for n in range(1, most_slashes + 1)
+    ]
+    pairs = [F.concat(s, p) for s in suffixes for p in prefixes]
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.array_compact(F.array(*pairs))) if pairs else none
 
 
 def rule_table(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
@@ -101,11 +102,11 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = "all
     """``pages`` with host, path, rule and verdict; ``default`` where no rule fits."""
     spark = pages.sparkSession
     own = ["host", "path", "rule", "verdict", "judged_url"]
-    kept = pages.drop(*own)
+    kept = pages.withColumnsRenamed({name: f"given_{name}" for name in own})
     urls = pages.select(F.coalesce("url", F.lit("")).alias("url")).distinct()
     host, path = host_and_path(F.col("url"))
     parts = urls.select("url", host.alias("host"), path.alias("path"))
-    expanded = parts.filter("host != ''").select("url", F.explode(_expressions(F.col("host"), F.col("path"))).alias("expression"))
+    expanded = parts.filter("host != ''").select("url", F.explode(_expressions(F.col("host"), F.col("path"), rules)).alias("expression"))
     digested = expanded.select("url", "expression", F.sha2("expression", 256).alias("digest"))
     hits = digested.join(
         rule_table(spark, rules), F.substring("digest", 1, PREFIX_HEX) == F.col("short")

@@ -109,6 +109,22 @@ def test_rules_equal_plain_version(spark):
     assert urlfilter.judge(table.filter("false")).count() == 0
 
 
+def test_deep_rules_and_given_columns(spark):
+    rules = (urlfilter.Rule("block", "a.b.c.net", "/x/y/z/"), urlfilter.Rule("allow", "c.net", "/x/"), urlfilter.Rule("block", "net", "/"))
+    rows = [
+        (1, "http://q.a.b.c.net/x/y/z/1"), (2, "http://b.c.net/x/y/z/1"), (3, "http://c.net/y"), (4, "http://org/x/"),
+        (5, "http://" + "s." * 3000 + "c.net/x" + "/y" * 500_000),
+    ]
+    table = spark.createDataFrame([(*r, "h", "p", "v") for r in rows], "page_id int, url string, host string, path string, verdict string")
+    found = {r.page_id: (r.rule, r.verdict, r.given_host, r.given_path, r.given_verdict) for r in urlfilter.judge(table, rules).collect()}
+    own = ("h", "p", "v")
+    assert found == {
+        1: ("a.b.c.net/x/y/z/", "block", *own), 2: ("c.net/x/", "allow", *own), 3: ("net/", "block", *own),
+        4: (None, "allow", *own), 5: ("c.net/x/", "allow", *own),
+    }
+    assert urlfilter.judge(table, ()).filter("verdict = 'allow'").count() == 5
+
+
 def test_rules_are_checked():
     for bad in (("ban", "net", "/"), ("block", "Net", "/"), ("block", "", "/"), ("block", "net", "/en")):
         with pytest.raises(ValueError):
