@@ -9,7 +9,7 @@ in seeded random order until the words are used up.
 The random order is cut into slices of a bounded number of documents (``SLICE_DOCS``), so
 that a source with a third of all rows is many small windows. Within a slice the documents
 up to the last that fits are taken, and of the others the one whose size comes nearest to
-what is left. Rows with equal ids share their draw.
+what is left. Rows with equal ids and equal texts share their draw.
 
 Null texts and texts without words have size 0 and are taken 0 words; a null source is a
 source of its own, last in order. An empty table gives an empty result. Words are counted
@@ -92,7 +92,9 @@ def targets(sized: DataFrame, budget: float = BUDGET, epochs: float = EPOCHS) ->
 
 
 def order_key(id_column: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.col(id_column))
+    """Place in the random order. The text counts as well, so rows without an id, or with a
+    repeated one, are drawn one by one unless their texts are equal too."""
+    return F.xxhash64(F.lit(seed), F.col(id_column), F.col("text"))
 
 
 def placed(rows: DataFrame, per_source: DataFrame) -> DataFrame:

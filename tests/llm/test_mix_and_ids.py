@@ -53,6 +53,14 @@ def test_mix_of_the_table(spark):
     assert rows == again
 
 
+def test_rows_without_id_are_drawn_one_by_one(spark):
+    data = [(None if i % 3 else 7, f"{i} " + "w " * (1 + i % 30), "a" if i % 2 else None) for i in range(900)]
+    table = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    mixed = mixing.mix(table, budget=0.5, epochs=2)
+    words = lambda rows: sum(len(r.text.split()) for r in rows)
+    assert words(mixed.collect()) == pytest.approx(0.5 * words(table.collect()), rel=0.02)
+
+
 def test_mix_with_a_hot_null_and_empty_source(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SLICE_DOCS", 50)
     kinds = [None] * 200 + ["b"] * 60 + ["ä"] * 30 + ["z"] * 5 + ["a"] * 9
