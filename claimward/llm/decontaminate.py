@@ -12,9 +12,8 @@ The seeds are complete: ``TRIPLES`` are all ways to pick three of at most five t
 row, and every alignment that passes the thresholds has such triples. ``least_triples`` counts how
 many it has at least; alignments with fewer are not compared. Items under ``SHORTEST``
 tokens must agree in all tokens, in a row anywhere in a text; those under ``PHRASE`` tokens are
-ordinary phrases inside a text and must be the whole text. Items under ``LEAST`` tokens are
-left out. Null and empty
-texts match nothing. Items with equal tokens count once. A document is known by its id and
+ordinary phrases inside a text and must be the whole text. Null and empty texts, and items
+without a token, match nothing. Items with equal tokens count once. A document is known by its id and
 a hash of its text, so null and repeated ids are judged row by row. Extra columns are left
 out. The seeds of the benchmark are broadcast only if their counted number is at most
 ``BROADCAST_SEEDS``; otherwise the join shuffles.
@@ -35,9 +34,8 @@ MASKS = ("110100110111", "111011001011", "101101110011")
 SPAN = len(MASKS[0])
 #: Fewest tokens for which a share is enough.
 SHORTEST = 8
-#: Fewest tokens that count inside a longer text, and fewest that count at all.
+#: Fewest tokens that count inside a longer text.
 PHRASE = 5
-LEAST = 3
 SHARE = 0.6
 RUN = 20
 RUN_SHARE = 0.8
@@ -115,10 +113,10 @@ def _hashed(column: str) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """item_id and item_tokens of all items that are long enough, equal ones once."""
+    """item_id and item_tokens of all items that have a token, equal ones once."""
     cut = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), tokens(F.col("text")).alias("item_tokens"))
     return (
-        cut.filter(F.size("item_tokens") >= LEAST)
+        cut.filter(F.size("item_tokens") > 0)
         .groupBy("item_tokens")
         .agg(F.min("item_id").alias("item_id"))
     )

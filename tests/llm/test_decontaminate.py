@@ -124,14 +124,18 @@ def test_short_items_and_scripts_without_spaces(spark, documents):
     items = [
         (1, "a b c d e f g h"), (2, "what is the capital of Peru"), (3, "who are you"),
         (4, "中华人民共和国的首都是哪里"), (5, "ชื่อเมืองหลวงของประเทศไทย"), (6, "one two three four five"),
+        (7, "Yes"), (8, "New York"), (9, "?!"), (10, None),
     ]
     docs = [
         (1, "x a b c d OTHER f g h x"), (2, "What is the capital of Peru?"), (3, "Q: what is the capital of Peru - Lima"),
         (4, "what is the capital of Chile"), (5, "Who are you?"), (6, "tell me who are you now"),
         (7, "问：中华人民共和国的首都在哪里？北京"), (8, "中华料理的做法在哪里"), (9, "x ชื่อเมืองหลวงของประเทศไทย y"),
         (10, "one two three four"), (11, "0 one two three four five"), (12, "who are"),
+        (13, "yes!"), (14, "yes yes"), (15, "(New) york."), (16, "in New York"), (17, "?!"), (18, None), (19, "York New"),
     ]
     hits = decontaminate.contaminated(documents(docs), benchmark(spark, items)).collect()
-    assert sorted((r.doc_id, r.item_id) for r in hits) == [(1, 1), (2, 2), (3, 2), (5, 3), (7, 4), (9, 5), (11, 6)]
+    assert sorted((r.doc_id, r.item_id) for r in hits) == [
+        (1, 1), (2, 2), (3, 2), (5, 3), (7, 4), (9, 5), (11, 6), (13, 7), (15, 8)
+    ]
     cut = spark.createDataFrame([("Ab3 中文字 カナ。x한국어 y",)], "t string").select(decontaminate.tokens(F.col("t"))).first()[0]
     assert cut == ["ab3", "中", "文", "字", "カ", "ナ", "x한국어", "y"]
