@@ -356,9 +356,25 @@ def grouped(documents: DataFrame, like: Likeness = CONTRACT) -> DataFrame:
 
 
 def deduplicated(documents: DataFrame, like: Likeness = STANDARD) -> DataFrame:
-    """``documents`` with one document of each group, and all without an id."""
-    keep = grouped(documents, like).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = documents.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """``documents`` with one document of each group, and all without an id.
+
+    The one with the smallest id stays. Where ids are repeated, every row with an id is
+    judged by its own text: rows are numbered for that in the order of their ids, so no text
+    is lost because another one has its id.
+    """
+    key = next(n for n in (f"row_key{'_' * i}" for i in range(len(documents.columns) + 1)) if n not in documents.columns)
+    named = documents.filter("doc_id is not null")
+    repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        rows = named.withColumn(key, F.col("doc_id").cast("bigint"))
+    else:
+        order = [F.col("doc_id"), F.xxhash64("text")]
+        placed = named.repartitionByRange(*order).sortWithinPartitions(*order)
+        # written, so that a row keeps its number whenever it is read
+        rows = stored(placed.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    keep = grouped(rows.select(F.col(key).alias("doc_id"), "text"), like)
+    kept = keep.filter("kept").select(F.col("doc_id").alias(key))
+    named = rows.join(kept, key, "left_semi")
     return named.select(*documents.columns).union(documents.filter("doc_id is null"))
 
 

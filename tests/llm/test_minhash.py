@@ -94,6 +94,18 @@ def test_repeated_rows_and_a_long_text(documents):
     ]
 
 
+def test_unlike_texts_under_one_id_stay(documents):
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    near = one.replace("a39", "z")
+    rows = [(1, one), (1, two), (1, one), (2, near), (3, two + " more"), (4, None), (4, ""), (4, "few words"), (None, one)]
+    kept = minhash.deduplicated(documents(rows)).collect()
+    texts = [r.text for r in kept if r.doc_id is not None]
+    assert len([t for t in texts if t in (one, near)]) == 1
+    assert len([t for t in texts if t in (two, two + " more")]) == 1
+    assert sorted(map(str, (t for t in texts if not t or len(t) < 10))) == ["", "None", "few words"]
+    assert [r.text for r in kept if r.doc_id is None] == [one]
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     one = rng.integers(0, 2**63, 500).astype(np.uint64)
