@@ -116,10 +116,13 @@ def refresh(
     not the run. Readers see the new batch only after the last gate. Malformed records,
     unknown labels, keys that are not unique and claims that match no dimension are
     findings, stored with the batch; rejected records are stored as they came.
-    ``strict=False`` reports critical findings without stopping.
+    ``strict=False`` reports critical findings without stopping. If another refresh publishes
+    meanwhile, this one raises ``PublishConflict`` and leaves the other's version current.
     """
     batch = batch_id or new_batch_id()
     wanted = expectations or Expectations.none()
+    tables.claim_batch(spark, root, batch)
+    base = tables.latest_version(spark, root)
     staged: list[tables.Staged] = []
 
     def keep(layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -173,7 +176,7 @@ def refresh(
     _require_match(tables.reconcile(spark, staged, wanted.gold))
 
     findings = keep("checks", {"findings": spark.createDataFrame(found, FINDINGS)})["findings"]
-    tables.publish(spark, root, staged)
+    tables.publish(spark, root, staged, base)
     return RefreshResult(batch, tables.staged_counts(spark, staged), findings)
 
 
@@ -192,5 +195,6 @@ def refresh_from_files(
 
 def published_model(spark: SparkSession, root: str) -> ClaimsModel:
     """The model over the current gold tables and key sets, ready for every business query."""
-    stored = {**tables.read_published(spark, root, "gold"), **tables.read_published(spark, root, "keys")}
-    return model_from_gold(stored)
+    version = tables.latest_version(spark, root)
+    layers = [tables.read_published(spark, root, layer, version) for layer in ("gold", "keys")]
+    return model_from_gold({**layers[0], **layers[1]})

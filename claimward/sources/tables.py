@@ -1,24 +1,35 @@
 """Table storage: write under a new batch folder, check, then publish.
 
 A refresh never overwrites what readers see. Each table is written to its own batch
-folder; after all checks have passed, one append to the ledger makes the batch current.
-A failure at any point leaves the previous batch in place.
+folder; after all checks have passed, one commit makes the batch current. A commit is a new
+version: one small file that names every current table, put in place whole and only if no
+other writer has put that version. Of two refreshes that started from one version, the
+first to finish wins and the other fails with its tables unseen. A reader takes one version
+for all tables. A failure at any point leaves the previous version in place.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+import json
+import os
+import uuid
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from claimward.session import materialize
 
-LEDGER_SCHEMA = (
+VERSION_SCHEMA = (
     "layer string, table_name string, batch_id string, path string, table_rows bigint, "
     "published_at timestamp"
 )
 
 
+class PublishConflict(Exception):
+    """Another writer has published, or taken the batch id, in the meantime."""
+
+
 @dataclass(frozen=True)
 class Staged:
     layer: str
@@ -80,30 +91,98 @@ def _ledger_path(root: str) -> str:
     return f"{root.rstrip('/')}/_published"
 
 
-def publish(spark: SparkSession, root: str, staged: list[Staged]) -> None:
-    """Make the staged tables current."""
-    rows = [(s.layer, s.name, s.batch_id, s.path, s.rows) for s in staged]
-    entries = spark.createDataFrame(
-        rows, "layer string, table_name string, batch_id string, path string, table_rows bigint"
-    ).withColumn("published_at", F.current_timestamp())
-    entries.coalesce(1).write.mode("append").parquet(_ledger_path(root))
+def _store(spark: SparkSession, path: str):
+    """The file system of a path and the path in it, as the cluster resolves them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def current(spark: SparkSession, root: str) -> DataFrame:
-    """Newest published entry of every table."""
-    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_path(root))
-    newest = F.max_by(
-        F.struct("batch_id", "path", "table_rows", "published_at"),
-        F.struct("published_at", "batch_id"),
-    )
-    return ledger.groupBy("layer", "table_name").agg(newest.alias("entry")).select(
-        "layer", "table_name", "entry.*"
-    )
+def put_if_absent(spark: SparkSession, path: str, content: str) -> bool:
+    """Put a small file in place whole; False if there is one already.
 
-
-def read_published(spark: SparkSession, root: str, layer: str) -> dict[str, DataFrame]:
-    """All current tables of a layer (the ledger has one row per table and run)."""
-    entries = current(spark, root).filter(F.col("layer") == layer).collect()
+    It is written under a name of its own and then linked (plain files) or renamed, which
+    fails where the target exists. That is one step on HDFS and on POSIX files; a store whose
+    rename copies needs a lock service beside it.
+    """
+    store, place = _store(spark, path)
+    spare = f"{path}.{uuid.uuid4().hex}"
+    store.mkdirs(place.getParent())
+    if store.getScheme() == "file":
+        target = place.toUri().getPath()
+        own = f"{target}.{uuid.uuid4().hex}"
+        with open(own, "w", encoding="utf-8") as out:
+            out.write(content)
+        try:
+            os.link(own, target)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(own)
+        return True
+    spare_place = spark._jvm.org.apache.hadoop.fs.Path(spare)
+    out = store.create(spare_place, False)
+    out.write(bytearray(content, "utf-8"))
+    out.close()
+    done = not store.exists(place) and store.rename(spare_place, place)
+    if not done:
+        store.delete(spare_place, False)
+    return bool(done)
+
+
+def claim_batch(spark: SparkSession, root: str, batch_id: str) -> None:
+    """Take a batch id for one refresh; ids have the grain of a second."""
+    if not put_if_absent(spark, f"{root.rstrip('/')}/_batches/{batch_id}", uuid.uuid4().hex):
+        raise PublishConflict(f"batch {batch_id} belongs to another refresh")
+
+
+def _version_path(root: str, version: int) -> str:
+    return f"{_ledger_path(root)}/v{version:010d}.json"
+
+
+def latest_version(spark: SparkSession, root: str) -> int:
+    """Number of the newest version; 0 before the first."""
+    store, place = _store(spark, _ledger_path(root))
+    if not store.exists(place):
+        return 0
+    names = [f.getPath().getName() for f in store.listStatus(place)]
+    return max((int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json")), default=0)
+
+
+def publish(spark: SparkSession, root: str, staged: list[Staged], base: int | None = None) -> int:
+    """Make the staged tables current, as the version after ``base`` (by default the newest).
+
+    Tables that are not staged keep their entry. Returns the new version's number.
+    """
+    base = latest_version(spark, root) if base is None else base
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    entries = {}
+    if base:
+        for row in current(spark, root, base).collect():  # one row per table
+            at = row.published_at.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+            entries[row.layer, row.table_name] = row.asDict() | {"published_at": at}
+    for s in staged:
+        entry = asdict(s)
+        entry["table_name"], entry["table_rows"] = entry.pop("name"), entry.pop("rows")
+        entries[s.layer, s.name] = entry | {"published_at": now}
+    lines = "".join(json.dumps(e) + "\n" for e in entries.values())
+    if not put_if_absent(spark, _version_path(root, base + 1), lines):
+        raise PublishConflict(f"version {base + 1} of {root} was published by another refresh")
+    return base + 1
+
+
+def current(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Every table of a version, by default of the newest."""
+    version = latest_version(spark, root) if version is None else version
+    if not version:
+        raise FileNotFoundError(f"nothing is published under {root}")
+    return spark.read.schema(VERSION_SCHEMA).json(_version_path(root, version))
+
+
+def read_published(
+    spark: SparkSession, root: str, layer: str, version: int | None = None
+) -> dict[str, DataFrame]:
+    """All tables of a layer as one version has them."""
+    entries = current(spark, root, version).filter(F.col("layer") == layer).collect()
     return {row.table_name: spark.read.parquet(row.path) for row in entries}
 
 
@@ -114,8 +193,11 @@ def write_report(report: DataFrame, path: str) -> DataFrame:
 
 
 __all__ = [
+    "PublishConflict",
     "Staged",
+    "claim_batch",
     "current",
+    "latest_version",
     "materialize",
     "publish",
     "read_published",
