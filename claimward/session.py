@@ -36,17 +36,25 @@ def build_session(app_name: str = "claimward", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def require_shared(folder: str, master: str) -> None:
+    """Refuse a folder of the machine's own disk on a cluster."""
+    if folder.startswith("file:") and not master.startswith("local"):
+        raise ValueError(
+            f"set {CHECKPOINT_SETTING}: the warehouse {folder} is a local folder, which "
+            f"executors of {master} do not share"
+        )
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 
-    Without the setting it is a folder in the warehouse, which is shared as well; no
-    machine-local folder is ever used.
+    Without the setting it is a folder in the warehouse. On a cluster that must not be on a
+    machine's own disk; a folder that the session names is taken as it is.
     """
-    folder = (
-        spark.conf.get(CHECKPOINT_SETTING, None)
-        or spark.sparkContext.getCheckpointDir()
-        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_claimward_scratch"
-    )
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_claimward_scratch"
+        require_shared(folder, spark.sparkContext.master)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -68,3 +68,13 @@ def test_a_batch_id_belongs_to_one_refresh(spark, root):
         tables.claim_batch(spark, root, "20240101_000000")
     with pytest.raises(FileNotFoundError, match="nothing is published"):
         tables.current(spark, root)
+
+
+def test_scratch_on_a_machines_own_disk_is_refused_on_a_cluster():
+    from claimward.session import require_shared
+
+    for folder, master in (("file:/w", "local[4]"), ("file:/w", "local-cluster[2,1,1024]"), ("hdfs://n/w", "yarn")):
+        require_shared(folder, master)
+    for master in ("yarn", "spark://host:7077", "k8s://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            require_shared("file:/w", master)
