@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimward.catalog import business
+from claimward.catalog import business, metric_queries
 from claimward.catalog.metric_queries import RANGE_COLUMNS
 from claimward.catalog.business import doubles
 from claimward.catalog.star_sql import mean
 from claimward.catalog.text_sql import GOLD, RAW, STAGING, day, gap, num, slots
 from claimward.config import CONDITION_FLAGS, PUBLIC_ROW_COUNTS, Expectations
-from claimward.operators import checks, distinct, gold, profile, silver
+from claimward.operators import checks, distinct, gold, lattice, profile, silver
 from claimward.operators.tally import union_all
+from claimward.plans import reports
 from claimward.plans.refresh import gold_from_silver, published_model, refresh
 from claimward.schemas import (
     DATASETS,
@@ -998,6 +999,19 @@ PUBLISHED = GOLD + """
   FROM fact_claims f JOIN dim_provider p USING (provider_key) JOIN dim_beneficiary b USING (beneficiary_key)
   LEFT JOIN dim_geography g ON g.geo_key = f.geo_key)
 """
+AMOUNT_SQL = "CAST(coalesce(sum(claim_reimbursement_amt), 0) AS BIGINT)"
+FRAUD_RATE_SQL = (
+    "coalesce(CAST(count(DISTINCT provider_key) FILTER (WHERE is_potential_fraud) AS DOUBLE)"
+    " / nullif(count(DISTINCT provider_key), 0), 0.0)"
+)
+SLICE = {"region": ["South", "West"], "claim_type": ["Outpatient"], "gender": ["Female"], "fraud_label": ["Not Fraud"]}
+
+
+def asked(sql: str) -> str:
+    """The SQL of a question over the published star."""
+    return RAW + STAGING + PUBLISHED + sql
+
+
 #: Business questions that are also asked of a published batch.
 ASKED = [
     "exe_portfolio", "exe_ip_op_split", "exe_fraud_compare", "exe_top_states", "exe_alerts",
@@ -1043,6 +1057,19 @@ QUERIES |= {
         findings,
         RAW + STAGING + GOLD + as_check_sql([*SILVER_UNIQUE_SQL, *GOLD_UNIQUE_SQL, REJECT_SQL]),
     ),
+    "pub_vis_drill": (over_published(reports.drill), asked(metric_queries.QUERIES["vis_drill"][1])),
+    "pub_vis_filters": (
+        over_published(lambda m: reports.sliced(m, SLICE)),
+        asked(f"""SELECT year_num, month_num, count(*) AS total_claims, {AMOUNT_SQL} AS total_reimbursement,
+          {FRAUD_RATE_SQL} AS fraud_rate,
+          coalesce(CAST({AMOUNT_SQL} AS DOUBLE) / nullif(count(*), 0), 0.0) AS avg_reimbursement_per_claim
+        FROM c WHERE region IN ('South', 'West') AND claim_type = 'Outpatient' AND gender = 'Female'
+          AND fraud_label = 'Not Fraud' GROUP BY ALL"""),
+    ),
+    "pub_met_by_name": (
+        over_published(lambda m: lattice.by_name(m, "Fraud Rate %", ["region", "year_month"])),
+        asked(f"SELECT region, year_month, {FRAUD_RATE_SQL} AS selected_metric FROM c GROUP BY ALL"),
+    ),
     **{
         f"pub_{name}": (
             over_published(business.QUERIES[name][0]),

@@ -23,7 +23,7 @@ class ClaimsModel:
     ``joined("provider", "state")``, or ``claims_with(names)`` for columns chosen at run
     time. Every fact row has its provider and beneficiary (the gold gate sees to that), so
     leaving a join out does not change the rows. ``rollups`` holds stored rollups by name,
-    ``calendar`` the stored days.
+    ``rollup_rows`` their row counts where known, ``calendar`` the stored days.
     """
 
     fact: DataFrame
@@ -32,6 +32,7 @@ class ClaimsModel:
     geography: DataFrame
     rollups: dict[str, DataFrame] = field(default_factory=dict)
     calendar: DataFrame | None = None
+    rollup_rows: dict[str, int] = field(default_factory=dict)
 
     def joined(self, *parts: str) -> DataFrame:
         """The claims with the named dimensions: provider, beneficiary, state."""

@@ -54,6 +54,17 @@ def distinct_counts(bitmaps: DataFrame, by: list[str], sets: dict[str, str]) ->
     return merged.groupBy(*by).agg(*[of(name).alias(name) for name in sets])
 
 
+def with_counts(sums: DataFrame, counted: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """Rows of sums with the distinct counts of the same groups; a missing key is a group too."""
+    if by:
+        same = [sums[c].eqNullSafe(counted[c]) for c in by]
+        return sums.join(counted, same, "left").select(*[sums[c] for c in sums.columns], *names)
+    zero = F.lit(0).cast("bigint")
+    return sums.withColumn("sizes", counted.select(F.struct(*names)).scalar()).select(
+        *sums.columns, *[F.coalesce(F.col("sizes")[name], zero).alias(name) for name in names]
+    )
+
+
 def state_month_keys(model: ClaimsModel) -> DataFrame:
     """The sets of every state and month, beside the rollup of the same grain."""
     placed = with_month(model.joined("beneficiary", "state").withColumns(mapped_state()))
@@ -95,15 +106,7 @@ def range_metrics(
         )
     )
     counted = distinct_counts(in_months(filtered(keys, filters), months), by, SETS)
-    if by:
-        same = [added[c].eqNullSafe(counted[c]) for c in by]
-        both = added.join(counted, same, "left").select(*[added[c] for c in added.columns], *SETS)
-    else:
-        sizes = counted.select(F.struct(*SETS)).scalar()
-        zero = F.lit(0).cast("bigint")
-        both = added.withColumn("sizes", sizes).select(
-            *added.columns, *[F.coalesce(F.col("sizes")[name], zero).alias(name) for name in SETS]
-        )
+    both = with_counts(added, counted, by, list(SETS))
     return both.withColumns(
         {
             "fraud_rate": ratio_or_zero(F.col("fraud_providers"), F.col("unique_providers")),

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimward.config import Expectations
 from claimward.model import ClaimsModel, model_from_gold
-from claimward.operators import checks, distinct, gold, silver
+from claimward.operators import checks, distinct, gold, lattice, silver
 from claimward.operators.tally import ValidationError, require
 from claimward.schemas import DATASETS
 from claimward.sources import lookups, tables
@@ -172,6 +172,7 @@ def refresh(
     star.update(keep("gold", {name: make(star, stg["stg_claims"]) for name, make in ROLLUPS.items()}))
     sets = {distinct.KEY_ROLLUP: distinct.state_month_keys(in_calendar(star))}
     keep("keys", sets)
+    lattice.build(model_from_gold(star), lambda made: keep("lattice", made))
     gate(checks.gold_gate(star))
     _require_match(tables.reconcile(spark, staged, wanted.gold))
 
@@ -194,7 +195,11 @@ def refresh_from_files(
 
 
 def published_model(spark: SparkSession, root: str) -> ClaimsModel:
-    """The model over the current gold tables and key sets, ready for every business query."""
+    """The model over the current gold tables, key sets and grouping sets, ready for every
+    business query."""
     version = tables.latest_version(spark, root)
-    layers = [tables.read_published(spark, root, layer, version) for layer in ("gold", "keys")]
-    return model_from_gold({**layers[0], **layers[1]})
+    stored = {}
+    for layer in ("gold", "keys", "lattice"):
+        stored.update(tables.read_published(spark, root, layer, version))
+    rows = {r.table_name: r.table_rows for r in tables.current(spark, root, version).collect()}
+    return replace(model_from_gold(stored), rollup_rows=rows)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimward.functions.columns import is_inpatient, share
 from claimward.model import MONTH_KEY, PROVIDER, STATE, ClaimsModel, name_months, with_month
+from claimward.operators import lattice
 from claimward.operators.decisions import (
     HIGH_PRIORITY,
     REVIEWED,
@@ -29,10 +30,11 @@ DRILL = ["fraud_label", "claim_type", "region", "age_group"]
 def drill(model: ClaimsModel, filters: Filters | None = None) -> DataFrame:
     """Amount for every drill path over the four attributes.
 
-    Claims are added up per full combination first (a few hundred rows at any scale), and
-    only those rows are repeated for the sixteen grouping sets of the cube.
+    Claims are added up per full combination first (a few hundred rows at any scale, from
+    the smallest stored set that holds them), and only those rows are repeated for the sixteen
+    grouping sets of the cube.
     """
-    combos = metrics(model, ["total_claims", "total_reimbursement"], DRILL, filters)
+    combos = lattice.answer(model, ["total_claims", "total_reimbursement"], DRILL, filters)
     return combos.cube(*DRILL).agg(
         F.grouping_id().alias("grouping_level"),
         F.sum("total_claims").alias("total_claims"),
@@ -246,8 +248,9 @@ def condition_cost(model: ClaimsModel, filters: Filters | None = None) -> DataFr
 
 
 def sliced(model: ClaimsModel, filters: Filters) -> DataFrame:
-    """Headline metrics under any choice of slicer values, per month."""
-    return metrics(
+    """Headline metrics under any choice of slicer values, per month, from a stored set if one
+    holds the chosen columns."""
+    return lattice.answer(
         model,
         ["total_claims", "total_reimbursement", "fraud_rate", "avg_reimbursement_per_claim"],
         ["year_num", "month_num"],
