@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimward.catalog import business, metric_queries
+from claimward.catalog import business
 from claimward.catalog.metric_queries import RANGE_COLUMNS
 from claimward.catalog.business import doubles
 from claimward.catalog.star_sql import mean
@@ -1057,7 +1057,13 @@ QUERIES |= {
         findings,
         RAW + STAGING + GOLD + as_check_sql([*SILVER_UNIQUE_SQL, *GOLD_UNIQUE_SQL, REJECT_SQL]),
     ),
-    "pub_vis_drill": (over_published(reports.drill), asked(metric_queries.QUERIES["vis_drill"][1])),
+    "pub_vis_drill": (
+        over_published(reports.drill),
+        asked(f"""SELECT fraud_label, claim_type, region, age_group,
+          grouping(fraud_label, claim_type, region, age_group) AS grouping_level,
+          count(*) AS total_claims, {AMOUNT_SQL} AS total_reimbursement
+        FROM c GROUP BY CUBE (fraud_label, claim_type, region, age_group)"""),
+    ),
     "pub_vis_filters": (
         over_published(lambda m: reports.sliced(m, SLICE)),
         asked(f"""SELECT year_num, month_num, count(*) AS total_claims, {AMOUNT_SQL} AS total_reimbursement,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,6 +26,8 @@ class RefreshResult:
     batch_id: str
     counts: DataFrame
     findings: DataFrame
+    #: Layers taken from an earlier run of the batch.
+    taken_up: tuple[str, ...] = ()
 
 
 class OnDemand(Mapping):
@@ -102,6 +106,89 @@ def _require_match(report: DataFrame) -> None:
         raise ValidationError("row counts do not match:\n" + "\n".join(lines))
 
 
+def _sources_digest(spark: SparkSession, paths: dict[str, str]) -> str:
+    """Digest of the listing of all source files: names, sizes and times, not contents."""
+    listed = []
+    for name in DATASETS:
+        files = spark.read.format("binaryFile").load(paths[name])
+        one = files.select(F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)").alias("h"))
+        listed.append([name, str(one.agg(F.sum("h")).first()[0])])
+    return json.dumps(listed)
+
+
+class Layers:
+    """The layers of one batch, stored one after the other.
+
+    A layer that passed its gate leaves a manifest: its tables with their content digests,
+    its findings, the terms it passed under and the digest of the layer before. A refresh
+    that takes a batch up again uses a stored layer if source, terms and the layer before are
+    the same and its files still have their digests; from the first that does not fit on,
+    layers are made anew.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, batch: str, source: str | None, strict: bool, resume: bool):
+        self.spark, self.root, self.batch, self.strict = spark, root, batch, strict
+        self.source = source or ""
+        self.attempt = tables.next_attempt(spark, root, batch) if resume else 0
+        tables.claim_batch(spark, root, batch, self.attempt)
+        self.base = tables.latest_version(spark, root)
+        begun = tables.manifests(spark, root, batch, "bronze") if self.attempt else []
+        if begun and begun[0]["base"] != self.base:
+            raise tables.PublishConflict(f"batch {batch} is behind: version {self.base} was published since")
+        self.staged: list[tables.Staged] = []
+        self.found: list[tuple] = []
+        self.taken: list[str] = []
+        self._before = ""
+        self._fits = self.attempt > 0
+
+    def keep(self, layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        stored = {}
+        for name, df in frames.items():
+            by = MONTH_PARTITION if MONTH_PARTITION in df.columns else None
+            done = tables.stage(df, self.root, layer, name, self.batch, by, self.attempt)
+            self.staged.append(done)
+            stored[name] = tables.staged_frame(self.spark, done)
+        return stored
+
+    def gate(self, checked: DataFrame) -> None:
+        """Run the checks once; their rows (one per check) are kept with the batch."""
+        rows = checked.collect()
+        self.found.extend(tuple(row) for row in rows)
+        if self.strict:
+            require(rows)
+
+    def reach(self, name: str, expected: object, make: Callable[[], None]) -> dict[str, DataFrame]:
+        """The tables of a layer, stored earlier or by ``make``, which keeps and gates them."""
+        terms = {"source": self.source, "strict": self.strict, "expected": expected, "before": self._before}
+        first, seen = len(self.staged), len(self.found)
+        old = self._stored(name, terms)
+        if old:
+            self.staged.extend(tables.Staged(**entry) for entry in old["tables"])
+            self.found.extend(tuple(row) for row in old["findings"])
+            self.taken.append(name)
+        else:
+            self._fits = False
+            make()
+        mine = self.staged[first:]
+        entries, findings = [asdict(s) for s in mine], [list(row) for row in self.found[seen:]]
+        record = {"base": self.base, "terms": terms, "tables": entries, "findings": findings}
+        tables.put_manifest(self.spark, self.root, self.batch, self.attempt, name, record)
+        content = sorted((s.layer, s.name, s.rows, s.digest) for s in mine)
+        self._before = hashlib.sha256(json.dumps(content).encode()).hexdigest()
+        return {s.name: tables.staged_frame(self.spark, s) for s in mine}
+
+    def _stored(self, name: str, terms: dict) -> dict | None:
+        if not self._fits:
+            return None
+        wanted = json.loads(json.dumps(terms))
+        for record in tables.manifests(self.spark, self.root, self.batch, name):
+            if record["terms"] == wanted:
+                whole = all(tables.is_intact(self.spark, tables.Staged(**e)) for e in record["tables"])
+                if whole:
+                    return record
+        return None
+
+
 def refresh(
     spark: SparkSession,
     raw: dict[str, DataFrame],
@@ -109,6 +196,8 @@ def refresh(
     batch_id: str | None = None,
     expectations: Expectations | None = None,
     strict: bool = True,
+    resume: bool = False,
+    source: str | None = None,
 ) -> RefreshResult:
     """Stage bronze, silver and gold, check each, and publish all of it at the end.
 
@@ -118,67 +207,63 @@ def refresh(
     findings, stored with the batch; rejected records are stored as they came.
     ``strict=False`` reports critical findings without stopping. If another refresh publishes
     meanwhile, this one raises ``PublishConflict`` and leaves the other's version current.
+
+    With ``resume`` the batch of an earlier run that failed or was killed goes on after the
+    last gate it passed under the same terms; ``source`` tells whether the input is the same.
     """
     batch = batch_id or new_batch_id()
     wanted = expectations or Expectations.none()
-    tables.claim_batch(spark, root, batch)
-    base = tables.latest_version(spark, root)
-    staged: list[tables.Staged] = []
-
-    def keep(layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        stored = {}
-        for name, df in frames.items():
-            by = MONTH_PARTITION if MONTH_PARTITION in df.columns else None
-            done = tables.stage(df, root, layer, name, batch, by)
-            staged.append(done)
-            stored[name] = tables.staged_frame(spark, done)
-        return stored
+    run = Layers(spark, root, batch, source, strict, resume)
+
+    def make_bronze() -> None:
+        stored = run.keep("bronze", {name: raw[name] for name in DATASETS})
+        rejects = run.keep("checks", {"rejects": silver.rejects(stored)})["rejects"]
+        good = {name: silver.well_formed(df) for name, df in stored.items()}
+        run.gate(checks.bronze_all(good, wanted.raw).unionByName(checks.rejected(rejects)))
+        _require_match(tables.reconcile(spark, run.staged, wanted.raw))
+
+    bronze = run.reach("bronze", wanted.raw, make_bronze)
+    bronze = {name: silver.well_formed(bronze[name]) for name in DATASETS}
+
+    def make_silver() -> None:
+        cleaned = {**bronze, "beneficiary": strip_quotes(bronze["beneficiary"])}
+        stored = run.keep("silver", silver.silver(cleaned))
+        run.gate(checks.silver_gate(stored))
+        counts = {k: v for k, v in wanted.silver.items() if k in stored}
+        _require_match(tables.reconcile(spark, run.staged, counts))
+
+    stg = run.reach("silver", wanted.silver, make_silver)
+
+    def make_gold() -> None:
+        dims = run.keep(
+            "gold",
+            {
+                "dim_provider": gold.dim_provider(stg["stg_provider"]),
+                "dim_beneficiary": gold.dim_beneficiary(stg["stg_beneficiary"]),
+                "dim_date": calendar(spark, stg["stg_claims"], wanted.period),
+                "dim_geography": lookups.states(spark),
+            },
+        )
+        fact = gold.fact_claims(
+            stg["stg_claims"], dims["dim_provider"], dims["dim_beneficiary"], dims["dim_geography"]
+        ).withColumn(MONTH_PARTITION, F.floor(F.col("claim_start_date_key") / 100).cast("int"))
+        star = {**dims, **run.keep("gold", {"fact_claims": fact})}
+        star.update(run.keep("gold", {name: make(star, stg["stg_claims"]) for name, make in ROLLUPS.items()}))
+        run.keep("keys", {distinct.KEY_ROLLUP: distinct.state_month_keys(in_calendar(star))})
+        run.gate(checks.gold_gate(star))
+        _require_match(tables.reconcile(spark, run.staged, wanted.gold))
 
-    found: list = []
+    star = run.reach("gold", [wanted.gold, wanted.period], make_gold)
+    model = model_from_gold({name: star[name] for name in [*STAR, *ROLLUPS]})
 
-    def gate(checked: DataFrame) -> None:
-        """Run the checks once; their rows (one per check) are kept with the batch."""
-        rows = checked.collect()
-        found.extend(rows)
-        if strict:
-            require(rows)
+    def make_lattice() -> None:
+        lattice.build(model, lambda made: run.keep("lattice", made))
 
-    bronze = keep("bronze", {name: raw[name] for name in DATASETS})
-    rejects = keep("checks", {"rejects": silver.rejects(bronze)})["rejects"]
-    bronze = {name: silver.well_formed(df) for name, df in bronze.items()}
-    gate(checks.bronze_all(bronze, wanted.raw).unionByName(checks.rejected(rejects)))
-    _require_match(tables.reconcile(spark, staged, wanted.raw))
-
-    cleaned = {**bronze, "beneficiary": strip_quotes(bronze["beneficiary"])}
-    stg = keep("silver", silver.silver(cleaned))
-    gate(checks.silver_gate(stg))
-    _require_match(
-        tables.reconcile(spark, staged, {k: v for k, v in wanted.silver.items() if k in stg})
-    )
+    run.reach("lattice", None, make_lattice)
 
-    dims = keep(
-        "gold",
-        {
-            "dim_provider": gold.dim_provider(stg["stg_provider"]),
-            "dim_beneficiary": gold.dim_beneficiary(stg["stg_beneficiary"]),
-            "dim_date": calendar(spark, stg["stg_claims"], wanted.period),
-            "dim_geography": lookups.states(spark),
-        },
-    )
-    fact = gold.fact_claims(
-        stg["stg_claims"], dims["dim_provider"], dims["dim_beneficiary"], dims["dim_geography"]
-    ).withColumn(MONTH_PARTITION, F.floor(F.col("claim_start_date_key") / 100).cast("int"))
-    star = {**dims, **keep("gold", {"fact_claims": fact})}
-    star.update(keep("gold", {name: make(star, stg["stg_claims"]) for name, make in ROLLUPS.items()}))
-    sets = {distinct.KEY_ROLLUP: distinct.state_month_keys(in_calendar(star))}
-    keep("keys", sets)
-    lattice.build(model_from_gold(star), lambda made: keep("lattice", made))
-    gate(checks.gold_gate(star))
-    _require_match(tables.reconcile(spark, staged, wanted.gold))
-
-    findings = keep("checks", {"findings": spark.createDataFrame(found, FINDINGS)})["findings"]
-    tables.publish(spark, root, staged, base)
-    return RefreshResult(batch, tables.staged_counts(spark, staged), findings)
+    findings = run.keep("checks", {"findings": spark.createDataFrame(run.found, FINDINGS)})["findings"]
+    tables.publish(spark, root, run.staged, run.base)
+    return RefreshResult(batch, tables.staged_counts(spark, run.staged), findings, tuple(run.taken))
 
 
 def refresh_from_files(
@@ -187,11 +272,19 @@ def refresh_from_files(
     root: str,
     expectations: Expectations | None = None,
     strict: bool = True,
+    resume: str | None = None,
 ) -> RefreshResult:
-    """The same from CSV files: all four must exist before anything is read."""
+    """The same from CSV files: all four must exist before anything is read.
+
+    ``resume`` names the batch of an earlier run that is to go on after its last passed gate;
+    source files that have changed since are read anew.
+    """
     source_sizes(spark, paths)
-    batch = new_batch_id()
-    return refresh(spark, read_all(spark, paths, batch), root, batch, expectations, strict)
+    batch = resume or new_batch_id()
+    source = _sources_digest(spark, paths)
+    return refresh(
+        spark, read_all(spark, paths, batch), root, batch, expectations, strict, resume is not None, source
+    )
 
 
 def published_model(spark: SparkSession, root: str) -> ClaimsModel:

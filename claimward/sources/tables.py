@@ -16,7 +16,7 @@ import os
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from claimward.session import materialize
 
@@ -37,35 +37,61 @@ class Staged:
     batch_id: str
     path: str
     rows: int
+    #: Digest of the content, whatever the order of rows and columns.
+    digest: str = ""
+
+
+def content_digest(names: list[str]) -> Column:
+    """Sum of row hashes as text; it adds up inside the tasks and does not depend on order.
+
+    A missing value counts by its place, since the hash alone passes over it.
+    """
+    names = sorted(names)
+    row = F.xxhash64(*names, *[F.col(c).isNull() for c in names])
+    return F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)).cast("string")
 
 
 def stage(
-    df: DataFrame, root: str, layer: str, name: str, batch_id: str, partition_by: str | None = None
+    df: DataFrame, root: str, layer: str, name: str, batch_id: str, partition_by: str | None = None, attempt: int = 0
 ) -> Staged:
     """Write one table and verify that every row arrived.
 
-    Rows are counted while they are written; the stored files are counted again.
+    Rows are counted and their content digested while they are written; the stored files
+    are counted again. A batch that is taken up again writes to folders of its own.
     """
     path = f"{root.rstrip('/')}/{layer}/{name}/batch={batch_id}"
+    if attempt:
+        path += f"-again{attempt}"
     seen = Observation(f"{layer}_{name}")
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        # adaptive execution splits a month that holds most rows and merges small ones
-        writer = counted.hint("rebalance", partition_by).write.partitionBy(partition_by)
-    else:
-        writer = counted.write
+    # adaptive execution splits a month that holds most rows and merges small ones; rows are
+    # counted behind that shuffle, in the writing tasks, so a task run again counts once
+    spread = df.hint("rebalance", partition_by) if partition_by else df
+    counted = spread.observe(
+        seen, F.count(F.lit(1)).alias("rows"), content_digest(df.columns).alias("digest")
+    )
+    writer = counted.write.partitionBy(partition_by) if partition_by else counted.write
     writer.mode("overwrite").parquet(path)
     written = seen.get["rows"]
     stored = df.sparkSession.read.schema(df.schema).parquet(path).count()
     if stored != written:
         raise RuntimeError(f"{layer}.{name}: wrote {written} rows, found {stored}")
-    return Staged(layer, name, batch_id, path, stored)
+    return Staged(layer, name, batch_id, path, stored, seen.get["digest"])
 
 
 def staged_frame(spark: SparkSession, staged: Staged) -> DataFrame:
     return spark.read.option("basePath", staged.path).parquet(staged.path)
 
 
+def is_intact(spark: SparkSession, staged: Staged) -> bool:
+    """Whether the stored files still hold the rows that were written."""
+    store, place = _store(spark, staged.path)
+    if not store.exists(place):
+        return False
+    df = staged_frame(spark, staged)
+    row = df.agg(F.count(F.lit(1)).alias("rows"), content_digest(df.columns).alias("digest")).first()
+    return (row.rows, row.digest) == (staged.rows, staged.digest)
+
+
 def staged_counts(spark: SparkSession, staged: list[Staged]) -> DataFrame:
     rows = [(s.layer, s.name, s.rows) for s in staged]
     return spark.createDataFrame(rows, "layer string, table_name string, rows_written bigint")
@@ -129,10 +155,48 @@ def put_if_absent(spark: SparkSession, path: str, content: str) -> bool:
     return bool(done)
 
 
-def claim_batch(spark: SparkSession, root: str, batch_id: str) -> None:
-    """Take a batch id for one refresh; ids have the grain of a second."""
-    if not put_if_absent(spark, f"{root.rstrip('/')}/_batches/{batch_id}", uuid.uuid4().hex):
-        raise PublishConflict(f"batch {batch_id} belongs to another refresh")
+def _batch_path(root: str, batch_id: str) -> str:
+    return f"{root.rstrip('/')}/_batches/{batch_id}"
+
+
+def claim_batch(spark: SparkSession, root: str, batch_id: str, attempt: int = 0) -> None:
+    """Take a batch id, or an attempt at it, for one refresh; ids have the grain of a second."""
+    suffix = f"-again{attempt}" if attempt else ""
+    if not put_if_absent(spark, _batch_path(root, batch_id) + suffix, uuid.uuid4().hex):
+        raise PublishConflict(f"batch {batch_id}{suffix} belongs to another refresh")
+
+
+def next_attempt(spark: SparkSession, root: str, batch_id: str) -> int:
+    """Number of the next attempt at a batch; 0 if nobody has begun it."""
+    attempt = 0
+    while True:
+        store, place = _store(spark, _batch_path(root, batch_id) + (f"-again{attempt}" if attempt else ""))
+        if not store.exists(place):
+            return attempt
+        attempt += 1
+
+
+def put_manifest(
+    spark: SparkSession, root: str, batch_id: str, attempt: int, layer: str, content: dict
+) -> None:
+    """Record that a layer of an attempt has passed its gate."""
+    path = f"{_batch_path(root, batch_id)}.passed/{layer}-{attempt}.json"
+    if not put_if_absent(spark, path, json.dumps(content)):
+        raise PublishConflict(f"{path} was written by another refresh")
+
+
+def manifests(spark: SparkSession, root: str, batch_id: str, layer: str) -> list[dict]:
+    """Records of a layer of a batch, those of the newest attempt first."""
+    store, place = _store(spark, f"{_batch_path(root, batch_id)}.passed")
+    if not store.exists(place):
+        return []
+    found = {}
+    for name in [f.getPath().getName() for f in store.listStatus(place)]:
+        kind, _, number = name.removesuffix(".json").rpartition("-")
+        if kind == layer and name.endswith(".json"):
+            found[int(number)] = f"{_batch_path(root, batch_id)}.passed/{name}"
+    texts = [spark.read.text(found[n], wholetext=True).first() for n in sorted(found, reverse=True)]
+    return [json.loads(row.value) for row in texts]
 
 
 def _version_path(root: str, version: int) -> str:
@@ -163,6 +227,7 @@ def publish(spark: SparkSession, root: str, staged: list[Staged], base: int | No
     for s in staged:
         entry = asdict(s)
         entry["table_name"], entry["table_rows"] = entry.pop("name"), entry.pop("rows")
+        del entry["digest"]
         entries[s.layer, s.name] = entry | {"published_at": now}
     lines = "".join(json.dumps(e) + "\n" for e in entries.values())
     if not put_if_absent(spark, _version_path(root, base + 1), lines):
@@ -196,10 +261,15 @@ __all__ = [
     "PublishConflict",
     "Staged",
     "claim_batch",
+    "content_digest",
     "current",
+    "is_intact",
     "latest_version",
+    "manifests",
     "materialize",
+    "next_attempt",
     "publish",
+    "put_manifest",
     "read_published",
     "reconcile",
     "stage",
