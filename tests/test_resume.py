@@ -1,15 +1,12 @@
 """A refresh that failed goes on after the last gate it passed."""
 
 import glob
-import os
 
 import pytest
 from test_intake import files  # noqa: F401
 from test_refresh import sources
 
-from claimward.config import Expectations
-from claimward.operators import gold, silver
-from claimward.operators.tally import ValidationError
+from claimward.operators import gold
 from claimward.plans import refresh
 from claimward.sources import tables
 from claimward.sources.text import read_all
@@ -74,42 +71,65 @@ def test_a_killed_run_goes_on_and_equals_a_fresh_one(spark, files, tmp_path, mon
         refresh.refresh(spark, Unread(), root, BATCH, resume=True)
 
 
-def test_terms_files_and_sources_decide_what_is_taken_up(spark, files, tmp_path, monkeypatch):  # noqa: F811
-    root, given = str(tmp_path / "warehouse"), sources(files)
-    wrong = Expectations(raw={"provider": 2}, gold={"fact_claims": 99})
-    right = Expectations(raw={"provider": 2}, gold={"fact_claims": 4})
-    with pytest.raises(ValidationError, match="row counts"):
-        refresh.refresh_from_files(spark, given, root, wrong)
-    (batch,) = [n for n in os.listdir(f"{root}/_batches") if "." not in n]
-
-    # a stored file that lost rows: its layer and those behind it are made again
-    path = f"{root}/silver/stg_provider/batch={batch}"
-    spark.createDataFrame([("P9", "No", False)], "provider_id string, fraud_label string, x boolean").write.mode(
-        "append"
-    ).parquet(path)
-    seen = []
-    make = silver.silver
-    monkeypatch.setattr(silver, "silver", lambda frames: seen.append(1) or make(frames))
-    with pytest.raises(ValidationError, match="row counts"):
-        refresh.refresh_from_files(spark, given, root, wrong, resume=batch)
-    assert seen == [1]
-    # a third attempt takes the silver layer of the second; the gold layer has new terms
-    again = refresh.refresh_from_files(spark, given, root, right, resume=batch)
-    assert again.taken_up == ("bronze", "silver") and seen == [1]
-    assert again.batch_id == batch and tables.latest_version(spark, root) == 1
-
-
-def test_changed_sources_are_read_anew(spark, files, tmp_path, monkeypatch):  # noqa: F811
-    root, given = str(tmp_path / "warehouse"), sources(files)
-    killed_in(monkeypatch, gold, "fact_claims", lambda: refresh.refresh_from_files(spark, given, root))
-    (batch,) = [n for n in os.listdir(f"{root}/_batches") if "." not in n]
-    plain = glob.glob(given["provider"])[0]
-    with open(plain, "a", encoding="utf-8") as out:
+def layers(spark, root, made, source="s", expected=None, stop=None, **more):
+    """Three small layers, each a table over the one before; ``made`` notes which are built."""
+    run = refresh.Layers(spark, root, BATCH, source, True, **{"resume": True, **more})
+    value = 1
+    for name in ("bronze", "silver", "gold"):
+
+        def make(name=name, value=value):
+            made.append(name)
+            if name == stop:
+                raise Killed
+            run.keep(name, {name: spark.range(value, value + 5).selectExpr("id", "'x' AS at")})
+            run.found.append((name, "check", value, "warning", True))
+
+        frames = run.reach(name, (expected or {}).get(name), make)
+        value = frames[name].agg({"id": "max"}).first()[0]
+    return run
+
+
+def test_layers_that_passed_are_taken_up(spark, tmp_path):
+    root, made = str(tmp_path / "w"), []
+    with pytest.raises(Killed):
+        layers(spark, root, made, stop="gold", resume=False)
+    run = layers(spark, root, made)
+    assert run.taken == ["bronze", "silver"] and made == ["bronze", "silver", "gold", "gold"]
+    assert [f[0] for f in run.found] == ["bronze", "silver", "gold"]
+    assert [s.path.rpartition("/")[2] for s in run.staged] == [f"batch={BATCH}"] * 2 + [f"batch={BATCH}-again1"]
+    assert layers(spark, root, made).taken == ["bronze", "silver", "gold"]
+
+
+def test_terms_sources_and_stored_files_decide(spark, tmp_path):
+    root, made = str(tmp_path / "w"), []
+    layers(spark, root, made, resume=False)
+    assert layers(spark, root, made, expected={"silver": {"silver": 5}}).taken == ["bronze"]
+    assert layers(spark, root, made, source="other").taken == []
+    # rows that came to a stored table: its layer and those behind it are made again
+    spark.createDataFrame([(77, "x")], "id bigint, at string").write.mode("append").parquet(
+        f"{root}/silver/silver/batch={BATCH}"
+    )
+    assert layers(spark, root, made).taken == ["bronze"]
+    assert layers(spark, root, made).taken == ["bronze", "silver", "gold"]  # those just made
+
+
+def test_a_batch_older_than_the_published_version_stays_behind(spark, tmp_path):
+    root, made = str(tmp_path / "w"), []
+    with pytest.raises(Killed):
+        layers(spark, root, made, stop="gold", resume=False)
+    other = tables.stage(spark.range(3), root, "gold", "gold", "other")
+    tables.publish(spark, root, [other])
+    with pytest.raises(tables.PublishConflict, match="published since"):
+        layers(spark, root, made)
+
+
+def test_changed_files_have_another_digest(spark, files, tmp_path):  # noqa: F811
+    given = sources(files)
+    before = refresh._sources_digest(spark, given)
+    assert refresh._sources_digest(spark, given) == before
+    with open(glob.glob(given["provider"])[0], "a", encoding="utf-8") as out:
         out.write("P3,No\n")
-    result = refresh.refresh_from_files(spark, given, root, resume=batch)
-    assert result.taken_up == ()
-    counts = {r.table_name: r.rows_written for r in result.counts.collect()}
-    assert counts["provider"] == 3 and counts["dim_provider"] == 3
+    assert refresh._sources_digest(spark, given) != before
 
 
 def test_digests_see_rows_and_places_but_no_order(spark):
