@@ -15,6 +15,27 @@ PROVIDER = ["provider_id", "fraud_label", "is_potential_fraud"]
 STATE = ["state_name", "state_abbr", "region"]
 
 
+@dataclass(frozen=True)
+class Colocated:
+    """The claims stored a second time, for joins with their beneficiaries.
+
+    ``claims`` and ``people`` lie in the same buckets of the beneficiary, so their join moves
+    no row. Claims of beneficiaries that would overfill a bucket are kept apart, in
+    ``hot_claims``, spread over files; these beneficiaries are fewer than there are buckets,
+    so ``hot_people`` can be sent to every task.
+    """
+
+    claims: DataFrame
+    people: DataFrame
+    hot_claims: DataFrame
+    hot_people: DataFrame
+
+    def joined(self) -> DataFrame:
+        rest = self.claims.join(self.people, "beneficiary_key")
+        hot = self.hot_claims.join(F.broadcast(self.hot_people), "beneficiary_key")
+        return with_start_date(rest.unionByName(hot))
+
+
 @dataclass(frozen=True)
 class ClaimsModel:
     """Claims and their dimensions, kept apart.
@@ -23,7 +44,8 @@ class ClaimsModel:
     ``joined("provider", "state")``, or ``claims_with(names)`` for columns chosen at run
     time. Every fact row has its provider and beneficiary (the gold gate sees to that), so
     leaving a join out does not change the rows. ``rollups`` holds stored rollups by name,
-    ``rollup_rows`` their row counts where known, ``calendar`` the stored days.
+    ``rollup_rows`` their row counts where known, ``calendar`` the stored days, ``colocated``
+    the claims and beneficiaries as stored for joins between them.
     """
 
     fact: DataFrame
@@ -33,6 +55,7 @@ class ClaimsModel:
     rollups: dict[str, DataFrame] = field(default_factory=dict)
     calendar: DataFrame | None = None
     rollup_rows: dict[str, int] = field(default_factory=dict)
+    colocated: Colocated | None = None
 
     def joined(self, *parts: str) -> DataFrame:
         """The claims with the named dimensions: provider, beneficiary, state."""
@@ -40,10 +63,13 @@ class ClaimsModel:
         if unknown:
             raise ValueError(f"unknown dimensions {sorted(unknown)}")
         rows = self.fact
+        with_people = "beneficiary" in parts and self.colocated is not None
+        if with_people:
+            rows = self.colocated.joined()
         if "provider" in parts:
             both = [c for c in self.providers.columns if c in rows.columns and c != "provider_key"]
             rows = rows.join(self.providers.drop(*both), "provider_key")
-        if "beneficiary" in parts:
+        if "beneficiary" in parts and not with_people:
             rows = rows.join(self.beneficiaries, "beneficiary_key")
         if "state" in parts:
             if "geo_key" in rows.columns:
@@ -91,13 +117,16 @@ def name_months(df: DataFrame) -> DataFrame:
     )
 
 
-def model_from_gold(tables: dict[str, DataFrame]) -> ClaimsModel:
-    """The model over stored gold tables, joined by surrogate key."""
-    fact = tables["fact_claims"].withColumn(
+def with_start_date(fact: DataFrame) -> DataFrame:
+    return fact.withColumn(
         "claim_start_date", F.to_date(F.col("claim_start_date_key").cast("string"), "yyyyMMdd")
     )
+
+
+def model_from_gold(tables: dict[str, DataFrame]) -> ClaimsModel:
+    """The model over stored gold tables, joined by surrogate key."""
     return ClaimsModel(
-        fact,
+        with_start_date(tables["fact_claims"]),
         tables["dim_provider"],
         tables["dim_beneficiary"],
         tables["dim_geography"],
@@ -108,6 +137,7 @@ def model_from_gold(tables: dict[str, DataFrame]) -> ClaimsModel:
 
 __all__ = [
     "ClaimsModel",
+    "Colocated",
     "MONTH",
     "MONTH_KEY",
     "PROVIDER",
@@ -116,4 +146,5 @@ __all__ = [
     "model_from_gold",
     "name_months",
     "with_month",
+    "with_start_date",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimward.config import Expectations
 from claimward.model import ClaimsModel, model_from_gold
-from claimward.operators import checks, distinct, gold, lattice, silver
+from claimward.operators import checks, colocation, distinct, gold, lattice, silver
 from claimward.operators.tally import ValidationError, require
 from claimward.schemas import DATASETS
 from claimward.sources import lookups, tables
@@ -141,15 +141,21 @@ class Layers:
         self._before = ""
         self._fits = self.attempt > 0
 
-    def keep(self, layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    def keep(
+        self, layer: str, frames: dict[str, DataFrame], buckets: tables.Buckets | None = None
+    ) -> dict[str, DataFrame]:
         stored = {}
         for name, df in frames.items():
             by = MONTH_PARTITION if MONTH_PARTITION in df.columns else None
-            done = tables.stage(df, self.root, layer, name, self.batch, by, self.attempt)
+            done = tables.stage(df, self.root, layer, name, self.batch, by, self.attempt, buckets)
             self.staged.append(done)
             stored[name] = tables.staged_frame(self.spark, done)
         return stored
 
+    def staged_as(self, name: str) -> tables.Staged:
+        """The newest staged table of a name."""
+        return next(s for s in reversed(self.staged) if s.name == name)
+
     def gate(self, checked: DataFrame) -> None:
         """Run the checks once; their rows (one per check) are kept with the batch."""
         rows = checked.collect()
@@ -261,6 +267,19 @@ def refresh(
 
     run.reach("lattice", None, make_lattice)
 
+    def make_colocated() -> None:
+        fact = run.staged_as("fact_claims")
+        number = colocation.bucket_number(spark, fact.rows)
+        colocation.build(
+            star["fact_claims"], star["dim_beneficiary"], fact.rows, number,
+            lambda made, buckets: run.keep("colocated", made, buckets),
+        )
+        parts = [run.staged_as(name) for name in (colocation.CLAIMS, colocation.HOT_CLAIMS)]
+        if sum(int(s.digest) for s in parts) != int(fact.digest):
+            raise ValidationError("claims stored by beneficiary differ from fact_claims")
+
+    run.reach("colocated", None, make_colocated)
+
     findings = run.keep("checks", {"findings": spark.createDataFrame(run.found, FINDINGS)})["findings"]
     tables.publish(spark, root, run.staged, run.base)
     return RefreshResult(batch, tables.staged_counts(spark, run.staged), findings, tuple(run.taken))
@@ -288,11 +307,12 @@ def refresh_from_files(
 
 
 def published_model(spark: SparkSession, root: str) -> ClaimsModel:
-    """The model over the current gold tables, key sets and grouping sets, ready for every
-    business query."""
+    """The model over the current gold tables, key sets, grouping sets and co-located tables,
+    ready for every business query."""
     version = tables.latest_version(spark, root)
     stored = {}
     for layer in ("gold", "keys", "lattice"):
         stored.update(tables.read_published(spark, root, layer, version))
     rows = {r.table_name: r.table_rows for r in tables.current(spark, root, version).collect()}
-    return replace(model_from_gold(stored), rollup_rows=rows)
+    pair = colocation.colocated(tables.read_published(spark, root, "colocated", version))
+    return replace(model_from_gold(stored), rollup_rows=rows, colocated=pair)

@@ -11,18 +11,19 @@ for all tables. A failure at any point leaves the previous version in place.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import os
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from claimward.session import materialize
 
 VERSION_SCHEMA = (
     "layer string, table_name string, batch_id string, path string, table_rows bigint, "
-    "published_at timestamp"
+    "published_at timestamp, columns string, partition_key string, bucket_key string, buckets int"
 )
 
 
@@ -39,6 +40,24 @@ class Staged:
     rows: int
     #: Digest of the content, whatever the order of rows and columns.
     digest: str = ""
+    #: Names and types, so that tables without rows can be read too.
+    columns: str = ""
+    partition_key: str = ""
+    #: Key and number of the buckets the rows are stored in; none if 0.
+    bucket_key: str = ""
+    buckets: int = 0
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """How a table is stored in buckets: rows of equal ``key`` share one of ``number``."""
+
+    key: str
+    number: int
+
+
+def columns_of(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def content_digest(names: list[str]) -> Column:
@@ -52,12 +71,20 @@ def content_digest(names: list[str]) -> Column:
 
 
 def stage(
-    df: DataFrame, root: str, layer: str, name: str, batch_id: str, partition_by: str | None = None, attempt: int = 0
+    df: DataFrame,
+    root: str,
+    layer: str,
+    name: str,
+    batch_id: str,
+    partition_by: str | None = None,
+    attempt: int = 0,
+    buckets: Buckets | None = None,
 ) -> Staged:
     """Write one table and verify that every row arrived.
 
     Rows are counted and their content digested while they are written; the stored files
-    are counted again. A batch that is taken up again writes to folders of its own.
+    are counted again. A batch that is taken up again writes to folders of its own. Buckets
+    have one file each, in every partition where there are partitions as well.
     """
     path = f"{root.rstrip('/')}/{layer}/{name}/batch={batch_id}"
     if attempt:
@@ -65,21 +92,68 @@ def stage(
     seen = Observation(f"{layer}_{name}")
     # adaptive execution splits a month that holds most rows and merges small ones; rows are
     # counted behind that shuffle, in the writing tasks, so a task run again counts once
-    spread = df.hint("rebalance", partition_by) if partition_by else df
+    if buckets:
+        spread = df.repartition(buckets.number, buckets.key)
+    else:
+        spread = df.hint("rebalance", partition_by) if partition_by else df
     counted = spread.observe(
         seen, F.count(F.lit(1)).alias("rows"), content_digest(df.columns).alias("digest")
     )
-    writer = counted.write.partitionBy(partition_by) if partition_by else counted.write
-    writer.mode("overwrite").parquet(path)
+    places = {"columns": columns_of(df), "partition_key": partition_by or ""}
+    if buckets:
+        places |= {"bucket_key": buckets.key, "buckets": buckets.number}
+        table = declare_buckets(df.sparkSession, path, **places)
+        order = [c for c in df.columns if c != partition_by] + [partition_by] * bool(partition_by)
+        counted.select(*order).write.insertInto(table, overwrite=True)
+    else:
+        writer = counted.write.partitionBy(partition_by) if partition_by else counted.write
+        writer.mode("overwrite").parquet(path)
     written = seen.get["rows"]
     stored = df.sparkSession.read.schema(df.schema).parquet(path).count()
     if stored != written:
         raise RuntimeError(f"{layer}.{name}: wrote {written} rows, found {stored}")
-    return Staged(layer, name, batch_id, path, stored, seen.get["digest"])
+    return Staged(layer, name, batch_id, path, stored, seen.get["digest"], **places)
+
+
+def declare_buckets(
+    spark: SparkSession, path: str, columns: str, partition_key: str, bucket_key: str, buckets: int
+) -> str:
+    """Name of a table in the session's catalog over files that are stored in buckets.
+
+    Files alone do not tell how they are bucketed, so every session declares the table before
+    it writes or reads it. The name follows from the path and the layout.
+    """
+    told = json.dumps([path, columns, partition_key, bucket_key, buckets])
+    name = f"claimward_{hashlib.sha256(told.encode()).hexdigest()[:24]}"
+    if not spark.catalog.tableExists(name):
+        by = f"PARTITIONED BY (`{partition_key}`)" if partition_key else ""
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} "
+            f"CLUSTERED BY (`{bucket_key}`) INTO {buckets} BUCKETS LOCATION '{place}'"
+        )
+        store, folder = _store(spark, path)
+        if by and store.exists(folder):
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return name
+
+
+def files_of(spark: SparkSession, path: str, columns: str | None) -> DataFrame:
+    """The rows below a path; without given columns their types come from the files."""
+    reader = spark.read.option("basePath", path)
+    return (reader.schema(columns) if columns else reader).parquet(path)
+
+
+def stored_frame(spark: SparkSession, table: Staged | Row) -> DataFrame:
+    """A table as staged or published; buckets are known to the optimizer."""
+    if not table.buckets:
+        return files_of(spark, table.path, table.columns)
+    layout = (table.columns, table.partition_key, table.bucket_key, table.buckets)
+    return spark.table(declare_buckets(spark, table.path, *layout))
 
 
 def staged_frame(spark: SparkSession, staged: Staged) -> DataFrame:
-    return spark.read.option("basePath", staged.path).parquet(staged.path)
+    return stored_frame(spark, staged)
 
 
 def is_intact(spark: SparkSession, staged: Staged) -> bool:
@@ -87,7 +161,7 @@ def is_intact(spark: SparkSession, staged: Staged) -> bool:
     store, place = _store(spark, staged.path)
     if not store.exists(place):
         return False
-    df = staged_frame(spark, staged)
+    df = files_of(spark, staged.path, staged.columns)
     row = df.agg(F.count(F.lit(1)).alias("rows"), content_digest(df.columns).alias("digest")).first()
     return (row.rows, row.digest) == (staged.rows, staged.digest)
 
@@ -248,7 +322,7 @@ def read_published(
 ) -> dict[str, DataFrame]:
     """All tables of a layer as one version has them."""
     entries = current(spark, root, version).filter(F.col("layer") == layer).collect()
-    return {row.table_name: spark.read.parquet(row.path) for row in entries}
+    return {row.table_name: stored_frame(spark, row) for row in entries}
 
 
 def write_report(report: DataFrame, path: str) -> DataFrame:
@@ -258,11 +332,13 @@ def write_report(report: DataFrame, path: str) -> DataFrame:
 
 
 __all__ = [
+    "Buckets",
     "PublishConflict",
     "Staged",
     "claim_batch",
     "content_digest",
     "current",
+    "declare_buckets",
     "is_intact",
     "latest_version",
     "manifests",
@@ -275,5 +351,6 @@ __all__ = [
     "stage",
     "staged_counts",
     "staged_frame",
+    "stored_frame",
     "write_report",
 ]
