@@ -16,8 +16,10 @@ from claimward.model import Colocated
 from claimward.sources.tables import Buckets
 
 KEY = "beneficiary_key"
-CLAIMS, PEOPLE = "claims_by_beneficiary", "beneficiaries_bucketed"
-HOT_CLAIMS, HOT_PEOPLE = "claims_of_hot_beneficiaries", "hot_beneficiaries"
+LAYER = "colocated"
+#: The gold tables of these names in another layout, and the hot keys' rows.
+CLAIMS, PEOPLE = "fact_claims", "dim_beneficiary"
+HOT_CLAIMS, HOT_PEOPLE = "fact_claims_hot", "dim_beneficiary_hot"
 
 #: Claims that one task is meant to join; about half a gigabyte as stored.
 BUCKET_ROWS = 1 << 24

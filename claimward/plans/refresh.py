@@ -152,9 +152,8 @@ class Layers:
             stored[name] = tables.staged_frame(self.spark, done)
         return stored
 
-    def staged_as(self, name: str) -> tables.Staged:
-        """The newest staged table of a name."""
-        return next(s for s in reversed(self.staged) if s.name == name)
+    def staged_as(self, layer: str, name: str) -> tables.Staged:
+        return next(s for s in self.staged if (s.layer, s.name) == (layer, name))
 
     def gate(self, checked: DataFrame) -> None:
         """Run the checks once; their rows (one per check) are kept with the batch."""
@@ -268,17 +267,17 @@ def refresh(
     run.reach("lattice", None, make_lattice)
 
     def make_colocated() -> None:
-        fact = run.staged_as("fact_claims")
+        fact = run.staged_as("gold", "fact_claims")
         number = colocation.bucket_number(spark, fact.rows)
         colocation.build(
             star["fact_claims"], star["dim_beneficiary"], fact.rows, number,
-            lambda made, buckets: run.keep("colocated", made, buckets),
+            lambda made, buckets: run.keep(colocation.LAYER, made, buckets),
         )
-        parts = [run.staged_as(name) for name in (colocation.CLAIMS, colocation.HOT_CLAIMS)]
+        parts = [run.staged_as(colocation.LAYER, name) for name in (colocation.CLAIMS, colocation.HOT_CLAIMS)]
         if sum(int(s.digest) for s in parts) != int(fact.digest):
             raise ValidationError("claims stored by beneficiary differ from fact_claims")
 
-    run.reach("colocated", None, make_colocated)
+    run.reach(colocation.LAYER, None, make_colocated)
 
     findings = run.keep("checks", {"findings": spark.createDataFrame(run.found, FINDINGS)})["findings"]
     tables.publish(spark, root, run.staged, run.base)
@@ -313,6 +312,7 @@ def published_model(spark: SparkSession, root: str) -> ClaimsModel:
     stored = {}
     for layer in ("gold", "keys", "lattice"):
         stored.update(tables.read_published(spark, root, layer, version))
-    rows = {r.table_name: r.table_rows for r in tables.current(spark, root, version).collect()}
-    pair = colocation.colocated(tables.read_published(spark, root, "colocated", version))
+    entries = tables.current(spark, root, version).collect()  # one row per table
+    rows = {r.table_name: r.table_rows for r in entries if r.layer != colocation.LAYER}
+    pair = colocation.colocated(tables.read_published(spark, root, colocation.LAYER, version))
     return replace(model_from_gold(stored), rollup_rows=rows, colocated=pair)
