@@ -29,18 +29,34 @@ KEY_ROLLUP = "agg_state_monthly_keys"
 def key_bitmaps(rows: DataFrame, by: list[str], sets: dict[str, str]) -> DataFrame:
     """One bitmap per group, set and bucket of keys.
 
-    Bitmaps are built inside each task, so a group with a third of all rows hands on one
-    bitmap per bucket and task. Keys must be positive; the denser they are, the fewer bitmaps.
+    A bitmap has 4 KB however few keys it holds, so it is made only where all of its keys are:
+    what is moved first are pairs of a group and a key, by group, set and bucket. Otherwise a task
+    whose rows are in no order would hand on a bitmap for nearly every row. Adaptive execution
+    splits the rows of a hot group, which then has one bitmap per bucket and slice to merge. Keys
+    must be positive; the denser they are, the fewer bitmaps.
     """
     pairs = F.array(
-        *[F.struct(F.lit(name).alias("set_name"), F.expr(key).cast("bigint").alias("key")) for name, key in sets.items()]
+        *[
+            F.struct(F.lit(place).cast("tinyint").alias("set_no"), F.expr(key).cast("bigint").alias("key"))
+            for place, key in enumerate(sets.values())
+        ]
     )
-    return (
-        rows.select(*by, F.inline(pairs))
-        .filter(F.col("key").isNotNull())
-        .groupBy(*by, "set_name", F.bitmap_bucket_number("key").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("keys"))
+    places = rows.select(*by, F.inline(pairs)).filter(F.col("key").isNotNull()).select(
+        *by,
+        "set_no",
+        F.bitmap_bucket_number("key").alias("bucket"),
+        F.bitmap_bit_position("key").cast("smallint").alias("place"),
     )
+    # by a hash of the columns: by the columns themselves the rows would count as gathered for
+    # the aggregate, and a hot group could not be split
+    made = (
+        places.withColumn("slot", F.hash(*by, "set_no", "bucket"))
+        .hint("rebalance", "slot")
+        .groupBy(*by, "set_no", "bucket")
+        .agg(F.bitmap_construct_agg(F.col("place").cast("bigint")).alias("keys"))
+    )
+    names = F.array(*[F.lit(name) for name in sets])
+    return made.select(*by, names[F.col("set_no")].alias("set_name"), "bucket", "keys")
 
 
 def distinct_counts(bitmaps: DataFrame, by: list[str], sets: dict[str, str]) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 from itertools import product
 
 import pytest
+from pyspark.sql import functions as F
 
 from claimward.operators import distinct
 from claimward.plans import refresh
@@ -33,6 +34,18 @@ def test_sets_add_up_over_any_groups(spark):
     assert (picked.a, picked.b) == (len({x[2] for x in part} - {None}), len({x[3] for x in part if x[4]}))
 
 
+def test_bitmaps_are_made_where_their_keys_are(spark):
+    """Tasks over rows in no order would each make a bitmap of 4 KB for nearly every row."""
+    rows = spark.range(0, 6000, 1, 8).selectExpr("id % 1500 as g", "id * 7919 % 90000 as a", "id as b", "true as flag")
+    bitmaps = distinct.key_bitmaps(rows, ["g"], SETS)
+    sizes = bitmaps.groupBy("g", "set_name").agg(F.sum(F.bitmap_count("keys")).alias("n"))
+    found = {(r.g, r.set_name): r.n for r in sizes.collect()}
+    assert found == {(g, name): 4 for g in range(1500) for name in SETS}
+    plan = bitmaps._jdf.queryExecution().executedPlan().toString()
+    merged, made = plan.split("partial_bitmap_construct_agg")
+    assert "Exchange" in merged and "REBALANCE_PARTITIONS_BY_COL" in made
+
+
 def test_no_rows_and_unknown_columns(spark, star_model):
     empty = spark.createDataFrame([], "g string, a bigint, b bigint, flag boolean")
     bitmaps = distinct.key_bitmaps(empty, ["g"], SETS)
