@@ -36,6 +36,15 @@ def build_session(app_name: str = "claimward", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def short_methods(spark: SparkSession) -> None:
+    """Generate code operator by operator where that of a whole stage passes 8000 bytes.
+
+    The JVM never compiles a longer method unless it was started as ``build_session`` asks for,
+    so in sessions of others projections of thirty text columns would run interpreted.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def require_shared(folder: str, master: str) -> None:
     """Refuse a folder of the machine's own disk on a cluster."""
     if folder.startswith("file:") and not master.startswith("local"):

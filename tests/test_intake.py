@@ -4,6 +4,7 @@ import pytest
 from conftest import as_dict, day
 from pyspark.sql import functions as F
 
+from claimward.catalog import intake
 from claimward.operators import checks, profile, silver
 from claimward.operators.tally import ValidationError, enforce
 from claimward.schemas import DATASETS, RAW_COLUMNS
@@ -168,3 +169,10 @@ def test_orphans_count_every_row_of_a_hot_missing_key(spark):
     child = spark.range(90).select(F.when(F.col("id") < 60, "lost").otherwise("known").alias("k"))
     parent = spark.createDataFrame([("known",), ("known",)], "k string")
     assert orphan_rows(child, "k", parent, "k").collect()[0].issue_count == 60
+
+
+def test_text_queries_ask_for_methods_the_jvm_compiles(spark):
+    """A whole stage over thirty text columns is longer than the 8000 bytes the JVM compiles."""
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    intake.raw(spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
