@@ -13,13 +13,16 @@ ordered by text. A null id sorts first. Extra columns are left out.
 
 from __future__ import annotations
 
+import codecs
 import json
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import xxhash
 import zstandard
@@ -34,7 +37,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 FRAME_TOKENS = 1 << 16
 LEVEL = 3
-#: Words whose ids a Python worker keeps before it starts anew.
+#: Words whose ids a Python worker keeps before it begins a new memory; it also keeps the one before.
 KNOWN_WORDS = 400_000
 #: Bytes of text encoded at once.
 PIECE_BYTES = 4 << 20
@@ -54,6 +57,35 @@ AT_ONCE = 500
 #: Closing marks that a word may be cut before: no rule of the tokenizer joins them to a letter.
 CLOSING = b".,!?|$%&*#;:"
 _PLAIN_END = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+
+#: What a tokenizer does before its merges, if words as in ``_SIMPLE`` go to the merges as they are.
+_PREPARED = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+#: Parts of a model that the merges are made of; others must be off.
+_GIVEN = {"type", "vocab", "merges", "end_of_word_suffix"}
+#: Lower-case letters of Latin-1, which no normalizer changes, and closing marks; one word a line.
+_SIMPLE = re.compile(r"^(?:([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,!?|$%&*#;:]*)|[^\n]*)$", re.MULTILINE)
 _workers: dict[str, "Encoder"] = {}
 
 
@@ -63,7 +95,9 @@ class Encoder:
     The tokenizer cuts at white space and lowers case before anything else, so the ids of
     a text are those of its words in order, and ASCII capitals do not matter. Unknown words
     go to the tokenizer library, many in one call; end-of-word ids (for words of letters only)
-    or offsets tell which ids belong to which.
+    or offsets tell which ids belong to which. Lower-case Latin letters with closing marks are one or
+    two pieces that normalizing and cutting leave as they are, so where the tokenizer prepares its
+    text as in ``_PREPARED`` they go to its merges, spelled in its alphabet of bytes, without those steps.
     Special tokens are matched before case is lowered, so texts with ``<|`` keep theirs.
     """
 
@@ -76,9 +110,33 @@ class Encoder:
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends_word[number] = bool(self.suffix) and token.endswith(self.suffix)
-        self.known: dict[bytes, bytes] = {}
+        self.merges = self._merges()
+        self.known: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
+    def _merges(self):
+        """The tokenizer without the steps before its merges; None if those steps are others."""
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        parts = json.loads(self.tokenizer.to_str())
+        model = parts["model"]
+        if not self.suffix or any(parts[name] != told for name, told in _PREPARED.items()):
+            return None
+        if model["type"] != "BPE" or any(v for k, v in model.items() if k not in _GIVEN):
+            return None
+        merges = [tuple(pair) for pair in model["merges"]]
+        # no word comes twice, so nothing is kept
+        bare = Tokenizer(models.BPE(model["vocab"], merges, cache_capacity=0, end_of_word_suffix=self.suffix))
+        bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        # the alphabet of bytes: visible ones stand for themselves, the others follow after 255
+        shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        later = iter(range(256, 512))
+        spelled = [chr(b) if b in shown else chr(next(later)) for b in range(256)]
+        spelled[0x20] = " "
+        self.alphabet = "".join(spelled)
+        return bare
+
     @classmethod
     def of(cls, path: str) -> "Encoder":
         if path not in _workers:
@@ -87,14 +145,50 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        whole = pa.array(texts, pa.binary()).cast(pa.string())
+        lowered = pc.if_else(pc.match_substring(whole, "<|"), whole, pc.ascii_lower(whole))
+        split = pc.ascii_split_whitespace(lowered)
+        counted = split.flatten().dictionary_encode()
+        words = counted.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > KNOWN_WORDS:
-            self.known, self.stems = {}, {}
-        self._learn(set().union(*split).difference(self.known) if split else set())
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
-
-    def _learn(self, words: set[bytes]) -> None:
+            self.older, self.known, self.stems = self.known, {b"": b""}, {}
+        new = [word for word in words if word not in self.known]
+        again = [word for word in new if word in self.older]
+        if again:
+            self.known.update(zip(again, map(self.older.__getitem__, again)))
+            new = [word for word in new if word not in self.older]
+        self._learn(self._learn_simple(new) if self.merges else new)
+        found = pa.array(list(map(self.known.__getitem__, words)), pa.large_binary())
+        _, ends, ids = found.take(counted.indices).buffers()
+        # at the ends of texts; a gather keeps the order of words
+        bounds = np.frombuffer(ends, np.int64)[split.offsets.to_numpy()].tolist()
+        ids = memoryview(ids or b"")
+        return [bytes(ids[low:high]) for low, high in zip(bounds, bounds[1:])]
+
+    def _learn_simple(self, words: list[bytes]) -> list[bytes]:
+        """Learn the words that need the merges only; returns the others."""
+        rest = []
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at : at + AT_ONCE]
+            found = _SIMPLE.findall(b"\n".join(some).decode("utf-8"))
+            simple = [word for word, (stem, _) in zip(some, found) if stem]
+            if len(simple) < len(some):
+                rest += [word for word, (stem, _) in zip(some, found) if not stem]
+                found = [pair for pair in found if pair[0]]
+            pieces = " ".join([stem + " " + marks if marks else stem for stem, marks in found])
+            if not pieces.isascii():
+                pieces = codecs.charmap_decode(pieces.encode("utf-8"), "strict", self.alphabet)[0]
+            ids = np.array(self.merges.encode_batch_fast([pieces], add_special_tokens=False)[0].ids, "<u4")
+            bounds = np.flatnonzero(self.ends_word[ids]) + 1
+            last = np.cumsum([2 if marks else 1 for _, marks in found], dtype=np.int64) - 1
+            if len(bounds) != (last[-1] + 1 if found else 0):
+                rest += simple
+                continue
+            raw, highs = ids.tobytes(), (bounds[last] * 4).tolist()
+            self.known.update(zip(simple, [raw[low:high] for low, high in zip([0, *highs], highs)]))
+        return rest
+
+    def _learn(self, words: Iterable[bytes]) -> None:
         cut = {}
         for word in words:
             stem = word.rstrip(CLOSING)

@@ -107,6 +107,18 @@ def test_encoder_equals_the_library_on_any_text(texts):
     assert found == expected_ids(texts)
 
 
+def test_simple_words_go_to_the_merges_and_are_remembered(monkeypatch):
+    encoder = tokens.Encoder(tokens.VOCABULARY)
+    encoder.tokenizer = None  # normalizing and cutting are not needed for these
+    texts = ["The caf\u00e9 \u00f6ffnet um,", "word.,!! \u00fcber|$%&*#;: straße\n\nx", " a  A\t", "zzqxy" * 400]
+    found = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode([t.encode() for t in texts])]
+    assert found == expected_ids(texts)
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 0)
+    encoder.merges = None  # a new memory is begun, and the one before still answers
+    found = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode([t.encode() for t in texts])]
+    assert found == expected_ids(texts)
+
+
 def check_ids(rows, texts):
     at = 0
     for r, ids in zip(rows, expected_ids(texts)):
