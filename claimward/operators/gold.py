@@ -158,7 +158,6 @@ def provider_rollup(model: ClaimsModel, stg_claims: DataFrame | None = None) ->
         _average("claim_reimbursement_amt", "decimal(12,2)").alias("avg_reimbursement_per_claim"),
         F.max("claim_reimbursement_amt").alias("max_reimbursement"),
         F.sum("deductible_amt_paid").alias("total_deductible"),
-        F.count_distinct("beneficiary_key").alias("unique_beneficiaries"),
         _average("claim_duration_days", "decimal(8,2)").alias("avg_claim_duration_days"),
         _average("admission_duration_days", "decimal(8,2)").alias("avg_admission_duration_days"),
         _average("diagnosis_code_count", "decimal(6,2)").alias("avg_diagnosis_code_count"),
@@ -169,9 +168,11 @@ def provider_rollup(model: ClaimsModel, stg_claims: DataFrame | None = None) ->
     ]
     physicians = F.count_distinct("attending_physician_id").alias("unique_attending_physicians")
     labels = model.providers.select("provider_key", *PROVIDER)
-    rows = model.joined("beneficiary").groupBy("provider_key")
+    claims = model.joined("beneficiary")
     if stg_claims is None and "attending_physician_id" in model.fact.columns:
-        return rows.agg(*measures, physicians).join(labels, "provider_key").drop("provider_key")
+        distinct = [F.count_distinct("beneficiary_key").alias("unique_beneficiaries"), physicians]
+        rows = claims.groupBy("provider_key").agg(*measures, *distinct)
+        return _in_order(rows.join(labels, "provider_key"), "unique_attending_physicians")
     if stg_claims is not None:
         per_provider = stg_claims.groupBy("provider_id").agg(physicians)
     elif "agg_provider_summary" in model.rollups:  # the stored fact has no physicians
@@ -180,8 +181,21 @@ def provider_rollup(model: ClaimsModel, stg_claims: DataFrame | None = None) ->
         )
     else:
         raise ValueError("physicians come from staged claims or the stored rollup")
-    totals = rows.agg(*measures).join(labels, "provider_key").drop("provider_key")
-    return totals.join(per_provider, "provider_id", "left")
+    # apart from the measures: beside them every pair of provider and patient would be moved with all of them
+    patients = (
+        claims.select("provider_key", "beneficiary_key")
+        .groupBy("provider_key")
+        .agg(F.count_distinct("beneficiary_key").alias("unique_beneficiaries"))
+    )
+    totals = claims.groupBy("provider_key").agg(*measures).join(patients, "provider_key")
+    rows = _in_order(totals.join(labels, "provider_key"))
+    return rows.join(per_provider, "provider_id", "left")
+
+
+def _in_order(rows: DataFrame, *more: str) -> DataFrame:
+    """Columns of the provider rollup: measures, then labels."""
+    measures = [name for name in ROLLUP_MEASURES if name != "unique_attending_physicians"]
+    return rows.select(*measures, *more, *PROVIDER)
 
 
 def mapped_state() -> dict[str, Column]:
@@ -194,27 +208,49 @@ def mapped_state() -> dict[str, Column]:
     }
 
 
-def state_month_rollup(model: ClaimsModel) -> DataFrame:
-    """Eight measures per state and month; claims without a mapped state get their own row."""
+def state_month_rollup(model: ClaimsModel, counted: DataFrame | None = None) -> DataFrame:
+    """Eight measures per state and month; claims without a mapped state get their own row.
+
+    ``counted`` may hold the distinct providers and beneficiaries of every state and month, as
+    made from stored key sets; then claims are added up only.
+    """
     state = mapped_state()
+    distinct = ["unique_providers", "unique_beneficiaries"]
+    placed = with_month(model.joined("beneficiary", "state").withColumns(state))
+    if counted is not None:
+        by = [*state, *MONTH_KEY]
+        sums = placed.groupBy(*by).agg(*_state_month_sums())
+        rows = sums.join(counted, [sums[c].eqNullSafe(counted[c]) for c in by], "left")
+        none = F.lit(0).cast("bigint")
+        return name_months(
+            rows.select(
+                *[sums[c] for c in sums.columns if c != "fraud_provider_claims"],
+                *[F.coalesce(counted[c], none).alias(c) for c in distinct],
+                "fraud_provider_claims",
+            )
+        )
     return name_months(
-        with_month(model.joined("beneficiary", "state").withColumns(state))
-        .groupBy(*state, *MONTH_KEY)
+        placed.groupBy(*state, *MONTH_KEY)
         .agg(
-            F.count(F.lit(1)).alias("total_claims"),
-            F.count_if(is_inpatient()).alias("total_ip_claims"),
-            F.count_if(is_outpatient()).alias("total_op_claims"),
-            F.sum("claim_reimbursement_amt").alias("total_reimbursement"),
-            _average("claim_reimbursement_amt", "decimal(12,2)").alias(
-                "avg_reimbursement_per_claim"
-            ),
+            *_state_month_sums()[:-1],
             F.count_distinct("provider_key").alias("unique_providers"),
             F.count_distinct("beneficiary_key").alias("unique_beneficiaries"),
-            F.count_if("is_potential_fraud").alias("fraud_provider_claims"),
+            _state_month_sums()[-1],
         )
     )
 
 
+def _state_month_sums() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("total_claims"),
+        F.count_if(is_inpatient()).alias("total_ip_claims"),
+        F.count_if(is_outpatient()).alias("total_op_claims"),
+        F.sum("claim_reimbursement_amt").alias("total_reimbursement"),
+        _average("claim_reimbursement_amt", "decimal(12,2)").alias("avg_reimbursement_per_claim"),
+        F.count_if("is_potential_fraud").alias("fraud_provider_claims"),
+    ]
+
+
 def unfold_conditions(df: DataFrame, keep: list[str], names: str = "rollup") -> DataFrame:
     """One row per condition a row has: ``disease_name`` next to the kept columns."""
     place = 1 if names == "rollup" else 2

@@ -253,8 +253,12 @@ def refresh(
             stg["stg_claims"], dims["dim_provider"], dims["dim_beneficiary"], dims["dim_geography"]
         ).withColumn(MONTH_PARTITION, F.floor(F.col("claim_start_date_key") / 100).cast("int"))
         star = {**dims, **run.keep("gold", {"fact_claims": fact})}
-        star.update(run.keep("gold", {name: make(star, stg["stg_claims"]) for name, make in ROLLUPS.items()}))
-        run.keep("keys", {distinct.KEY_ROLLUP: distinct.state_month_keys(in_calendar(star))})
+        keys = run.keep("keys", {distinct.KEY_ROLLUP: distinct.state_month_keys(in_calendar(star))})
+        # the counts of the state rollup come from the stored key sets, the claims are added up only
+        counted = distinct.distinct_counts(keys[distinct.KEY_ROLLUP], distinct.GRAIN, distinct.SETS)
+        rollups = {name: make(star, stg["stg_claims"]) for name, make in ROLLUPS.items()}
+        rollups["agg_state_monthly"] = gold.state_month_rollup(in_calendar(star), counted)
+        star.update(run.keep("gold", rollups))
         run.gate(checks.gold_gate(star))
         _require_match(tables.reconcile(spark, run.staged, wanted.gold))
 

@@ -84,3 +84,29 @@ def test_published_sets_answer_without_the_fact(published, by, months):
     direct = distinct.range_metrics(bare, by, {"region": ["South", "West"]}, months or (190001, 209912))
     key = lambda r: tuple(map(str, r))
     assert sorted(df.collect(), key=key) == sorted(direct.collect(), key=key)
+
+
+def test_state_rollup_takes_its_counts_from_the_key_sets(spark, star_model):
+    """Equal rows, and claims are not repeated once per distinct count."""
+    from claimward.operators import gold
+
+    keys = distinct.state_month_keys(star_model)
+    counted = distinct.distinct_counts(keys, distinct.GRAIN, distinct.SETS)
+    rollup = gold.state_month_rollup(star_model, counted)
+    plain = gold.state_month_rollup(star_model)
+    assert rollup.dtypes == plain.dtypes
+    assert sorted(map(str, rollup.collect())) == sorted(map(str, plain.collect()))
+    assert "Expand" not in rollup._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_provider_and_patient_move_without_measures(spark, star_model):
+    from claimward.operators import gold
+
+    stored = {"agg_provider_summary": gold.provider_rollup(star_model)}
+    fact = star_model.fact.drop("attending_physician_id")
+    model = distinct.ClaimsModel(fact, star_model.providers, star_model.beneficiaries, star_model.geography, stored)
+    rollup = gold.provider_rollup(model)
+    assert rollup.select(*stored["agg_provider_summary"].columns).exceptAll(stored["agg_provider_summary"]).count() == 0
+    plan = rollup._jdf.queryExecution().executedPlan().toString()
+    pairs = [line for line in plan.split("\n") if "keys=[provider_key" in line and "beneficiary_key" in line.split("functions")[0]]
+    assert pairs and all("functions=[]" in line for line in pairs)
