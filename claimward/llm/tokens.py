@@ -38,7 +38,7 @@ END_ID = 1
 FRAME_TOKENS = 1 << 16
 LEVEL = 3
 #: Words whose ids a Python worker keeps before it begins a new memory; it also keeps the one before.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 #: Bytes of text encoded at once.
 PIECE_BYTES = 4 << 20
 
@@ -105,21 +105,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        model = json.loads(self.tokenizer.to_str())["model"]
-        self.suffix = model.get("end_of_word_suffix")
+        parts = json.loads(self.tokenizer.to_str())
+        self.suffix = parts["model"].get("end_of_word_suffix")
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends_word[number] = bool(self.suffix) and token.endswith(self.suffix)
-        self.merges = self._merges()
+        self.merges = self._merges(parts)
         self.known: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
-    def _merges(self):
+    def _merges(self, parts: dict):
         """The tokenizer without the steps before its merges; None if those steps are others."""
         from tokenizers import Tokenizer, models, pre_tokenizers
 
-        parts = json.loads(self.tokenizer.to_str())
         model = parts["model"]
         if not self.suffix or any(parts[name] != told for name, told in _PREPARED.items()):
             return None
