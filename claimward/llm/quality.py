@@ -18,6 +18,7 @@ Repeated rows get equal results; the filter keeps all columns as they are.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimward.llm.common import bucket, sample_ids, table
-from claimward.llm.crf import Chain, fit, kind_scores
-from claimward.llm.texts import chunks, mixed, per_text, windows, word_hashes
+from claimward.llm.crf import Chain, fit
+from claimward.llm.texts import give_back, mixed, per_text, runs, windows, word_hashes
 
 SAMPLE = 1_000
 THRESHOLD = 0.3
 HOLD_OUT = 5
 HELD = 0
 BINS = 12
+#: Bytes of text scored at once; a longer text is scored alone.
+PIECE_BYTES = 512 << 10
 SPACE = b" \t\n\r\x0b\x0c"
 
 
@@ -96,8 +99,11 @@ def line_bins(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     place = np.arange(total) - np.repeat(starts[:-1], counts)
     from_end = np.repeat(np.array(counts), counts) - 1 - place
 
+    def binned(edges: np.ndarray, values: np.ndarray) -> np.ndarray:
+        return np.searchsorted(edges, values, side="left").astype(np.uint8)
+
     def share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
-        return np.searchsorted(_SHARE_EDGES, part / np.maximum(whole, 1), side="left")
+        return binned(_SHARE_EDGES, part / np.maximum(whole, 1))
 
     hashes, firsts = word_hashes([line.split() for line in lines])
     after_same = np.zeros(len(hashes), np.uint8)
@@ -114,13 +120,13 @@ def line_bins(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         share(of["call"], words),
         share(of["stop"], words),
         share(ends, words),
-        np.searchsorted(_LENGTH_EDGES, solid / np.maximum(words, 1), side="left"),
-        np.searchsorted(_COUNT_EDGES, words, side="left"),
-        np.searchsorted(_COUNT_EDGES, np.repeat(np.array(counts), counts), side="left"),
-        np.array(again, np.int64),
-        first + 2 * last,
-        (place == 0) + 2 * (from_end == 0),
-        np.minimum(place, 4),
+        binned(_LENGTH_EDGES, solid / np.maximum(words, 1)),
+        binned(_COUNT_EDGES, words),
+        binned(_COUNT_EDGES, np.repeat(np.array(counts), counts)),
+        np.array(again, np.uint8),
+        (first + 2 * last).astype(np.uint8),
+        ((place == 0) + 2 * (from_end == 0)).astype(np.uint8),
+        np.minimum(place, 4).astype(np.uint8),
     ]
     return np.stack(columns, 1), starts, sizes
 
@@ -135,29 +141,44 @@ def repeated_windows(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return np.bincount(owner[order][again], minlength=len(firsts) - 1)
 
 
-def line_features(bins: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of every line with those of its neighbours, and the line of each."""
+def line_features(bins: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
+    """Feature numbers of every line, one array per kind of the line and of its neighbours."""
     total = len(bins)
-    own = bins + np.arange(KINDS) * BINS
     is_first = np.zeros(total, bool)
     is_first[starts[:-1]] = True
     is_last = np.zeros(total, bool)
     is_last[starts[1:] - 1] = True
     none = BUCKETS - 1
-    before = np.full((total, KINDS), none)
-    before[1:] = own[:-1] + KINDS * BINS
-    before[is_first] = none
-    after = np.full((total, KINDS), none)
-    after[:-1] = own[1:] + 2 * KINDS * BINS
-    after[is_last] = none
-    features = np.concatenate([own, before, after], 1).ravel()
-    return features, np.repeat(np.arange(total), 3 * KINDS)
+    for kind in range(KINDS):
+        yield bins[:, kind] + kind * np.int64(BINS)
+    for kind in range(KINDS):
+        before = np.full(total, none)
+        before[1:] = bins[:-1, kind] + (KINDS + kind) * np.int64(BINS)
+        before[is_first] = none
+        yield before
+    for kind in range(KINDS):
+        after = np.full(total, none)
+        after[:-1] = bins[1:, kind] + (2 * KINDS + kind) * np.int64(BINS)
+        after[is_last] = none
+        yield after
+
+
+def line_scores(table: np.ndarray, bins: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of the weights of every line's features.
+
+    Kind by kind: the features of all lines at once take 51 numbers a line, which is gigabytes
+    for a text of a few megabytes with many short lines.
+    """
+    scores = np.zeros((len(bins), table.shape[1]))
+    for features in line_features(bins, starts):
+        scores += table[features]
+    return scores
 
 
 def good_share(table: np.ndarray, chain: Chain, texts: list[bytes]) -> np.ndarray:
     """Length-weighted probability of good lines per text."""
     bins, starts, sizes = line_bins(texts)
-    prob = chain.marginals(kind_scores(table, *line_features(bins, starts), len(bins)), starts)[:, 1]
+    prob = chain.marginals(line_scores(table, bins, starts), starts)[:, 1]
     weight = np.where(np.repeat(per_text(sizes, starts), np.diff(starts)) > 0, sizes, 1)
     sums = np.add.reduceat(prob * weight, starts[:-1])
     return (sums / np.add.reduceat(weight, starts[:-1])).clip(0, 1)
@@ -172,7 +193,8 @@ def learn(texts: list[bytes], labels: list[int]) -> Model | None:
     if not texts:
         return None
     bins, starts, _ = line_bins(texts)
-    features, owner = line_features(bins, starts)
+    features = np.stack(list(line_features(bins, starts)), 1).ravel()
+    owner = np.repeat(np.arange(len(bins)), 3 * KINDS)
     gold = np.repeat(np.array(labels), np.diff(starts))
     kinds = np.arange(len(gold))
     weights, chain = fit(features, owner, kinds, gold, starts, 2, BUCKETS, rounds=60, rate=0.1, penalty=1e-4)
@@ -227,14 +249,16 @@ def _with_score(documents: DataFrame, model: Model | None, carried: list[str], n
     rows = documents.select(*carried) if "text" in carried else documents.select(*carried, "text")
     fields = ", ".join(f"`{n}` {t}" for n, t in documents.select(*carried).dtypes)
 
+    def rated(batch):
+        for low, group in runs(batch.column("text"), PIECE_BYTES):
+            part = [batch.column(n).slice(low, len(group)) for n in carried]
+            scores = pa.array(predict(shared.value, group), pa.float64())
+            yield pa.RecordBatch.from_arrays([*part, scores], names=[*carried, name])
+
     def run(batches):
-        known = shared.value
         for batch in batches:
-            if batch.num_rows:
-                texts = batch.column("text")
-                scores = np.concatenate([predict(known, group) for _, group in chunks(texts, texts)])
-                arrays = [batch.column(n) for n in carried] + [pa.array(scores, pa.float64())]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*carried, name])
+            yield from rated(batch)
+            give_back()
 
     return rows.mapInArrow(run, f"{fields}, `{name}` double")
 

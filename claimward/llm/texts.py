@@ -12,18 +12,34 @@ import xxhash
 CHUNK_BYTES = 2 << 20
 
 
-def chunks(keys: pa.Array, texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
-    """Keys and UTF-8 texts of a batch in runs of bounded size; a null text is empty."""
-    ids, group, size, low = keys.to_pylist(), [], 0, 0
+def runs(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """First row and UTF-8 texts of runs of bounded size; a null text is empty."""
+    group, size, low = [], 0, 0
     for i, text in enumerate(texts.cast(pa.binary())):
         value = text.as_py() or b""
         if group and size + len(value) > most:
-            yield ids[low:i], group
+            yield low, group
             group, size, low = [], 0, i
         group.append(value)
         size += len(value)
     if group:
-        yield ids[low:], group
+        yield low, group
+
+
+def chunks(keys: pa.Array, texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
+    """Keys and UTF-8 texts of a batch in runs of bounded size; a null text is empty."""
+    ids = keys.to_pylist()
+    for low, group in runs(texts, most):
+        yield ids[low : low + len(group)], group
+
+
+def give_back() -> None:
+    """Return the memory of batches that are gone to the machine.
+
+    Arrow keeps it for later batches, and a Python worker lives on, with other stages of the job
+    beside it in the executor's memory.
+    """
+    pa.default_memory_pool().release_unused()
 
 
 def word_hashes(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from claimward.llm.common import attempt_name, folder, open_for_read, open_for_write, stored, table
-from claimward.llm.texts import chunks
+from claimward.llm.texts import chunks, give_back
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -343,6 +343,7 @@ def write(
                     ],
                     names=["doc_id", "part", "file", "frame", "place", "n_tokens", "part_start"],
                 )
+            give_back()
         if writer is not None:
             writer.close()
 

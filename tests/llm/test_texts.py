@@ -1,16 +1,19 @@
 """Language, quality and rules: counts against plain versions, held-out accuracy, odd rows."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_tables import SF_DIR, documents  # noqa: F401
 from hypothesis import given, settings, strategies as st
 
 from claimward.llm import langid, quality, rules
 from claimward.llm.crf import Chain
+from claimward.llm.texts import runs
 
 SF01 = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -168,3 +171,42 @@ def test_sample_is_bounded_per_label(spark):
     again = sample_ids(ids.repartition(7), 120).collect()
     assert sorted(again) == sorted(sample_ids(ids, 120).collect())
     assert sample_ids(ids.filter("false"), 5).count() == 0
+
+
+def test_quality_memory_follows_the_text():
+    """Many short lines: scoring takes a bounded number of bytes a line, not all features at once."""
+    model = quality.Model(np.zeros((quality.BUCKETS, 2)), Chain.blank(2), 1.0, 0.0)
+    lines = 40_000
+    text = b"\n" * lines
+    quality.predict(model, [text])
+    tracemalloc.start()
+    try:
+        quality.predict(model, [text])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 600 * lines
+
+
+def test_quality_scores_are_sums_of_all_features():
+    rng = np.random.default_rng(3)
+    weights = rng.normal(size=(quality.BUCKETS, 2))
+    bins, starts, _ = quality.line_bins([b"One two.\nthree 4\n\nOne two.", b"", b"\n|| !?", b"x" * 500])
+    none = quality.BUCKETS - 1
+    plain = np.zeros((len(bins), 2))
+    for low, high in zip(starts[:-1], starts[1:]):
+        for line in range(low, high):
+            for part, at in enumerate((line, line - 1, line + 1)):
+                for kind in range(quality.KINDS):
+                    inside = low <= at < high
+                    plain[line] += weights[
+                        (part * quality.KINDS + kind) * quality.BINS + int(bins[at, kind]) if inside else none
+                    ]
+    assert np.array_equal(quality.line_scores(weights, bins, starts), plain)
+
+
+def test_runs_hold_every_text_once():
+    texts = pa.array(["ab", None, "", "cdefgh", "i", "jk"])
+    found = list(runs(texts, 4))
+    assert [low for low, _ in found] == [0, 3, 4]
+    assert [t for _, group in found for t in group] == [b"ab", b"", b"", b"cdefgh", b"i", b"jk"]
