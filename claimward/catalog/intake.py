@@ -22,7 +22,7 @@ from claimward.schemas import (
     RAW_COLUMNS,
     REQUIRED,
 )
-from claimward.session import scratch_path, short_methods
+from claimward.session import hash_joins, scratch_path, short_methods
 from claimward.sources import lookups, star_text, tables, text
 
 BATCH = "20240101_000000"
@@ -30,6 +30,7 @@ BATCH = "20240101_000000"
 
 def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     short_methods(spark)
+    hash_joins(spark)
     return star_text.raw(spark, sf_dir)
 
 

@@ -22,7 +22,8 @@ class Colocated:
     ``claims`` and ``people`` lie in the same buckets of the beneficiary, so their join moves
     no row. Claims of beneficiaries that would overfill a bucket are kept apart, in
     ``hot_claims``, spread over files; these beneficiaries are fewer than there are buckets,
-    so ``hot_people`` can be sent to every task.
+    so ``hot_people`` can be sent to every task. A bucket's ``people`` are looked up by hash,
+    so its claims need not be sorted.
     """
 
     claims: DataFrame
@@ -31,7 +32,7 @@ class Colocated:
     hot_people: DataFrame
 
     def joined(self) -> DataFrame:
-        rest = self.claims.join(self.people, "beneficiary_key")
+        rest = self.claims.join(self.people.hint("shuffle_hash"), "beneficiary_key")
         hot = self.hot_claims.join(F.broadcast(self.hot_people), "beneficiary_key")
         return with_start_date(rest.unionByName(hot))
 

@@ -21,8 +21,9 @@ LAYER = "colocated"
 CLAIMS, PEOPLE = "fact_claims", "dim_beneficiary"
 HOT_CLAIMS, HOT_PEOPLE = "fact_claims_hot", "dim_beneficiary_hot"
 
-#: Claims that one task is meant to join; about half a gigabyte as stored.
-BUCKET_ROWS = 1 << 24
+#: Claims, or beneficiaries where they are more, that one task is meant to join. The
+#: beneficiaries of a bucket are held in memory, the claims pass by.
+BUCKET_ROWS = 1 << 22
 
 
 def bucket_number(spark: SparkSession, rows: int, bucket_rows: int = BUCKET_ROWS) -> int:

@@ -45,6 +45,14 @@ def short_methods(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
+def hash_joins(spark: SparkSession) -> None:
+    """Join by hash, without sorting, where every partition of the smaller side is small.
+
+    Adaptive execution decides on measured partitions; 64 MB is the size it aims at anyway.
+    """
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+
+
 def require_shared(folder: str, master: str) -> None:
     """Refuse a folder of the machine's own disk on a cluster."""
     if folder.startswith("file:") and not master.startswith("local"):

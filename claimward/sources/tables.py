@@ -63,11 +63,16 @@ def columns_of(df: DataFrame) -> str:
 def content_digest(names: list[str]) -> Column:
     """Sum of row hashes as text; it adds up inside the tasks and does not depend on order.
 
-    A missing value counts by its place, since the hash alone passes over it.
+    A missing value counts by its place, since the hash alone passes over it. The hashes are
+    added up as three whole numbers of up to 22 bits, since decimals are objects made row by row.
     """
     names = sorted(names)
     row = F.xxhash64(*names, *[F.col(c).isNull() for c in names])
-    return F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)).cast("string")
+    low = F.lit((1 << 22) - 1).cast("bigint")
+    parts = [F.shiftright(row, 44), F.shiftright(row, 22).bitwiseAND(low), row.bitwiseAND(low)]
+    high, middle, last = [F.coalesce(F.sum(p), F.lit(0).cast("bigint")).cast("decimal(19,0)") for p in parts]
+    weights = [F.lit(1 << bits).cast("decimal(15,0)") for bits in (44, 22)]
+    return (high * weights[0] + middle * weights[1] + last).cast("decimal(38,0)").cast("string")
 
 
 def stage(
